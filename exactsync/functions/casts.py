@@ -51,7 +51,7 @@ def _limited(converted: Column, dst: ColumnType) -> Column:
     if dst.bounds is not None:
         low, high = dst.bounds
         if dst.kind == "digits":
-            inside = decimals.within_digits(converted, low, high)
+            inside = decimals.within_digits(converted, low, high, dst.digits[0])
         elif dst.kind == "decimal":
             inside = converted.between(F.lit(Decimal(low)), F.lit(Decimal(high)))
         else:

@@ -12,74 +12,70 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: decimal text is an optional sign, one or more digits and an optional fraction.
-# \z and not $, because $ would also accept a trailing newline.
-DECIMAL_TEXT = r"^[+-]?[0-9]+([.][0-9]*)?\z"
-
 _TWO_53 = float(2**53)
 _TWO_106 = float(2**106)
 
 
+def decimal_pattern(precision: int, scale: int) -> str:
+    """Texts, filled up with zeros, that fit: sign, leading zeros, whole digits, kept digits, zeros.
+
+    \\z and not $, because $ would also accept a trailing newline.
+    """
+    room = precision - scale
+    whole = f"0|[1-9][0-9]{{0,{room - 1}}}" if room else "0"
+    return rf"^(?:[+]|(-))?0*({whole})[.]([0-9]{{{scale}}})0*\z"
+
+
 def parse_decimal(text: Column, precision: int, scale: int) -> Column:
     """Canonical text of a decimal with exactly ``scale`` fraction digits, or NULL.
 
+    The text is an optional sign, one or more digits and an optional fraction, nothing else.
     Digits cut off by ``scale`` must be zeros and at most ``precision`` digits may be left.
+    The argument occurs only twice in the result, so nested conversions stay small.
     """
-    negative = text.startswith("-")
-    body = F.when(negative | text.startswith("+"), F.substring(text, 2, 2147483647)).otherwise(text)
-    whole = F.ltrim(F.substring_index(body, ".", 1), F.lit("0"))
-    fraction = F.when(F.contains(body, F.lit(".")), F.substring_index(body, ".", -1)).otherwise("")
-    lost = F.ltrim(F.substring(fraction, scale + 1, 2147483647), F.lit("0"))
-    kept = F.rpad(F.substring(fraction, 1, scale), scale, "0") if scale else F.lit("")
-    significant = F.ltrim(F.concat(whole, kept), F.lit("0"))
-    sign = F.when(negative & (significant != ""), "-").otherwise("")
-    printed = [sign, F.when(whole == "", "0").otherwise(whole)]
-    if scale:
-        printed += [F.lit("."), kept]
-    fits = text.rlike(DECIMAL_TEXT) & (lost == "") & (F.length(significant) <= precision)
-    return F.when(fits, F.concat(*printed))
+    pattern = decimal_pattern(precision, scale)
+    zeros = "0" * scale
+    filled = F.concat(text, F.when(F.contains(text, F.lit(".")), zeros).otherwise("." + zeros))
+    fitting = F.regexp_substr(filled, F.lit(pattern))
+    printed = F.regexp_replace(fitting, pattern, "$1$2.$3" if scale else "$1$2")
+    return F.regexp_replace(printed, r"^-(0(?:[.]0*)?)\z", "$1")
 
 
 def print_decimal(value: Column, scale: int) -> Column:
-    """Text of a Spark decimal with all its fraction digits and never an exponent."""
-    text = value.cast("string")
-    # Without ANSI mode Spark prints tiny values as 1E-20.
-    return F.when(F.contains(text, F.lit("E")), F.format_string(f"%.{scale}f", value)).otherwise(text)
-
-
-def within_digits(text: Column, low: int, high: int) -> Column:
-    """Canonical integer text lies in ``low..high``; compared as text, so over 38 digits too."""
-    negative = text.startswith("-")
-    digits = F.ltrim(text, F.lit("-"))
-    bound = F.when(negative, str(abs(min(low, 0)))).otherwise(str(max(high, 0)))
-    magnitude = (F.length(digits) < F.length(bound)) | (
-        (F.length(digits) == F.length(bound)) & (digits <= bound)
-    )
-    return magnitude if low <= 0 else magnitude & ~negative
+    """Text of a Spark decimal with all its ``scale`` fraction digits.
+
+    Never with an exponent, as ANSI casts (``session.configure``) print plainly.
+    """
+    return value.cast(T.DecimalType(38, scale)).cast("string")
+
+
+def within_digits(text: Column, low: int, high: int, width: int) -> Column:
+    """Canonical integer text of at most ``width`` digits lies in ``low..high`` (0 in between)."""
+    padded = lambda t: F.lpad(t, width, "0")
+    below = padded(F.ltrim(text, F.lit("-"))) <= str(-low).zfill(width)
+    above = padded(text) <= str(high).zfill(width)
+    return F.when(text.startswith("-"), below).otherwise(above)
 
 
 def double_to_decimal(value: Column, precision: int, scale: int) -> Column:
     """Decimal equal to a double; NULL for NaN, infinities and values out of range.
 
     Spark goes through the shortest text, which is not the stored number from 2**53 on.
-    There the number is whole, so it is taken apart in exact 53-bit pieces instead.
+    There the number is whole, so it is taken apart in exact 53-bit pieces instead: scaling by
+    powers of two and remainders are exact, and casts to bigint cut toward zero.
     """
     target = T.DecimalType(precision, scale)
     short = value.try_cast(target)
     if precision - scale <= 15:
         return short
-    size = F.abs(value)
-    high = F.floor(size / F.lit(_TWO_106)).try_cast("bigint")
-    rest = size - high.cast("double") * F.lit(_TWO_106)
-    middle = F.floor(rest / F.lit(_TWO_53)).try_cast("bigint")
-    low = (rest - middle.cast("double") * F.lit(_TWO_53)).try_cast("bigint")
+    digits = lambda piece: piece.try_cast("bigint").cast("decimal(20,0)")
     pieces = (
-        high.cast("decimal(20,0)") * F.lit(Decimal(2**106))
-        + middle.cast("decimal(20,0)") * F.lit(Decimal(2**53))
-        + low.cast("decimal(20,0)")
+        digits(value / F.lit(_TWO_106)) * F.lit(Decimal(2**106))
+        + digits((value / F.lit(_TWO_53)) % F.lit(_TWO_53)) * F.lit(Decimal(2**53))
+        + digits(value % F.lit(_TWO_53))
     )
-    signed = F.when(value < 0, -pieces).otherwise(pieces)
-    return F.when(size < F.lit(_TWO_53), short).when(size < F.lit(1e38), signed.try_cast(target))
+    size = F.abs(value)
+    return F.when(size < F.lit(_TWO_53), short).when(size < F.lit(1e38), pieces.try_cast(target))
 
 
 def negative_zero(value: Column) -> Column:

@@ -15,7 +15,7 @@ PASSWORD_MEMBER = (
     r'"password"\s*:\s*("(?:[^"\\]|\\.)*"|\{[^{}]*\}|\[[^\[\]]*\]|[^\s,{}\[\]"]+)'
 )
 _SEPARATOR = "\x1f"
-_NULL_MARK = "\x00"
+_NULL_MARK = "\x1e"
 
 
 def quoted(name: str) -> str:

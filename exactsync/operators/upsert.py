@@ -110,7 +110,7 @@ def merge_plan(incoming: DataFrame) -> str:
     """``probe`` if Spark itself would broadcast the input, by the size it estimates, else ``merge``."""
     limit = incoming.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     size = incoming._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return "probe" if 0 <= int(size.toString()) <= _bytes(limit) else "merge"
+    return "probe" if 0 <= int(str(size)) <= _bytes(limit) else "merge"
 
 
 def _bytes(text: str) -> int:

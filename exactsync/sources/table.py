@@ -121,19 +121,29 @@ class Source:
         return [f.select(*[column(c) for c in self.columns]) for f in frames] if self.columns else frames
 
 
+# Text a placeholder cannot stand in: quoted strings, quoted names and comments.
+_OPAQUE = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/"
+
+
 def run_query(spark: SparkSession, query: str, params: Sequence[Parameter] = (), **views: DataFrame) -> DataFrame:
-    """Spark SQL with positional ``?`` parameters bound as typed literals."""
-    text = check_query(query)
-    expected = _placeholders(text)
-    if expected != len(params):
-        raise SyncError.config(f"SQL parameter count mismatch: {expected} placeholders, {len(params)} values")
-    if not params:
-        return spark.sql(text, **views)
-    values = [F.lit(None) if p.bind() is None else p.bind() for p in params]
-    return spark.sql(text, args=values, **views)
-
-
-def _placeholders(query: str) -> int:
-    """Question marks outside quotes and comments."""
-    skipped = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/"
-    return re.sub(skipped, "", query, flags=re.DOTALL).count("?")
+    """Spark SQL with ``?`` parameters bound, in the order of the text, as typed literals.
+
+    They are passed to Spark by name: it binds bare ``?`` in plan order, a WHERE before its SELECT.
+    """
+    text, found = number_placeholders(check_query(query))
+    if found != len(params):
+        raise SyncError.config(f"SQL parameter count mismatch: {found} placeholders, {len(params)} values")
+    bound = {f"p{i}": p.bind() for i, p in enumerate(params)}
+    values = {name: F.lit(None) if value is None else value for name, value in bound.items()}
+    return spark.sql(text, args=values, **views) if values else spark.sql(text, **views)
+
+
+def number_placeholders(query: str) -> tuple[str, int]:
+    """The query with each ``?`` named ``:p0``, ``:p1``, ... and how many there were."""
+    pieces = re.split(rf"({_OPAQUE}|\?)", query, flags=re.DOTALL)
+    found = 0
+    for i, piece in enumerate(pieces):
+        if piece == "?":
+            pieces[i] = f":p{found}"
+            found += 1
+    return "".join(pieces), found
