@@ -31,6 +31,7 @@ PACKET_RESERVE = 1024
 BIND_OVERHEAD = 4
 
 LANE, BATCH = "_lane", "_batch"
+SIZE, READ_SIZE = "_size", "_read_size"
 
 
 @dataclass(frozen=True)
@@ -162,23 +163,26 @@ def with_batches(
     costs one shuffle by it and should be fine-grained: see :func:`salted_lane`.
     """
     schema = df.schema
+    size = row_bytes(schema)
+    if max_row_bytes is not None:
+        size = guard_row_bytes(size, max_row_bytes)
+    sizes = {SIZE: size}
+    if reader_limits is not None:
+        sizes[READ_SIZE] = row_bytes(schema, side="reader")
     if lane is None:
         flat = fixed_row_bytes(schema)
         even = reader_limits is None or not any(of_field(f).kind in ("decimal", "digits") for f in schema.fields)
         if flat is not None and even and not order and (max_row_bytes is None or flat <= max_row_bytes):
             return _arithmetic_batches(df, flat, limits, reader_limits)
-        laned = df.withColumn(LANE, F.spark_partition_id().cast("bigint"))
+        laned = df.withColumns({LANE: F.spark_partition_id().cast("bigint"), **sizes})
         if order:
             laned = laned.sortWithinPartitions(*order)
     else:
-        laned = df.withColumn(LANE, lane.cast("bigint")).repartition(LANE).sortWithinPartitions(LANE, *order)
-    size = row_bytes(schema)
-    if max_row_bytes is not None:
-        size = guard_row_bytes(size, max_row_bytes)
-    arguments = [F.col(LANE), size]
-    if reader_limits is not None:
-        arguments.append(row_bytes(schema, side="reader"))
-    return laned.withColumn(BATCH, greedy_batches(limits, reader_limits)(*arguments))
+        # Sizes are taken before the shuffle, so text nobody reads later is not moved.
+        laned = df.withColumns({LANE: lane.cast("bigint"), **sizes})
+        laned = laned.repartition(LANE).sortWithinPartitions(LANE, *order)
+    cut = greedy_batches(limits, reader_limits)(*[F.col(c) for c in (LANE, *sizes)])
+    return laned.withColumn(BATCH, cut).drop(*sizes)
 
 
 def _arithmetic_batches(df: DataFrame, flat: int, limits: Limits, reader_limits: Limits | None) -> DataFrame:

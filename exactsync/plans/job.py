@@ -9,10 +9,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from exactsync.errors import SyncError, prevailing
-from exactsync.functions.sizes import guard_row_bytes, row_bytes
+from exactsync.functions.sizes import fixed_row_bytes, guard_row_bytes, row_bytes
 from exactsync.functions.text import check_label_prefix
 from exactsync.ledger.store import Ledger
-from exactsync.operators.batching import DEFAULT_MAX_ROW_BYTES
+from exactsync.operators.batching import DEFAULT_MAX_ROW_BYTES, Limits
 from exactsync.operators.upsert import update_columns
 from exactsync.plans.mapping import MappingPlan, plan_mapping
 from exactsync.session import configure
@@ -44,6 +44,7 @@ class SyncJob:
     partitions: Sequence[object] = ()
     max_filter_ratio: float = 0.0
     max_row_bytes: int = DEFAULT_MAX_ROW_BYTES
+    limits: Limits | None = None
     retries: int = 2
     backoff_ms: int = 200
     request_id: str | None = None
@@ -71,6 +72,10 @@ class SyncJob:
 
     def transform(self, frame: DataFrame, plan: MappingPlan) -> DataFrame:
         """Guarded target columns of one source frame, lazily. Upserts keep to mapped columns."""
+        flat = fixed_row_bytes(frame.schema)
+        if flat is None or flat > self.max_row_bytes:
+            # The guard is consumed by a filter that keeps every row it does not fail on.
+            frame = frame.where(guard_row_bytes(row_bytes(frame.schema), self.max_row_bytes) >= 0)
         return plan.apply(frame, fill_omitted=self.target.model != "upsert")
 
     def config(self) -> dict:
@@ -136,7 +141,6 @@ class SyncJob:
             read["bytes_read"] += receipt.bytes
 
     def _write(self, mapped: DataFrame, label: str) -> Receipt:
-        size = guard_row_bytes(row_bytes(mapped.schema), self.max_row_bytes)
         for attempt in range(self.retries + 1):
             try:
                 return self.target.write(
@@ -148,7 +152,7 @@ class SyncJob:
                     partition=self.partition,
                     partitions=self.partitions,
                     max_filter_ratio=self.max_filter_ratio,
-                    size=size,
+                    limits=self.limits,
                 )
             except SyncError as e:
                 # Only what is known to have changed nothing is sent again, under the same label.

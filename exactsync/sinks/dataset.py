@@ -3,8 +3,9 @@
 Each commit writes its own ``_label=...`` folder and becomes visible with one small marker file
 that is created only if absent, which holds on object stores too. A repeated task or a repeated
 run overwrites the same folder; a label that already has its marker is never written again.
-An upsert writes the merged table under a new label and its marker retires the older ones, so
-nothing is overwritten while it is read.
+An upsert writes merged rows under a new label and its marker retires the older ones, so nothing
+is overwritten while it is read. With a ``layout`` the rows are kept in key-range slices and an
+upsert reads and rewrites only the slices its input touches.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from exactsync.errors import SyncError
+from exactsync.functions.sizes import row_bytes
 from exactsync.functions.text import column
 from exactsync.operators import accounting
+from exactsync.operators.batching import BATCH, LANE, Limits, batch_summary, number_batches, with_batches
 from exactsync.operators.upsert import (
     affected,
     collapse,
@@ -29,8 +32,9 @@ from exactsync.operators.upsert import (
 )
 from exactsync.plans.mapping import TargetColumn
 from exactsync.sinks import files
+from exactsync.sources.split import RangeSplit
 
-_EFFECT = "_effect"
+_EFFECT, _SLICE = "_effect", "_slice"
 
 
 @dataclass(frozen=True)
@@ -50,6 +54,7 @@ class ParquetTarget:
     columns: tuple[TargetColumn, ...]
     model: str = "append"
     keys: tuple[str, ...] = ()
+    layout: RangeSplit | None = None
 
     def __post_init__(self):
         if self.model not in ("append", "insert", "upsert"):
@@ -59,6 +64,8 @@ class ParquetTarget:
             raise SyncError.config("keys require insert or upsert")
         if self.model != "append" and (not self.keys or self.keys != declared):
             raise SyncError.schema("keys must exactly match the declared key columns in order")
+        if self.layout is not None and self.model != "append" and self.layout.column not in self.keys:
+            raise SyncError.config("the layout column must be a key column")
 
     # -- state ---------------------------------------------------------------------------
 
@@ -66,7 +73,8 @@ class ParquetTarget:
         """Markers in commit order: one per commit group, not per row batch."""
         folder = f"{self.root}/_commits"
         found = [n for n in files.names(spark, folder) if n.endswith(".json") and not n.startswith(".")]
-        return [files.read_json(spark, f"{folder}/{n}") for n in found]
+        markers = [files.read_json(spark, f"{folder}/{n}") for n in found]
+        return [m for m in markers if m is not None]
 
     def labels(self, spark: SparkSession) -> DataFrame:
         """Committed labels as the ledger's reconciliation reads them."""
@@ -76,19 +84,53 @@ class ParquetTarget:
     def schema(self) -> T.StructType:
         return T.StructType([c.struct_field() for c in self.columns])
 
-    def read(self, spark: SparkSession, commits: list[dict] | None = None) -> DataFrame:
-        """Committed rows only."""
-        commits = self.commits(spark) if commits is None else commits
-        last = max((i for i, c in enumerate(commits) if c["kind"] == "replace"), default=0)
-        paths = [c["path"] for c in commits[last:]]
+    def read(
+        self, spark: SparkSession, commits: list[dict] | None = None, slices: set[int] | None = None
+    ) -> DataFrame:
+        """Committed rows only; ``slices`` limits a laid-out target to some of its key ranges."""
+        paths = self._live_paths(self.commits(spark) if commits is None else commits, slices)
         if not paths:
             return spark.createDataFrame([], self.schema())
+        return self._scan(spark, *paths)
+
+    def _scan(self, spark: SparkSession, *paths: str) -> DataFrame:
         names = [column(c.name) for c in self.columns]
         return spark.read.schema(self.schema()).parquet(*paths).select(*names)
 
+    def _live_paths(self, commits: list[dict], slices: set[int] | None) -> list[str]:
+        """Newest first: a replacing commit retires what came before in the slices it holds."""
+        paths: list[str] = []
+        retired: set[int] = set()
+        for c in reversed(commits):
+            if self.layout is None:
+                paths.append(c["path"])
+                if c["kind"] == "replace":
+                    break
+                continue
+            live = set(c["slices"]) - retired
+            if slices is not None:
+                live &= slices
+            paths += [f"{c['path']}/{_SLICE}={k}" for k in sorted(live)]
+            if c["kind"] == "replace":
+                retired |= set(c["slices"])
+        return paths
+
     def rejects(self, spark: SparkSession, label: str) -> DataFrame:
         """Rows a commit filtered out."""
-        return spark.read.schema(self.schema()).parquet(f"{self._folder(label)}/_verdict=filtered")
+        path = f"{self._folder(label)}/{accounting.VERDICT}={accounting.FILTERED}"
+        return self._scan(spark, path) if files.exists(spark, path) else spark.createDataFrame([], self.schema())
+
+    def batches(self, spark: SparkSession, label: str) -> DataFrame:
+        """Numbered batches of a commit written with limits: id, rows and bytes."""
+        schema = self.schema()
+        stored = T.StructType(
+            [*schema.fields, T.StructField(LANE, T.LongType()), T.StructField(BATCH, T.IntegerType())]
+        )
+        path = next((c["path"] for c in self.commits(spark) if c["label"] == label), None)
+        if path is None:
+            raise SyncError("NOT_FOUND", f"No commit {label}")
+        rows = spark.read.schema(stored).parquet(path)
+        return number_batches(batch_summary(rows, row_bytes(schema))).select("batch_id", "rows", "bytes")
 
     # -- writes --------------------------------------------------------------------------
 
@@ -103,7 +145,7 @@ class ParquetTarget:
         partition: Column | None = None,
         partitions: Sequence[object] = (),
         max_filter_ratio: float = 0.0,
-        size: Column | None = None,
+        limits: Limits | None = None,
     ) -> Receipt:
         """Commit one frame of target columns under ``label``; replaying a label changes nothing."""
         spark = df.sparkSession
@@ -114,58 +156,83 @@ class ParquetTarget:
                 return Receipt(known["loaded"], known["filtered"], known["affected"], known["bytes"], True)
         if self.model == "upsert":
             return self._merge(df, label, commits, order, updates)
-        if self.model == "insert":
-            self._check_new_keys(df, self.read(spark, commits))
-        return self._append(df, label, commits, reject, partition, partitions, max_filter_ratio, size)
+        return self._append(df, label, commits, reject, partition, partitions, max_filter_ratio, limits)
 
     def _folder(self, label: str) -> str:
         return f"{self.root}/data/_label={label}"
 
-    def _append(self, df, label, commits, reject, partition, partitions, max_ratio, size) -> Receipt:
+    def _store(self, df: DataFrame, folder: str, *by: str, gather: bool = False) -> None:
+        """Write one label folder; ``gather`` brings rows of a slice together, splitting big ones."""
+        if self.layout is not None:
+            df = df.withColumn(_SLICE, self.layout.slice_id())
+            df = df.hint("rebalance", _SLICE) if gather else df
+            by = (*by, _SLICE)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*by) if by else writer).parquet(folder)
+
+    def _append(self, df, label, commits, reject, partition, partitions, max_ratio, limits) -> Receipt:
         spark, folder = df.sparkSession, self._folder(label)
         sorted_out = reject is not None or bool(partitions)
         seen = Observation()
         metrics = [
             F.count(F.lit(1)).alias("submitted"),
-            F.sum(size if size is not None else F.lit(0)).cast("bigint").alias("bytes"),
+            F.sum(row_bytes(df.schema)).alias("bytes"),
         ]
+        rows = with_batches(df, limits) if limits is not None else df
         if sorted_out:
-            marked = accounting.with_verdict(df, reject, partition, partitions)
+            marked = accounting.with_verdict(rows, reject, partition, partitions)
             watched = marked.observe(seen, *metrics, *accounting.counters())
             kept = watched.where(F.col(accounting.VERDICT) != accounting.UNSELECTED)
-            kept.write.mode("overwrite").partitionBy(accounting.VERDICT).parquet(folder)
+            self._store(kept, folder, accounting.VERDICT)
         else:
-            df.observe(seen, *metrics).write.mode("overwrite").parquet(folder)
+            self._store(rows.observe(seen, *metrics), folder)
         got = seen.get
         loaded = got["loaded"] if sorted_out else got["submitted"]
         checked = accounting.receipt(
             got["submitted"], loaded, got.get("filtered", 0), got.get("unselected", 0), max_ratio
         )
-        path = folder
-        if sorted_out:
-            path = f"{folder}/_verdict={accounting.LOADED}"
-            if loaded == 0:
-                spark.createDataFrame([], self.schema()).write.mode("overwrite").parquet(path)
+        path = f"{folder}/{accounting.VERDICT}={accounting.LOADED}" if sorted_out else folder
         self._check_written(spark, path, loaded)
+        if self.model == "insert":
+            self._check_new_keys(spark, path, commits)
         result = Receipt(checked["loaded"], checked["filtered"], checked["affected"], got["bytes"] or 0)
         self._commit(spark, commits, label, "append", path, result)
         return result
 
+    def _check_new_keys(self, spark: SparkSession, path: str, commits: list[dict]) -> None:
+        """Key clashes among the staged rows or with the target; only keys are read."""
+        if not files.exists(spark, path):
+            return
+        staged = self._scan(spark, path)
+        repeated = duplicate_keys(staged, self.keys)
+        known = insert_conflicts(staged, self.read(spark, commits), self.keys)
+        if not repeated.isEmpty() or not known.isEmpty():
+            raise SyncError("DUPLICATE_KEY", "An inserted key exists already")
+
     def _merge(self, df, label, commits, order, updates) -> Receipt:
-        spark, folder = df.sparkSession, self._folder(label)
-        target, keys = self.read(spark, commits), list(self.keys)
+        spark, folder, keys = df.sparkSession, self._folder(label), list(self.keys)
         changes = update_columns(df.columns, keys, updates)
+        # The input is read several times below, so it is fixed first: sources may change, and a
+        # written table also survives lost executors and has a size Spark can plan with.
+        staged_path = f"{self.root}/_stage/{label}"
+        df.write.mode("overwrite").parquet(staged_path)
+        staged = spark.read.schema(df.schema).parquet(staged_path)
+        touched = None
+        if self.layout is not None:
+            # At most as many values as the layout has slices.
+            touched = {r[0] for r in staged.select(self.layout.slice_id()).distinct().collect()}
+        target = self.read(spark, commits, touched)
         chained = None
         if order:
-            chained = affected(df, target, keys, changes, order).agg(
+            chained = affected(staged, target, keys, changes, order).agg(
                 F.sum("affected_rows").alias("affected"), F.sum("incoming_rows").alias("rows")
             )
-            incoming = collapse(df, keys, order, df.columns, changes)
+            incoming = collapse(staged, keys, order, df.columns, changes)
         else:
             # Without an order "last" has no meaning, so repeated keys are refused.
-            if not duplicate_keys(df, keys).isEmpty():
+            if not duplicate_keys(staged, keys).isEmpty():
                 raise SyncError("DUPLICATE_KEY", "Incoming keys repeat and no order is given")
-            incoming = df
+            incoming = staged
         seen = Observation()
         merged = upsert(target, incoming, keys, changes, effect=_EFFECT).observe(
             seen,
@@ -173,7 +240,7 @@ class ParquetTarget:
             F.count(_EFFECT).alias("rows"),
             F.sum(_EFFECT).alias("affected"),
         )
-        merged.drop(_EFFECT).write.mode("overwrite").parquet(folder)
+        self._store(merged.drop(_EFFECT), folder, gather=True)
         got = seen.get
         self._check_written(spark, folder, got["total"])
         rows, count = got["rows"], got["affected"] or 0
@@ -182,32 +249,38 @@ class ParquetTarget:
             rows, count = totals["rows"] or 0, totals["affected"] or 0
         result = Receipt(rows, 0, count)
         self._commit(spark, commits, label, "replace", folder, result)
+        files.discard(spark, staged_path)
         return result
 
-    def _check_new_keys(self, df: DataFrame, target: DataFrame) -> None:
-        if not duplicate_keys(df, self.keys).isEmpty() or not insert_conflicts(df, target, self.keys).isEmpty():
-            raise SyncError("DUPLICATE_KEY", "An inserted key exists already")
-
     def _check_written(self, spark: SparkSession, path: str, rows: int) -> None:
         """The files hold the counted rows; Parquet footers answer without reading data."""
-        if spark.read.schema(self.schema()).parquet(path).count() != rows:
-            raise SyncError.unknown("Written rows disagree with the counted rows")
+        found = self._scan(spark, path).count() if files.exists(spark, path) else 0
+        if found != rows:
+            raise SyncError.unknown(f"{found} written rows disagree with {rows} counted rows")
 
     def _commit(self, spark, commits, label, kind, path, receipt: Receipt) -> None:
-        version = len(commits)
+        if not files.exists(spark, path):
+            # All rows were rejected: nothing to read, but the commit still counts.
+            spark.createDataFrame([], self.schema()).write.mode("ignore").parquet(path)
         marker = {
-            "version": version,
+            "version": commits[-1]["version"] + 1 if commits else 0,
             "label": label,
             "kind": kind,
             "path": path,
+            "slices": self._stored_slices(spark, path),
             "loaded": receipt.loaded,
             "filtered": receipt.filtered,
             "affected": receipt.affected,
             "bytes": receipt.bytes,
         }
-        while not files.create_json(spark, f"{self.root}/_commits/{version:012d}.json", marker):
-            if kind == "replace" or self.model != "append":
+        while not files.create_json(spark, f"{self.root}/_commits/{marker['version']:012d}.json", marker):
+            if self.model != "append":
                 raise SyncError("CONFLICT", "Another commit changed the target meanwhile", retryable=True)
             # Appends do not depend on each other: take the next free place.
-            version += 1
-            marker["version"] = version
+            marker["version"] += 1
+
+    def _stored_slices(self, spark: SparkSession, path: str) -> list[int]:
+        if self.layout is None:
+            return []
+        mark = f"{_SLICE}="
+        return sorted(int(n.removeprefix(mark)) for n in files.names(spark, path) if n.startswith(mark))

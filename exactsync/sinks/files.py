@@ -33,12 +33,15 @@ def create_json(spark: SparkSession, path: str, content: dict) -> bool:
     return True
 
 
-def read_json(spark: SparkSession, path: str) -> dict:
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    """Content of a small file, None while its writer has not finished it."""
     jpath, fs = _path(spark, path)
     stream = fs.open(jpath)
     try:
         size = fs.getFileStatus(jpath).getLen()
         return json.loads(bytes(stream.readNBytes(int(size))).decode("utf-8"))
+    except ValueError:
+        return None
     finally:
         stream.close()
 
@@ -48,3 +51,9 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     if not fs.exists(jpath):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Drop a staging folder of the engine's own."""
+    jpath, fs = _path(spark, path)
+    fs.delete(jpath, True)

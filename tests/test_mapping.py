@@ -1,0 +1,103 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from exactsync.errors import SyncError
+from exactsync.plans.mapping import SEMANTICS, TargetColumn, check_unchanged, plan_mapping
+
+SOURCE = (
+    T.StructType()
+    .add("id", T.LongType())
+    .add("name", T.StringType())
+    .add("price", T.DoubleType())
+    .add("tags", T.ArrayType(T.StringType()))
+)
+TARGET = (
+    TargetColumn.sql("id", "int", nullable=False),
+    TargetColumn.sql("name", "varchar(10)"),
+    TargetColumn.sql("price", "decimal(9,2)"),
+    TargetColumn.sql("made", "datetime", has_default=True, nullable=False),
+    TargetColumn.sql("hash", "bigint", generated=True, nullable=False),
+)
+BASE = [("id", "id"), ("name", "name")]
+
+
+@pytest.mark.parametrize(
+    "pairs, code",
+    [
+        ([("id", "id"), ("name", "id")], "INVALID_CONFIG"),
+        ([("nope", "id")], "SCHEMA"),
+        ([("ID", "id")], "SCHEMA"),
+        ([("id", "nope")], "SCHEMA"),
+        ([*BASE, ("id", "hash")], "SCHEMA"),
+        ([("name", "name")], "SCHEMA"),
+        ([*BASE, ("name", "price")], "TYPE"),
+        ([*BASE, ("tags", "price")], "TYPE"),
+        ([("", "id")], "INVALID_CONFIG"),
+    ],
+)
+def test_planner_refusals(pairs, code):
+    with pytest.raises(SyncError) as e:
+        plan_mapping(SOURCE, TARGET, pairs)
+    assert e.value.code == code
+
+
+
+def test_report_lists_both_schemas(spark):
+    schema = T.StructType.fromDDL("id bigint, name string")
+    report = plan_mapping(schema, TARGET[:2], ()).report()
+    assert [c["type"] for c in report["source_schema"]] == ["bigint", "string"]
+    assert report["target_schema"][0] == {"name": "id", "type": "int", "nullable": False}
+
+
+def test_apply_guards_and_violations(spark):
+    rows = [(1, "a", 1.25), (2, None, None), (3, "c", 1.001), (None, "d", 2.0), (2**40, "e", 1.0)]
+    df = spark.createDataFrame(rows, "id bigint, name string, price double")
+    plan = plan_mapping(df.schema, TARGET[:3])
+    bad = {r.name: list(r.failed_columns) for r in plan.violations(df).collect()}
+    assert bad == {"c": ["price"], "d": ["id"], "e": ["id"]}
+    assert tuple(plan.violation_counts(df).first()) == (2, 0, 1)
+    good = plan.apply(df.where("id < 3"))
+    assert [tuple(r) for r in good.collect()] == [(1, "a", Decimal("1.25")), (2, None, None)]
+    with pytest.raises(PySparkException, match="NULL in required column id"):
+        plan.apply(df.where("name = 'd'")).collect()
+    with pytest.raises(PySparkException, match="price cannot hold exactly"):
+        plan.apply(df.where("name = 'c'")).collect()
+
+
+def test_guards_fire_on_a_plain_write(spark, root):
+    df = spark.createDataFrame([(1.001,)], "price double")
+    plan = plan_mapping(df.schema, (TARGET[2],))
+    with pytest.raises(PySparkException, match="TYPE"):
+        plan.apply(df).write.parquet(root)
+
+
+def test_one_source_may_feed_two_targets_and_defaults_fill(spark):
+    df = spark.createDataFrame([(7,)], "id bigint")
+    target = (
+        TargetColumn.sql("a", "bigint"),
+        TargetColumn.sql("b", "decimal(20,0)"),
+        TargetColumn.sql("c", "int", nullable=False, has_default=True, default=5),
+        TargetColumn.sql("d", "text"),
+    )
+    out = plan_mapping(df.schema, target, [("id", "b"), ("id", "a")]).apply(df, fill_omitted=True)
+    assert out.columns == ["b", "a", "c", "d"]
+    assert tuple(out.first()) == (Decimal(7), 7, 5, None)
+
+
+def test_null_source_column_feeds_any_target(spark):
+    df = spark.range(1).select(F.lit(None).alias("x"))
+    out = plan_mapping(df.schema, (TargetColumn.sql("x", "decimal(65,5)"),)).apply(df)
+    assert out.first()[0] is None and out.schema[0].dataType == T.StringType()
+
+
+def test_source_drift(spark):
+    a = T.StructType.fromDDL("id bigint, name string")
+    check_unchanged(a, T.StructType.fromDDL("id bigint not null, name string"))
+    for other in ("id int, name string", "name string, id bigint", "id bigint", "id bigint, NAME string"):
+        with pytest.raises(SyncError) as e:
+            check_unchanged(a, T.StructType.fromDDL(other))
+        assert e.value.code == "SCHEMA_CHANGED"
