@@ -63,3 +63,12 @@ def decode_base64(text: Column) -> Column:
 def encode_base64(value: Column) -> Column:
     """Base64 on one line, whatever the session says about line breaks."""
     return F.regexp_replace(F.base64(value), "\r\n", "")
+
+
+def redacted(config):
+    """The same for a configuration still in memory."""
+    if isinstance(config, dict):
+        return {k: REDACTED if k == "password" else redacted(v) for k, v in config.items()}
+    if isinstance(config, (list, tuple)):
+        return [redacted(v) for v in config]
+    return config

@@ -42,6 +42,7 @@ RUNS_SCHEMA = T.StructType(
         T.StructField("commit_unknown", T.BooleanType()),
         T.StructField("error", T.StringType()),
         T.StructField("config", T.StringType()),
+        T.StructField("seq", T.LongType()),
     ]
 )
 EVENTS_SCHEMA = T.StructType(
@@ -57,6 +58,7 @@ EVENTS_SCHEMA = T.StructType(
         T.StructField("affected", T.LongType()),
         T.StructField("detail", T.StringType()),
         T.StructField("ts", T.TimestampType(), False),
+        T.StructField("seq", T.LongType()),
     ]
 )
 
@@ -75,7 +77,7 @@ def current_batches(events: DataFrame, tie: str | None = None) -> DataFrame:
 
 def current_runs(runs: DataFrame) -> DataFrame:
     """Latest row per run of an append-only ``runs`` table."""
-    return _latest(runs, ["run_id"], ["updated_at"])
+    return _latest(runs, ["run_id"], ["seq"])
 
 
 def confirm(batches: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -149,7 +151,8 @@ def with_flags(runs: DataFrame, counters: DataFrame) -> DataFrame:
 
     ``runs`` brings ``run_id``, ``state`` and ``error_unknown``.
     """
-    joined = runs.join(counters, "run_id", "left")
+    known = runs.select("run_id", "state", "error_unknown")
+    joined = known.join(counters.select("run_id", "rows_committed", "pending"), "run_id", "left")
     committed = F.coalesce("rows_committed", F.lit(0))
     pending = F.coalesce("pending", F.lit(False))
     return joined.select(
@@ -167,7 +170,8 @@ def interrupt(runs: DataFrame, counters: DataFrame) -> DataFrame:
     ``runs`` brings ``run_id``, ``state``, ``stage``, ``hooks`` (number of statements of its
     hook stage) and the flags it had.
     """
-    joined = runs.join(counters, "run_id", "left")
+    known = runs.select("run_id", "state", "stage", "hooks", "commit_unknown", "partial_write")
+    joined = known.join(counters.select("run_id", "rows_committed", "pending"), "run_id", "left")
     open_run = ~F.col("state").isin(*TERMINAL_STATES)
     in_hooks = F.col("stage").isin(*HOOK_STAGES) & (F.col("hooks") > 0)
     pending = F.coalesce("pending", F.lit(False))

@@ -1,7 +1,9 @@
-"""Writing the ledger: append-only Parquet tables plus create-once request files.
+"""Writing the ledger: every state change is one small JSON file that is created only once.
 
-Every state change is a new row; the current state is the latest row (see ``states``). The
-ledger gets a few rows per commit group, so its writes are small next to the data.
+The files form two append-only tables that Spark reads back (``runs`` and ``batch_events``, one
+folder per run); the current state is the latest row. Creating a file only if it is absent gives
+the rules their atomicity: one run per request id, one outcome per batch. There are a few files
+per commit group, none per row batch, so the ledger stays small next to the data.
 """
 
 from __future__ import annotations
@@ -13,21 +15,37 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exactsync.errors import SyncError
-from exactsync.functions.text import redact_config
+from exactsync.functions.text import redacted
 from exactsync.ledger import states
 from exactsync.sinks import files
 
+_COUNTERS = (
+    "rows_read",
+    "bytes_read",
+    "rows_submitted",
+    "rows_committed",
+    "rows_filtered",
+    "server_affected_rows",
+    "batches_committed",
+)
+_READ_COUNTERS = ("rows_read", "bytes_read")
+_INTENT, _OUTCOME, _RECONCILED = 0, 1, 2
+
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc)
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat(timespec="microseconds")
+
+
+def _canonical(config: Mapping) -> str:
+    return json.dumps(config, sort_keys=True, default=str)
 
 
 def config_fingerprint(config: Mapping) -> str:
-    return hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode("utf-8")).hexdigest()
+    return hashlib.sha256(_canonical(config).encode("utf-8")).hexdigest()
 
 
 def check_request_id(request_id: str) -> str:
@@ -43,40 +61,40 @@ class Ledger:
 
     # -- tables --------------------------------------------------------------------------
 
-    def _read(self, name: str, schema) -> DataFrame:
-        path = f"{self.root}/{name}"
+    def _table(self, name: str, schema, run_id: str | None = None) -> DataFrame:
+        base = f"{self.root}/{name}"
+        path = f"{base}/run_id={run_id}" if run_id else base
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _append(self, name: str, schema, rows: list[dict]) -> None:
-        values = [tuple(row.get(f.name) for f in schema.fields) for row in rows]
-        frame = self.spark.createDataFrame(values, schema).coalesce(1)
-        if "config" in schema.names:
-            frame = frame.withColumn("config", redact_config(F.col("config")))
-        frame.write.mode("append").partitionBy("run_id").parquet(f"{self.root}/{name}")
+        rows = self.spark.read.schema(schema).option("basePath", base).json(path)
+        return rows.select(*schema.names)
 
-    def events(self) -> DataFrame:
-        return self._read("batch_events", states.EVENTS_SCHEMA)
+    def events(self, run_id: str | None = None) -> DataFrame:
+        return self._table("batch_events", states.EVENTS_SCHEMA, run_id)
 
-    def batches(self) -> DataFrame:
-        return states.current_batches(self.events())
+    def batches(self, run_id: str | None = None) -> DataFrame:
+        return states.current_batches(self.events(run_id), tie="seq")
 
     def runs(self) -> DataFrame:
-        return states.current_runs(self._read("runs", states.RUNS_SCHEMA))
+        return states.current_runs(self._table("runs", states.RUNS_SCHEMA))
 
-    def run(self, run_id: str) -> Row:
-        # A partition filter: only this run's files are read.
-        rows = states.current_runs(
-            self._read("runs", states.RUNS_SCHEMA).where(F.col("run_id") == run_id)
-        ).take(1)
-        if not rows:
-            raise SyncError("NOT_FOUND", "Run not found")
-        return rows[0]
+    def run(self, run_id: str) -> dict:
+        """Latest row of one run, read straight from its folder."""
+        folder = self._folder("runs", run_id)
+        for name in reversed(self._files(folder)):
+            row = files.read_json(self.spark, f"{folder}/{name}")
+            if row is not None:
+                return {"run_id": run_id, **row}
+        raise SyncError("NOT_FOUND", "Run not found")
 
     def run_batches(self, run_id: str) -> DataFrame:
-        mine = self.events().where(F.col("run_id") == run_id)
-        return states.run_batches(states.current_batches(mine), run_id)
+        return states.run_batches(self.batches(run_id), run_id)
+
+    def _folder(self, table: str, run_id: str) -> str:
+        return f"{self.root}/{table}/run_id={run_id}"
+
+    def _files(self, folder: str) -> list[str]:
+        return [n for n in files.names(self.spark, folder) if n.endswith(".json") and not n.startswith(".")]
 
     # -- requests ------------------------------------------------------------------------
 
@@ -86,168 +104,160 @@ class Ledger:
 
     def submit(self, config: Mapping, request_id: str | None = None) -> tuple[str, bool]:
         """Run id and whether it is new. The same request gives the original run."""
-        run_id, print_ = str(uuid.uuid4()), config_fingerprint(config)
+        run_id, fingerprint = str(uuid.uuid4()), config_fingerprint(config)
         if request_id is not None:
             path = self._request_file("requests", request_id)
-            if not files.exists(self.spark, path):
-                if files.exists(self.spark, self._request_file("cancelled", request_id)):
-                    raise SyncError("REQUEST_CANCELLED", "Request was cancelled before submission")
-                entry = {"request_id": request_id, "fingerprint": print_, "run_id": run_id}
-                created = files.create_json(self.spark, path, entry)
-            else:
-                created = False
-            if not created:
-                known = files.read_json(self.spark, path)
-                if known["fingerprint"] != print_:
-                    raise SyncError("CONFLICT", "request_id already belongs to a different configuration")
-                return known["run_id"], False
+            known = self._known_request(path, fingerprint)
+            if known:
+                return known, False
+            if self.cancel_requested(request_id):
+                raise SyncError("REQUEST_CANCELLED", "Request was cancelled before submission")
+            entry = {"request_id": request_id, "fingerprint": fingerprint, "run_id": run_id}
+            if not files.create_json(self.spark, path, entry):
+                return self._known_request(path, fingerprint), False
         self._put_run(
+            run_id,
             {
-                "run_id": run_id,
                 "request_id": request_id,
-                "fingerprint": print_,
+                "fingerprint": fingerprint,
                 "state": "QUEUED",
                 "stage": "queued",
                 "created_at": _now(),
-                "config": json.dumps(config, sort_keys=True, default=str),
+                "config": _canonical(redacted(dict(config))),
                 **_zero_counters(),
-            }
+            },
         )
         return run_id, True
 
+    def _known_request(self, path: str, fingerprint: str) -> str | None:
+        if not files.exists(self.spark, path):
+            return None
+        known = files.read_json(self.spark, path)
+        if known is None or known["fingerprint"] != fingerprint:
+            raise SyncError("CONFLICT", "request_id already belongs to a different configuration")
+        return known["run_id"]
+
     def cancel_request(self, request_id: str) -> str | None:
         """Leave a tombstone; gives the run the request already started, if any."""
-        files.create_json(
-            self.spark, self._request_file("cancelled", request_id), {"request_id": request_id}
-        )
+        tombstone = {"request_id": request_id, "created_at": _now()}
+        files.create_json(self.spark, self._request_file("cancelled", request_id), tombstone)
         path = self._request_file("requests", request_id)
-        if not files.exists(self.spark, path):
+        known = files.read_json(self.spark, path) if files.exists(self.spark, path) else None
+        if known is None:
             return None
-        run_id = files.read_json(self.spark, path)["run_id"]
-        if self.run(run_id)["state"] not in states.TERMINAL_STATES:
-            self.update(run_id, state="CANCELLING")
-        return run_id
+        if self.run(known["run_id"])["state"] not in states.TERMINAL_STATES:
+            self.update(known["run_id"], state="CANCELLING")
+        return known["run_id"]
 
     def cancel_requested(self, request_id: str | None) -> bool:
-        return request_id is not None and files.exists(
-            self.spark, self._request_file("cancelled", request_id)
-        )
+        return request_id is not None and files.exists(self.spark, self._request_file("cancelled", request_id))
 
     # -- runs ----------------------------------------------------------------------------
 
-    def _put_run(self, values: dict) -> None:
-        self._append("runs", states.RUNS_SCHEMA, [{**values, "updated_at": _now()}])
+    def _put_run(self, run_id: str, values: dict) -> None:
+        folder = self._folder("runs", run_id)
+        seq = len(self._files(folder))
+        row = {k: v for k, v in values.items() if k != "run_id"}
+        while not files.create_json(self.spark, f"{folder}/{seq:06d}.json", {**row, "seq": seq, "updated_at": _now()}):
+            seq += 1
 
     def update(self, run_id: str, **changes) -> None:
-        self._put_run({**self.run(run_id).asDict(), **changes})
+        self._put_run(run_id, {**self.run(run_id), **changes})
 
     def finish(self, run_id: str, state: str, error: SyncError | None = None, **changes) -> dict:
         """Terminal row with counters from the batches and the two flags."""
-        mine = states.current_batches(self.events().where(F.col("run_id") == run_id))
-        rolled = states.rollup(mine).drop("run_id").take(1)
-        counters = rolled[0].asDict() if rolled else {**_zero_counters(), "pending": False}
-        pending = bool(counters.pop("pending"))
-        for name in ("rows_read", "bytes_read"):
-            counters.pop(name, None)
-        values = {
-            **self.run(run_id).asDict(),
-            **counters,
-            **changes,
-            "state": state,
-            "partial_write": state != "SUCCEEDED" and counters["rows_committed"] > 0,
-            "commit_unknown": pending or bool(error and error.commit_unknown),
-            "error": json.dumps(error.as_dict()) if error else None,
-        }
-        self._put_run(values)
+        rolled = states.rollup(self.batches(run_id)).drop("run_id").take(1)
+        counters = rolled[0].asDict() if rolled else {}
+        pending = bool(counters.pop("pending", False))
+        base = {c: 0 for c in _COUNTERS if c not in _READ_COUNTERS}
+        values = {**self.run(run_id), **base, **counters, **changes, "state": state}
+        values["partial_write"] = state != "SUCCEEDED" and values["rows_committed"] > 0
+        values["commit_unknown"] = pending or bool(error and error.commit_unknown)
+        values["error"] = json.dumps(error.as_dict()) if error else None
+        self._put_run(run_id, values)
         return values
 
-    def interrupt_unfinished(self, hooks: Mapping[str, int] | None = None) -> None:
-        """After a restart: close unfinished runs without resuming them, in one pass.
+    def interrupt_unfinished(self) -> None:
+        """After a restart: close unfinished runs without resuming them.
 
-        Call it only when no other process writes runs to this ledger.
+        Call it only when no other process runs jobs on this ledger.
         """
-        runs = self.runs()
-        hooks = hooks or {}
-        count = F.lit(0)
+        runs = self.runs().where(~F.col("state").isin(*states.TERMINAL_STATES))
+        hooks = F.lit(0)
         for stage in states.HOOK_STAGES:
-            listed = F.get_json_object("config", f"$.{stage}")
-            known = F.coalesce(F.size(F.from_json(listed, "array<string>")), F.lit(0))
-            count = F.when(F.col("stage") == stage, F.greatest(known, F.lit(hooks.get(stage, 0)))).otherwise(count)
-        open_runs = runs.where(~F.col("state").isin(*states.TERMINAL_STATES)).withColumn("hooks", count)
+            listed = F.from_json(F.get_json_object("config", f"$.{stage}"), "array<string>")
+            hooks = F.when(F.col("stage") == stage, F.coalesce(F.size(listed), F.lit(0))).otherwise(hooks)
         rolled = states.rollup(self.batches())
-        flags = states.interrupt(open_runs, rolled).select("run_id", "state", "commit_unknown", "partial_write")
-        kept = [c for c in runs.columns if c not in ("state", "commit_unknown", "partial_write", *_COUNTERS)]
-        changed = (
-            open_runs.select(*kept, "rows_read", "bytes_read")
-            .join(flags, "run_id")
-            .join(rolled.drop("pending"), "run_id", "left")
-            .na.fill(0, [c for c in _COUNTERS if c not in ("rows_read", "bytes_read")])
-            .withColumn("updated_at", F.current_timestamp())
-            .withColumn("error", F.lit(json.dumps(SyncError("INTERRUPTED", "run is not resumed").as_dict())))
-            .select(*runs.columns)
-        )
-        # The rows read and the rows appended share a folder: fix the input first.
-        changed = changed.checkpoint() if self.spark.sparkContext.getCheckpointDir() else changed
-        changed.write.mode("append").partitionBy("run_id").parquet(f"{self.root}/runs")
+        flags = states.interrupt(runs.withColumn("hooks", hooks), rolled)
+        reason = SyncError("INTERRUPTED", "Restarted; the run is not resumed").as_dict()
+        # One row per run that was open at the crash, bounded by how many may run at once.
+        for row in flags.join(rolled.drop("pending"), "run_id", "left").toLocalIterator():
+            values = {k: v for k, v in row.asDict().items() if v is not None}
+            self.update(values.pop("run_id"), error=json.dumps(reason), **values)
 
     # -- batches -------------------------------------------------------------------------
 
-    def _event(self, run_id: str, batch_id: int, state: str, **values) -> None:
-        row = {"run_id": run_id, "batch_id": batch_id, "state": state, "ts": _now(), **values}
-        self._append("batch_events", states.EVENTS_SCHEMA, [row])
+    def _event(self, run_id: str, batch_id: int, seq: int, state: str, **values) -> bool:
+        row = {"batch_id": batch_id, "state": state, "ts": _now(), "seq": seq, **values}
+        path = f"{self._folder('batch_events', run_id)}/{batch_id:09d}-{seq}.json"
+        return files.create_json(self.spark, path, row)
 
-    def _batch_row(self, run_id: str, batch_id: int) -> Row | None:
-        mine = self.events().where((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
-        rows = states.current_batches(mine).take(1)
-        return rows[0] if rows else None
+    def _announced(self, run_id: str, batch_id: int) -> dict | None:
+        path = f"{self._folder('batch_events', run_id)}/{batch_id:09d}-{_INTENT}.json"
+        return files.read_json(self.spark, path) if files.exists(self.spark, path) else None
 
-    def intent(self, run_id: str, batch_id: int, label: str, rows: int | None = None) -> None:
-        if self._batch_row(run_id, batch_id) is not None:
+    def intent(self, run_id: str, batch_id: int, label: str, rows: int, bytes_: int = 0) -> None:
+        if not self._event(run_id, batch_id, _INTENT, states.INTENT, label=label, rows=rows, bytes=bytes_):
             raise SyncError("STATE_STORE", f"Batch {batch_id} was announced before")
-        self._event(run_id, batch_id, states.INTENT, label=label, rows=rows)
 
     def confirmed(
-        self, run_id: str, batch_id: int, loaded: int, filtered: int, affected: int, bytes_: int = 0, detail: str = ""
+        self, run_id: str, batch_id: int, loaded: int, filtered: int, affected: int, detail: str = ""
     ) -> None:
         """Only from INTENT, and only once."""
-        known = self._batch_row(run_id, batch_id)
-        if known is None or known["state"] != states.INTENT:
+        known = self._announced(run_id, batch_id)
+        values = {"loaded": loaded, "filtered": filtered, "affected": affected, "detail": detail}
+        if known is None or not self._event(
+            run_id, batch_id, _OUTCOME, states.CONFIRMED, **_batch_facts(known), **values
+        ):
             raise SyncError("STATE_STORE", "Cannot confirm an unprepared/already finalized batch")
-        self._event(
-            run_id,
-            batch_id,
-            states.CONFIRMED,
-            label=known["label"],
-            rows=loaded + filtered,
-            bytes=bytes_,
-            loaded=loaded,
-            filtered=filtered,
-            affected=affected,
-            detail=detail,
-        )
 
     def rejected(self, run_id: str, batch_id: int, error: SyncError) -> None:
-        known = self._batch_row(run_id, batch_id)
-        state = states.UNKNOWN if error.commit_unknown else states.NOT_COMMITTED
+        known = self._announced(run_id, batch_id) or {}
         self._event(
             run_id,
             batch_id,
-            state,
-            label=known["label"] if known else None,
-            rows=known["rows"] if known else None,
+            _OUTCOME,
+            states.UNKNOWN if error.commit_unknown else states.NOT_COMMITTED,
+            **_batch_facts(known),
             detail=json.dumps(error.as_dict()),
         )
 
+    def reconcile(self, labels: DataFrame, max_filter_ratio: float = 0.0) -> list[dict]:
+        """Settle pending batches by the labels found in the target; gives what was done to each.
 
-_COUNTERS = (
-    "rows_read",
-    "bytes_read",
-    "rows_submitted",
-    "rows_committed",
-    "rows_filtered",
-    "server_affected_rows",
-    "batches_committed",
-)
+        Only batches that were open at a crash are pending, so they are few.
+        """
+        done = []
+        for row in states.reconcile(self.batches(), labels, max_filter_ratio).toLocalIterator():
+            if row["action"] == "CONFIRM":
+                self._event(
+                    row["run_id"],
+                    row["batch_id"],
+                    _RECONCILED,
+                    states.CONFIRMED,
+                    label=row["label"],
+                    rows=row["rows"],
+                    loaded=row["loaded"],
+                    filtered=(row["rows"] or 0) - (row["loaded"] or 0),
+                    affected=row["loaded"],
+                    detail='{"state":"VISIBLE","reconciled":true}',
+                )
+            done.append(row.asDict())
+        return done
+
+
+def _batch_facts(intent: dict) -> dict:
+    return {name: intent.get(name) for name in ("label", "rows", "bytes")}
 
 
 def _zero_counters() -> dict:

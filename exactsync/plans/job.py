@@ -98,7 +98,7 @@ class SyncJob:
         """Run to a terminal ledger row; the failure, if any, is in its ``error``."""
         run_id, new = ledger.submit(self.config(), self.request_id)
         if not new:
-            return ledger.run(run_id).asDict()
+            return ledger.run(run_id)
         error: SyncError | None = None
         read = {"rows_read": 0, "bytes_read": 0}
         try:
@@ -124,23 +124,29 @@ class SyncJob:
             if ledger.cancel_requested(self.request_id):
                 raise SyncError("CANCELLED", "Cancellation requested")
             label = f"{self.label_prefix}_{run_id.replace('-', '')}_{group}"
-            ledger.intent(run_id, group, label)
+            announced: list[int] = []
+
+            def announce(rows: int, size: int) -> None:
+                # Staged and counted but not visible yet: from here on the outcome must be recorded.
+                if not announced:
+                    ledger.intent(run_id, group, label, rows, size)
+                    announced.append(rows)
+
             try:
-                receipt = self._write(self.transform(frame, plan), label)
+                receipt = self._write(self.transform(frame, plan), label, announce)
             except Exception as e:
                 failure = as_sync_error(e)
-                ledger.rejected(run_id, group, failure)
+                if announced:
+                    ledger.rejected(run_id, group, failure)
                 raise failure from e
             try:
-                ledger.confirmed(
-                    run_id, group, receipt.loaded, receipt.filtered, receipt.affected, receipt.bytes
-                )
+                ledger.confirmed(run_id, group, receipt.loaded, receipt.filtered, receipt.affected)
             except Exception as e:
                 raise SyncError.unknown("Target committed but its receipt could not be saved") from e
             read["rows_read"] += receipt.loaded + receipt.filtered
             read["bytes_read"] += receipt.bytes
 
-    def _write(self, mapped: DataFrame, label: str) -> Receipt:
+    def _write(self, mapped: DataFrame, label: str, announce) -> Receipt:
         for attempt in range(self.retries + 1):
             try:
                 return self.target.write(
@@ -153,6 +159,7 @@ class SyncJob:
                     partitions=self.partitions,
                     max_filter_ratio=self.max_filter_ratio,
                     limits=self.limits,
+                    announce=announce,
                 )
             except SyncError as e:
                 # Only what is known to have changed nothing is sent again, under the same label.

@@ -10,7 +10,7 @@ upsert reads and rewrites only the slices its input touches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -146,8 +146,12 @@ class ParquetTarget:
         partitions: Sequence[object] = (),
         max_filter_ratio: float = 0.0,
         limits: Limits | None = None,
+        announce: Callable[[int, int], None] | None = None,
     ) -> Receipt:
-        """Commit one frame of target columns under ``label``; replaying a label changes nothing."""
+        """Commit one frame of target columns under ``label``; replaying a label changes nothing.
+
+        ``announce(rows, bytes)`` is called when the rows are staged, right before they become visible.
+        """
         spark = df.sparkSession
         accounting.check_ratio_option(max_filter_ratio)
         commits = self.commits(spark)
@@ -155,8 +159,17 @@ class ParquetTarget:
             if known["label"] == label:
                 return Receipt(known["loaded"], known["filtered"], known["affected"], known["bytes"], True)
         if self.model == "upsert":
-            return self._merge(df, label, commits, order, updates)
-        return self._append(df, label, commits, reject, partition, partitions, max_filter_ratio, limits)
+            result, kind, path = self._merge(df, label, commits, order, updates)
+        else:
+            result, kind, path = self._append(
+                df, label, commits, reject, partition, partitions, max_filter_ratio, limits
+            )
+        if announce is not None:
+            announce(result.loaded + result.filtered, result.bytes)
+        self._commit(spark, commits, label, kind, path, result)
+        if self.model == "upsert":
+            files.discard(spark, self._staged_input(label))
+        return result
 
     def _folder(self, label: str) -> str:
         return f"{self.root}/data/_label={label}"
@@ -170,7 +183,7 @@ class ParquetTarget:
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*by) if by else writer).parquet(folder)
 
-    def _append(self, df, label, commits, reject, partition, partitions, max_ratio, limits) -> Receipt:
+    def _append(self, df, label, commits, reject, partition, partitions, max_ratio, limits):
         spark, folder = df.sparkSession, self._folder(label)
         sorted_out = reject is not None or bool(partitions)
         seen = Observation()
@@ -196,8 +209,7 @@ class ParquetTarget:
         if self.model == "insert":
             self._check_new_keys(spark, path, commits)
         result = Receipt(checked["loaded"], checked["filtered"], checked["affected"], got["bytes"] or 0)
-        self._commit(spark, commits, label, "append", path, result)
-        return result
+        return result, "append", path
 
     def _check_new_keys(self, spark: SparkSession, path: str, commits: list[dict]) -> None:
         """Key clashes among the staged rows or with the target; only keys are read."""
@@ -209,13 +221,17 @@ class ParquetTarget:
         if not repeated.isEmpty() or not known.isEmpty():
             raise SyncError("DUPLICATE_KEY", "An inserted key exists already")
 
-    def _merge(self, df, label, commits, order, updates) -> Receipt:
+    def _staged_input(self, label: str) -> str:
+        return f"{self.root}/_stage/{label}"
+
+    def _merge(self, df, label, commits, order, updates) -> tuple[Receipt, str, str]:
         spark, folder, keys = df.sparkSession, self._folder(label), list(self.keys)
         changes = update_columns(df.columns, keys, updates)
         # The input is read several times below, so it is fixed first: sources may change, and a
         # written table also survives lost executors and has a size Spark can plan with.
-        staged_path = f"{self.root}/_stage/{label}"
-        df.write.mode("overwrite").parquet(staged_path)
+        staged_path, seen_in = self._staged_input(label), Observation()
+        df.observe(seen_in, F.sum(row_bytes(df.schema)).alias("bytes")).write.mode("overwrite").parquet(staged_path)
+        got_in = seen_in.get
         staged = spark.read.schema(df.schema).parquet(staged_path)
         touched = None
         if self.layout is not None:
@@ -247,10 +263,7 @@ class ParquetTarget:
         if chained is not None:
             totals = chained.first()
             rows, count = totals["rows"] or 0, totals["affected"] or 0
-        result = Receipt(rows, 0, count)
-        self._commit(spark, commits, label, "replace", folder, result)
-        files.discard(spark, staged_path)
-        return result
+        return Receipt(rows, 0, count, got_in["bytes"] or 0), "replace", folder
 
     def _check_written(self, spark: SparkSession, path: str, rows: int) -> None:
         """The files hold the counted rows; Parquet footers answer without reading data."""
