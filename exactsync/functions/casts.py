@@ -16,11 +16,9 @@ from pyspark.sql import types as T
 from exactsync.errors import SyncError
 from exactsync.functions import decimals
 from exactsync.functions.times import precise_to, shift_instant_to_wall, shift_wall_to_instant
-from exactsync.types import ColumnType, compatible, exact_decimal
+from exactsync.types import ColumnType, compatible, exact_decimal, without_limits
 
 _TWO_63 = float(2**63)
-_LONG = ColumnType(T.LongType())
-_DOUBLE = ColumnType(T.DoubleType())
 _WIDEST = 38
 
 
@@ -32,7 +30,11 @@ def exact_cast(value: Column, src: ColumnType, dst: ColumnType, offset: int = 0)
         return F.lit(None).cast(dst.spark)
     if dst.covers(src):
         return value
-    return _limited(_convert(value, src, dst, offset), dst)
+    converted = _convert(value, src, dst, offset)
+    known = src.range
+    if dst.bounds is not None and known is not None and dst.bounds[0] <= known[0] and known[1] <= dst.bounds[1]:
+        return converted
+    return _limited(converted, dst)
 
 
 def lost(value: Column, converted: Column) -> Column:
@@ -51,8 +53,9 @@ def _limited(converted: Column, dst: ColumnType) -> Column:
     if dst.bounds is not None:
         low, high = dst.bounds
         if dst.kind == "digits":
-            inside = decimals.within_digits(converted, low, high, dst.digits[0])
-        elif dst.kind == "decimal":
+            width = dst.digits[0]
+            return decimals.once(converted, lambda t: F.when(decimals.within_digits(t, low, high, width), t))
+        if dst.kind == "decimal":
             inside = converted.between(F.lit(Decimal(low)), F.lit(Decimal(high)))
         else:
             inside = converted.between(F.lit(low), F.lit(high))
@@ -87,40 +90,80 @@ def _to_boolean(value: Column, src: ColumnType) -> Column:
     return F.when(zero, F.lit(False)).when(value == 1, F.lit(True))
 
 
+# Range checks come before casts: a cast that overflows is answered by an exception inside Spark,
+# which costs a hundred times the cast.
+
+
+def _between(value: Column, low: int, high: int, kind: str) -> Column:
+    wrap = (lambda n: F.lit(Decimal(n))) if kind == "decimal" else F.lit
+    return value.between(wrap(low), wrap(high))
+
+
+def _whole(value: Column, src: ColumnType, dst: ColumnType) -> Column:
+    """Cast to an integer type where it fits, fractions cut off."""
+    low, high = without_limits(dst).range
+    known = src.range
+    if known is not None and low <= known[0] and known[1] <= high:
+        return value.cast(dst.spark)
+    if src.kind == "decimal":
+        room = 10 ** (src.spark.precision - src.spark.scale)
+        if room <= high:
+            return value.cast(dst.spark)
+    return F.when(_between(value, low, high, src.kind), value.cast(dst.spark))
+
+
 def _integer_to_integer(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    return value.try_cast(dst.spark)
+    return _whole(value, src, dst)
 
 
 def _integer_to_float(value: Column, src: ColumnType, dst: ColumnType) -> Column:
     as_float = value.cast(dst.spark)
-    same = as_float.try_cast("bigint") == value.cast("bigint")
+    exact = 2**24 if isinstance(dst.spark, T.FloatType) else 2**53
+    low, high = src.range
+    if -exact <= low and high <= exact:
+        return as_float
     # The largest bigint rounds up to 2**63, and casting that back saturates to the input.
-    return F.when((as_float < F.lit(_TWO_63)) & same, as_float)
+    back = F.when(as_float < F.lit(_TWO_63), as_float.cast("bigint"))
+    return F.when(back == value.cast("bigint"), as_float)
 
 
 def _integer_to_decimal(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    return value.try_cast(dst.spark)
+    room = 10 ** (dst.spark.precision - dst.spark.scale)
+    low, high = src.range
+    if -room < low and high < room:
+        return value.cast(dst.spark)
+    return F.when(_between(value, max(low, 1 - room), min(high, room - 1), "integer"), value.cast(dst.spark))
 
 
 def _integer_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    return decimals.parse_decimal(value.cast("string"), *dst.digits)
+    precision, scale = dst.digits
+    text = value.cast("string")
+    if precision - scale >= 19:
+        return F.concat(text, F.lit("." + "0" * scale)) if scale else text
+    return decimals.parse_decimal(text, precision, scale)
 
 
 def _float_to_integer(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    whole = value.try_cast("bigint")
-    same = (whole.cast(src.spark) == value) & (value < F.lit(_TWO_63)) & ~decimals.negative_zero(value)
-    return F.when(same, whole).try_cast(dst.spark)
+    low, high = without_limits(dst).range
+    inside = (value >= F.lit(float(low))) & (value < F.lit(float(high + 1)))
+    whole = F.when(inside, value.cast("bigint"))
+    return F.when((whole.cast(src.spark) == value) & ~decimals.negative_zero(value), whole.cast(dst.spark))
 
 
 def _float_to_float(value: Column, src: ColumnType, dst: ColumnType) -> Column:
+    if isinstance(dst.spark, T.DoubleType):
+        return value.cast(dst.spark)
     other = value.cast(dst.spark)
     return F.when(other.cast(src.spark) == value, other)
 
 
 def _float_to_decimal(value: Column, src: ColumnType, dst: ColumnType) -> Column:
     t = dst.spark
-    number = decimals.double_to_decimal(value.cast("double"), t.precision, t.scale)
-    return F.when((number.cast(src.spark) == value) & ~decimals.negative_zero(value), number)
+    if isinstance(src.spark, T.FloatType):
+        # The decimal prints the float, not the double it widens to.
+        number = value.cast("double").try_cast(t)
+        return F.when((number.cast(src.spark) == value) & ~decimals.negative_zero(value), number)
+    return F.when(~decimals.negative_zero(value), decimals.double_to_decimal(value, t.precision, t.scale))
 
 
 def _float_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:
@@ -131,39 +174,68 @@ def _float_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:
 
 
 def _decimal_to_integer(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    whole = value.try_cast(dst.spark)
-    return F.when(whole.try_cast(src.spark) == value, whole)
+    whole = _whole(value, src, dst)
+    if src.spark.scale == 0:
+        return whole
+    return F.when(whole.cast(src.spark) == value, whole)
 
 
 def _decimal_to_float(value: Column, src: ColumnType, dst: ColumnType) -> Column:
     t = src.spark
     as_float = value.cast(dst.spark)
+    # So many digits survive the way to binary and back, whatever they are.
+    safe = 6 if isinstance(dst.spark, T.FloatType) else 15
+    if t.precision <= safe:
+        return as_float
     back = decimals.double_to_decimal(as_float.cast("double"), t.precision, t.scale)
-    return F.when(back == value, as_float)
+    checked = F.when(back == value, as_float)
+    if safe < t.scale:
+        return checked
+    return F.when(F.abs(value) < F.lit(Decimal(10) ** (safe - t.scale)), as_float).otherwise(checked)
 
 
 def _decimal_to_decimal(value: Column, src: ColumnType, dst: ColumnType) -> Column:
+    a, b = src.spark, dst.spark
+    if b.scale >= a.scale and b.precision - b.scale >= a.precision - a.scale:
+        return value.cast(b)
     # Comparing in the source type: a wider common type could itself drop fraction digits.
-    other = value.try_cast(dst.spark)
-    return F.when(other.try_cast(src.spark) == value, other)
+    other = value.try_cast(b)
+    if b.precision - b.scale < a.precision - a.scale:
+        room = F.lit(Decimal(10) ** (b.precision - b.scale))
+        other = F.when(F.abs(value) < room, other)
+    return F.when(other.try_cast(a) == value, other)
 
 
 def _decimal_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    return decimals.parse_decimal(decimals.print_decimal(value, src.spark.scale), *dst.digits)
+    precision, scale = dst.digits
+    a = src.spark
+    text = decimals.print_decimal(value, a.scale)
+    if scale >= a.scale and precision - scale >= a.precision - a.scale:
+        missing = "0" * (scale - a.scale)
+        fill = missing if a.scale or not scale else "." + missing
+        return F.concat(text, F.lit(fill)) if fill else text
+    return decimals.parse_decimal(text, precision, scale)
 
 
 def _digits_to_decimal(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    t = dst.spark
-    return decimals.parse_decimal(value, t.precision, t.scale).try_cast(t)
+    t, scale = dst.spark, src.digits[1]
+    if t.precision - t.scale > _WIDEST - scale:
+        return decimals.parse_decimal(value, t.precision, t.scale).cast(t)
+    # All whole digits the target has room for fit next to the source's fraction digits, so
+    # Spark can read the text; its own rules are too lax (it takes '1e3'), hence the pattern.
+    wide = exact_decimal(_WIDEST, scale)
+    read = F.when(value.rlike(decimals.plain_pattern(scale)), value.try_cast(wide.spark))
+    return read if wide.spark == t else decimals.once(read, lambda d: _decimal_to_decimal(d, wide, dst))
 
 
 def _digits_to_integer(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    return decimals.parse_decimal(value, _WIDEST, 0).try_cast("decimal(38,0)").try_cast(dst.spark)
+    return decimals.parse_decimal(value, _WIDEST, 0).try_cast(dst.spark)
 
 
 def _digits_to_float(value: Column, src: ColumnType, dst: ColumnType) -> Column:
     wide = exact_decimal(_WIDEST, min(src.digits[1], _WIDEST))
-    return _decimal_to_float(_digits_to_decimal(value, src, wide), wide, dst)
+    number = _digits_to_decimal(value, src, wide)
+    return decimals.once(number, lambda d: _decimal_to_float(d, wide, dst))
 
 
 def _digits_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:

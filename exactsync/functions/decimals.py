@@ -6,24 +6,43 @@ by "input is not NULL but output is".
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Whole digits a double always holds, the largest exact power of ten, and how many units it counts with an error below one half.
+_PLAIN_DIGITS = 15
+_EXACT_POWER = 22
+_EXACT_UNITS = 2**50
 _TWO_53 = float(2**53)
 _TWO_106 = float(2**106)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with a costly value computed a single time per row.
+
+    Spark computes a value again in each branch that mentions it; a lambda variable is bound once.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decimal_pattern(precision: int, scale: int) -> str:
     """Texts, filled up with zeros, that fit: sign, leading zeros, whole digits, kept digits, zeros.
 
-    \\z and not $, because $ would also accept a trailing newline.
+    A minus is only kept before a digit other than 0. \\z and not $, because $ would also accept a
+    trailing newline.
     """
     room = precision - scale
     whole = f"0|[1-9][0-9]{{0,{room - 1}}}" if room else "0"
-    return rf"^(?:[+]|(-))?0*({whole})[.]([0-9]{{{scale}}})0*\z"
+    return rf"^(?:[+]|(-)(?=[0.]*[1-9])|-)?0*({whole})[.]([0-9]{{{scale}}})0*\z"
+
+
+def plain_pattern(scale: int) -> str:
+    """Decimal texts with no digit other than 0 after the first ``scale`` fraction digits."""
+    return rf"^[+-]?[0-9]+(?:[.][0-9]{{0,{scale}}}0*)?\z"
 
 
 def parse_decimal(text: Column, precision: int, scale: int) -> Column:
@@ -31,14 +50,12 @@ def parse_decimal(text: Column, precision: int, scale: int) -> Column:
 
     The text is an optional sign, one or more digits and an optional fraction, nothing else.
     Digits cut off by ``scale`` must be zeros and at most ``precision`` digits may be left.
-    The argument occurs only twice in the result, so nested conversions stay small.
     """
-    pattern = decimal_pattern(precision, scale)
-    zeros = "0" * scale
+    # A plain chain on purpose: a value used in a condition and again in its branch would be
+    # computed twice, and conversions nest.
+    pattern, zeros = decimal_pattern(precision, scale), "0" * scale
     filled = F.concat(text, F.when(F.contains(text, F.lit(".")), zeros).otherwise("." + zeros))
-    fitting = F.regexp_substr(filled, F.lit(pattern))
-    printed = F.regexp_replace(fitting, pattern, "$1$2.$3" if scale else "$1$2")
-    return F.regexp_replace(printed, r"^-(0(?:[.]0*)?)\z", "$1")
+    return F.regexp_replace(F.regexp_substr(filled, F.lit(pattern)), pattern, "$1$2.$3" if scale else "$1$2")
 
 
 def print_decimal(value: Column, scale: int) -> Column:
@@ -58,15 +75,30 @@ def within_digits(text: Column, low: int, high: int, width: int) -> Column:
 
 
 def double_to_decimal(value: Column, precision: int, scale: int) -> Column:
-    """Decimal equal to a double; NULL for NaN, infinities and values out of range.
+    """Decimal a double stands for, or NULL: casting it back gives the same double.
 
-    Spark goes through the shortest text, which is not the stored number from 2**53 on.
-    There the number is whole, so it is taken apart in exact 53-bit pieces instead: scaling by
-    powers of two and remainders are exact, and casts to bigint cut toward zero.
+    Small numbers are counted in units of the last place. For the others Spark goes through the
+    shortest text, which is not the stored number from 2**53 on. There the number is whole, so it
+    is taken apart in exact 53-bit pieces instead: scaling by powers of two and remainders are
+    exact, and casts to bigint cut toward zero.
     """
     target = T.DecimalType(precision, scale)
-    short = value.try_cast(target)
-    if precision - scale <= 15:
+    if scale > _EXACT_POWER:
+        return _long_way(value, target)
+    power = F.lit(float(10**scale))
+    # As many units as a double counts without error: if any decimal prints this double, it is
+    # the nearest number of units, and dividing back rounds to the double again.
+    units = F.rint(value * power)
+    unit = F.lit(Decimal(1).scaleb(-scale))
+    short = F.when(units / power == value, (units.cast("bigint").cast("decimal(19,0)") * unit).cast(target))
+    near = F.when(F.abs(units) < F.lit(float(min(_EXACT_UNITS, 10**precision))), short)
+    return near if precision <= _PLAIN_DIGITS else near.otherwise(_long_way(value, target))
+
+
+def _long_way(value: Column, target: T.DecimalType) -> Column:
+    text = value.try_cast(target)
+    short = F.when(text.cast("double") == value, text)
+    if target.precision - target.scale <= _PLAIN_DIGITS:
         return short
     digits = lambda piece: piece.try_cast("bigint").cast("decimal(20,0)")
     pieces = (

@@ -62,7 +62,7 @@ def decode_base64(text: Column) -> Column:
 
 def encode_base64(value: Column) -> Column:
     """Base64 on one line, whatever the session says about line breaks."""
-    return F.regexp_replace(F.base64(value), "\r\n", "")
+    return F.replace(F.base64(value), F.lit("\r\n"), F.lit(""))
 
 
 def redacted(config):

@@ -45,6 +45,7 @@ class SyncJob:
     max_filter_ratio: float = 0.0
     max_row_bytes: int = DEFAULT_MAX_ROW_BYTES
     limits: Limits | None = None
+    writers: int | None = None
     retries: int = 2
     backoff_ms: int = 200
     request_id: str | None = None
@@ -57,6 +58,8 @@ class SyncJob:
         check_label_prefix(self.label_prefix)
         if not 0 <= self.retries <= MAX_RETRIES:
             raise SyncError.config(f"retries must be 0..{MAX_RETRIES}")
+        if self.writers is not None and self.writers < 1:
+            raise SyncError.config("writers must be positive")
         plan = plan_mapping(
             self.source.frame(spark, **self.views).schema, self.target.columns, self.mapping, self.time_zone
         )
@@ -72,6 +75,9 @@ class SyncJob:
 
     def transform(self, frame: DataFrame, plan: MappingPlan) -> DataFrame:
         """Guarded target columns of one source frame, lazily. Upserts keep to mapped columns."""
+        if self.writers is not None:
+            # Only for sources that arrive in too few partitions: it moves every row once.
+            frame = frame.repartition(self.writers)
         flat = fixed_row_bytes(frame.schema)
         if flat is None or flat > self.max_row_bytes:
             # The guard is consumed by a filter that keeps every row it does not fail on.

@@ -9,6 +9,9 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
+# A wide guarded copy generates large methods, and HotSpot never compiles those over 8000 bytes of
+# bytecode. Below this limit Spark splits the expressions into small methods instead.
+PREFERRED = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -16,6 +19,9 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key, (default, better) in PREFERRED.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, better)
     return spark
 
 
