@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +21,9 @@ from exactsync.sinks.dataset import ParquetTarget, Receipt
 from exactsync.sinks.hooks import Hook, run_hooks
 from exactsync.sources.table import Source
 
-# Bounds of the retry options.
+# Bounds of the retry and parallelism options.
 MAX_RETRIES = 16
+MAX_PARALLEL_GROUPS = 32
 MAX_BACKOFF_EXPONENT = 10
 
 
@@ -46,6 +48,7 @@ class SyncJob:
     max_row_bytes: int = DEFAULT_MAX_ROW_BYTES
     limits: Limits | None = None
     writers: int | None = None
+    parallel_groups: int = 1
     retries: int = 2
     backoff_ms: int = 200
     request_id: str | None = None
@@ -68,6 +71,13 @@ class SyncJob:
             update_columns(names, self.target.keys, self.updates)
         elif self.updates or self.order:
             raise SyncError.config("update and order columns require upsert")
+        if not 1 <= self.parallel_groups <= MAX_PARALLEL_GROUPS:
+            raise SyncError.config(f"parallel_groups must be 1..{MAX_PARALLEL_GROUPS}")
+        if self.target.model == "upsert" and self.parallel_groups > 1:
+            raise SyncError.config("upsert groups replace the table and cannot run in parallel")
+        writable = [c.name for c in self.target.columns if not c.generated]
+        if self.target.full_row and set(writable) - set(names):
+            raise SyncError.config("A full-row upsert requires all writable target columns")
         for key in self.target.keys:
             if key not in names:
                 raise SyncError.config(f"Key column {key} must be mapped")
@@ -126,31 +136,54 @@ class SyncJob:
         frames = (
             self.source.slices(spark) if self.source.split else [self.source.frame(spark, **self.views)]
         )
-        for group, frame in enumerate(frames):
-            if ledger.cancel_requested(self.request_id):
-                raise SyncError("CANCELLED", "Cancellation requested")
-            label = f"{self.label_prefix}_{run_id.replace('-', '')}_{group}"
-            announced: list[int] = []
-
-            def announce(rows: int, size: int) -> None:
-                # Staged and counted but not visible yet: from here on the outcome must be recorded.
-                if not announced:
-                    ledger.intent(run_id, group, label, rows, size)
-                    announced.append(rows)
+        failures: list[SyncError] = []
+        done: list[Receipt] = []
 
+        def copy(group: int, frame: DataFrame) -> None:
+            # After a failure no new group starts; those under way still record their outcome.
+            if failures:
+                return
             try:
-                receipt = self._write(self.transform(frame, plan), label, announce)
+                if ledger.cancel_requested(self.request_id):
+                    raise SyncError("CANCELLED", "Cancellation requested")
+                done.append(self._copy_group(ledger, run_id, group, frame, plan))
             except Exception as e:
-                failure = as_sync_error(e)
-                if announced:
-                    ledger.rejected(run_id, group, failure)
-                raise failure from e
-            try:
-                ledger.confirmed(run_id, group, receipt.loaded, receipt.filtered, receipt.affected)
-            except Exception as e:
-                raise SyncError.unknown("Target committed but its receipt could not be saved") from e
-            read["rows_read"] += receipt.loaded + receipt.filtered
-            read["bytes_read"] += receipt.bytes
+                failures.append(as_sync_error(e))
+
+        with ThreadPoolExecutor(self.parallel_groups) as pool:
+            list(pool.map(copy, range(len(frames)), frames))
+        read["rows_read"] = sum(r.loaded + r.filtered for r in done)
+        read["bytes_read"] = sum(r.bytes for r in done)
+        error: SyncError | None = None
+        for failure in failures:
+            error = prevailing(error, failure)
+        if error is not None:
+            raise error
+
+    def _copy_group(
+        self, ledger: Ledger, run_id: str, group: int, frame: DataFrame, plan: MappingPlan
+    ) -> Receipt:
+        label = f"{self.label_prefix}_{run_id.replace('-', '')}_{group}"
+        announced: list[int] = []
+
+        def announce(rows: int, size: int) -> None:
+            # Staged and counted but not visible yet: from here on the outcome must be recorded.
+            if not announced:
+                ledger.intent(run_id, group, label, rows, size)
+                announced.append(rows)
+
+        try:
+            receipt = self._write(self.transform(frame, plan), label, announce)
+        except Exception as e:
+            failure = as_sync_error(e)
+            if announced:
+                ledger.rejected(run_id, group, failure)
+            raise failure from e
+        try:
+            ledger.confirmed(run_id, group, receipt.loaded, receipt.filtered, receipt.affected)
+        except Exception as e:
+            raise SyncError.unknown("Target committed but its receipt could not be saved") from e
+        return receipt
 
     def _write(self, mapped: DataFrame, label: str, announce) -> Receipt:
         for attempt in range(self.retries + 1):

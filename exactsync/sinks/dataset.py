@@ -35,6 +35,12 @@ from exactsync.sinks import files
 from exactsync.sources.split import RangeSplit
 
 _EFFECT, _SLICE = "_effect", "_slice"
+# From so many markers on, one Spark job reads them faster than the driver one by one.
+_MANY_COMMITS = 64
+_COMMIT = (
+    "version bigint, label string, kind string, path string, slices array<int>, "
+    "loaded bigint, filtered bigint, affected bigint, bytes bigint"
+)
 
 
 @dataclass(frozen=True)
@@ -48,13 +54,17 @@ class Receipt:
 
 @dataclass(frozen=True)
 class ParquetTarget:
-    """``model`` is "append" (duplicates kept), "insert" (key clashes fail) or "upsert"."""
+    """``model`` is "append" (duplicates kept), "insert" (key clashes fail) or "upsert".
+
+    ``full_row`` upserts take no partial rows: every writable column must be mapped.
+    """
 
     root: str
     columns: tuple[TargetColumn, ...]
     model: str = "append"
     keys: tuple[str, ...] = ()
     layout: RangeSplit | None = None
+    full_row: bool = False
 
     def __post_init__(self):
         if self.model not in ("append", "insert", "upsert"):
@@ -73,6 +83,9 @@ class ParquetTarget:
         """Markers in commit order: one per commit group, not per row batch."""
         folder = f"{self.root}/_commits"
         found = [n for n in files.names(spark, folder) if n.endswith(".json") and not n.startswith(".")]
+        if len(found) > _MANY_COMMITS:
+            rows = spark.read.schema(_COMMIT).option("mode", "DROPMALFORMED").json(folder)
+            return [r.asDict() for r in rows.where("label IS NOT NULL").sort("version").collect()]
         markers = [files.read_json(spark, f"{folder}/{n}") for n in found]
         return [m for m in markers if m is not None]
 
@@ -217,7 +230,8 @@ class ParquetTarget:
             return
         staged = self._scan(spark, path)
         repeated = duplicate_keys(staged, self.keys)
-        known = insert_conflicts(staged, self.read(spark, commits), self.keys)
+        touched = set(self._stored_slices(spark, path)) if self.layout is not None else None
+        known = insert_conflicts(staged, self.read(spark, commits, touched), self.keys)
         if not repeated.isEmpty() or not known.isEmpty():
             raise SyncError("DUPLICATE_KEY", "An inserted key exists already")
 
@@ -249,21 +263,15 @@ class ParquetTarget:
             if not duplicate_keys(staged, keys).isEmpty():
                 raise SyncError("DUPLICATE_KEY", "Incoming keys repeat and no order is given")
             incoming = staged
-        seen = Observation()
-        merged = upsert(target, incoming, keys, changes, effect=_EFFECT).observe(
-            seen,
-            F.count(F.lit(1)).alias("total"),
-            F.count(_EFFECT).alias("rows"),
-            F.sum(_EFFECT).alias("affected"),
-        )
-        self._store(merged.drop(_EFFECT), folder, gather=True)
-        got = seen.get
-        self._check_written(spark, folder, got["total"])
-        rows, count = got["rows"], got["affected"] or 0
-        if chained is not None:
-            totals = chained.first()
-            rows, count = totals["rows"] or 0, totals["affected"] or 0
-        return Receipt(rows, 0, count, got_in["bytes"] or 0), "replace", folder
+        # The effect of each row is stored with it and summed up from the files: a metric observed
+        # before a shuffle would count a lost executor's rows twice.
+        merged = upsert(target, incoming, keys, changes, effect=_EFFECT)
+        self._store(merged, folder, gather=True)
+        effects = T.StructType([T.StructField(_EFFECT, T.LongType())])
+        stored = spark.read.schema(effects).parquet(folder)
+        totals = chained if order else stored.agg(F.count(_EFFECT).alias("rows"), F.sum(_EFFECT).alias("affected"))
+        got = totals.first()
+        return Receipt(got["rows"] or 0, 0, got["affected"] or 0, got_in["bytes"] or 0), "replace", folder
 
     def _check_written(self, spark: SparkSession, path: str, rows: int) -> None:
         """The files hold the counted rows; Parquet footers answer without reading data."""

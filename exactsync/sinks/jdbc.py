@@ -74,17 +74,5 @@ class JdbcTarget:
             raise SyncError.unknown("COMMIT response missing; look for the label before rerunning") from e
 
 
-def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], updates: Sequence[str] = ()) -> None:
-    """Upsert into a catalog table whose format supports MERGE; Spark plans and commits it."""
-    changes = update_columns(incoming.columns, keys, updates)
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (F.col(f"{table}.{quoted(k)}") == F.col(f"source.{quoted(k)}"))
-    source = incoming.alias("source")
-    merge = source.mergeInto(table, condition)
-    merge = merge.whenMatched().update({u: F.col(f"source.{quoted(u)}") for u in changes})
-    merge.whenNotMatched().insert({c: F.col(f"source.{quoted(c)}") for c in incoming.columns}).merge()
-
-
 def _qualified(name: str) -> str:
     return ".".join(quoted(part) for part in name.split("."))

@@ -9,6 +9,7 @@ from exactsync.operators.batching import Limits
 from exactsync.operators.verify import row_diff
 from exactsync.plans.mapping import TargetColumn
 from exactsync.sinks import files
+from exactsync.sinks.catalog import append_to_table, table_columns
 from exactsync.sinks.dataset import ParquetTarget
 from exactsync.sinks.hooks import run_hooks
 from exactsync.sinks.jdbc import JdbcTarget
@@ -193,3 +194,27 @@ def test_exact_decimal_columns_round_trip_through_files(spark, root):
     back = target.read(spark)
     assert [tuple(r) for r in back.collect()] == [("1" * 60 + ".12345", Decimal(2**64 - 1))]
     assert back.schema["d"].metadata["exact_decimal"] == [65, 5]
+
+
+def test_catalog_appends_are_labelled(spark):
+    spark.sql("DROP TABLE IF EXISTS labelled")
+    spark.sql("CREATE TABLE labelled (k BIGINT NOT NULL, v STRING, _label STRING) USING parquet PARTITIONED BY (_label)")
+    assert [c.name for c in table_columns(spark, "labelled")] == ["k", "v"]
+    for label, rows in (("l0", [(1, "a")]), ("l1", [(2, "b")]), ("l1", [(2, "b")])):
+        append_to_table(frame(spark, *rows), "labelled", label)
+    assert sorted(tuple(r) for r in spark.table("labelled").collect()) == [(1, "a", "l0"), (2, "b", "l1")]
+    with pytest.raises(SyncError):
+        table_columns(spark, "missing_table")
+    spark.sql("DROP TABLE labelled")
+
+
+def test_many_commits_are_read_by_spark(spark, root, monkeypatch):
+    from exactsync.sinks import dataset
+
+    target = ParquetTarget(root, KEYED, "upsert", ("k",), RangeSplit("k", 0, 100, 5))
+    for i in range(3):
+        target.write(frame(spark, (i, "a"), (90, str(i))), f"l{i}")
+    one_by_one = target.commits(spark)
+    monkeypatch.setattr(dataset, "_MANY_COMMITS", 1)
+    assert target.commits(spark) == one_by_one
+    assert content(target, spark) == [(0, "a"), (1, "a"), (2, "a"), (90, "2")]

@@ -265,3 +265,22 @@ def test_job_options_are_checked(spark, root, orders):
     ):
         with pytest.raises(SyncError):
             bad.plan(spark)
+
+
+def test_groups_run_in_parallel(spark, root, orders, ledger):
+    source = Source(path=orders, split=RangeSplit("id", 10, 30, 4))
+    target = order_target(root)
+    run = SyncJob(source, target, parallel_groups=3, writers=2).run(spark, ledger)
+    assert (run["state"], run["rows_committed"], run["batches_committed"]) == ("SUCCEEDED", 47, 4)
+    assert target.read(spark).count() == 47
+    assert sorted(c["version"] for c in target.commits(spark)) == [0, 1, 2, 3]
+
+
+def test_full_row_upserts_need_every_column(spark, root, orders):
+    columns = order_target(root, model="upsert", keys=("id",)).columns
+    target = ParquetTarget(f"{root}/full", columns, "upsert", ("id",), full_row=True)
+    SyncJob(Source(path=orders), target).plan(spark)
+    with pytest.raises(SyncError):
+        SyncJob(Source(path=orders), target, (("id", "id"), ("notes", "notes"))).plan(spark)
+    with pytest.raises(SyncError):
+        SyncJob(Source(path=orders), target, parallel_groups=2).plan(spark)
