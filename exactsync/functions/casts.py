@@ -73,6 +73,10 @@ def _convert(value: Column, src: ColumnType, dst: ColumnType, offset: int) -> Co
         if a == b:
             return value
         return shift_instant_to_wall(value, offset) if b == "wall" else shift_wall_to_instant(value, offset)
+    if a == b and not src.numeric:
+        # Two spellings of one kind, such as varchar and string or interval units.
+        other = value.cast(dst.spark)
+        return F.when(other.cast(src.spark) == value, other)
     if a == "boolean":
         return exact_cast(value.cast("int"), ColumnType(T.IntegerType()), dst)
     if b == "boolean":

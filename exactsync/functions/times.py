@@ -66,6 +66,17 @@ def precise_to(ts: Column, dst) -> Column:
     return has_precision(ts, dst.second_digits)
 
 
+def nanos_to_instant(nanos: Column) -> Column:
+    """Instant of nanoseconds since 1970 (as nanosecond files are read); NULL below a microsecond."""
+    whole = F.when(nanos % 1000 == 0, nanos)
+    return F.timestamp_micros(_div(whole, 1000))
+
+
+def bindable_year(value: Column) -> Column:
+    """The calendar year fits a database date, 0 to 9999."""
+    return F.year(value).between(0, 9999)
+
+
 def parse_date(text: Column) -> Column:
     """Date of ``YYYY-MM-DD`` text; NULL for zero and impossible dates."""
     shape = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & ~text.startswith("0000")

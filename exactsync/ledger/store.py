@@ -90,6 +90,20 @@ class Ledger:
     def run_batches(self, run_id: str) -> DataFrame:
         return states.run_batches(self.batches(run_id), run_id)
 
+    def page(self, limit: int = states.DEFAULT_PAGE, offset: int = 0) -> DataFrame:
+        """Runs, newest first."""
+        return states.runs_page(self.runs(), limit, offset)
+
+    def request(self, request_id: str) -> dict:
+        """The run a request started and whether its cancellation was asked for."""
+        path = self._request_file("requests", request_id)
+        known = files.read_json(self.spark, path) if files.exists(self.spark, path) else None
+        cancelled = self.cancel_requested(request_id)
+        if known is None and not cancelled:
+            raise SyncError("NOT_FOUND", "Request not found")
+        run = self.run(known["run_id"]) if known else None
+        return {"request_id": request_id, "cancel_requested": cancelled, "run": run}
+
     def _folder(self, table: str, run_id: str) -> str:
         return f"{self.root}/{table}/run_id={run_id}"
 

@@ -450,3 +450,21 @@ def base64_roundtrip(spark, sf):
         F.octet_length(text.decode_base64(F.col("encoded"))).cast("bigint").alias("n_bytes"),
         text.decode_base64(broken).isNull().alias("malformed"),
     )
+
+
+_NANOS = "SELECT event_id, event_id * 1000003 * 1000 + (CASE WHEN user_id % 2 = 0 THEN 0 ELSE user_id END) AS nanos FROM {events}"
+
+
+@query(
+    "nanosecond_loss",
+    f"""
+    SELECT event_id, nanos, CASE WHEN nanos % 1000 = 0 THEN nanos // 1000 END AS micros,
+           CASE WHEN nanos % 1000 = 0 THEN year(make_timestamp(nanos // 1000)) BETWEEN 0 AND 9999 END AS year_fits
+    FROM ({_NANOS})
+    """,
+)
+def nanosecond_loss(spark, sf):
+    instant = times.nanos_to_instant(F.col("nanos"))
+    return derive(spark, sf, _NANOS).select(
+        "event_id", "nanos", F.unix_micros(instant).alias("micros"), times.bindable_year(instant).alias("year_fits")
+    )

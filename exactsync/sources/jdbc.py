@@ -22,8 +22,9 @@ RESERVED_VARIABLES = {
     "autocommit",
     "sql_mode",
 }
-SNAPSHOT = "SET SESSION TRANSACTION ISOLATION LEVEL REPEATABLE READ, READ ONLY"
-STATEMENT = "SET SESSION TRANSACTION READ ONLY"
+# One SET statement per connection, since drivers run a single statement at a time.
+READ_ONLY = "transaction_read_only = 1"
+REPEATABLE = "transaction_isolation = 'REPEATABLE-READ'"
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,8 @@ class JdbcSource:
         offset_seconds(self.time_zone)
         settings = [f"time_zone = {string_literal(self.time_zone)}"]
         settings += [f"{name} = {string_literal(v)}" for name, v in self.variables.items()]
-        isolation = SNAPSHOT if self.consistency == "snapshot" else STATEMENT
-        return f"SET {', '.join(settings)}; {isolation}"
+        settings += [REPEATABLE, READ_ONLY] if self.consistency == "snapshot" else [READ_ONLY]
+        return f"SET {', '.join(settings)}"
 
     def relation(self) -> str:
         """Table expression for the reader; projection and predicate stay in the database."""

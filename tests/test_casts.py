@@ -231,3 +231,13 @@ def test_labels_and_identifiers(spark):
             text.check_label_prefix(bad)
     with pytest.raises(SyncError):
         text.quoted("a\0")
+
+
+def test_nanoseconds_and_spellings(spark):
+    df = spark.createDataFrame([(1_000_000_001_000,), (1_001,), (-2_000,)], "n bigint")
+    micros = F.unix_micros(times.nanos_to_instant(F.col("n")))
+    assert [r[0] for r in df.select(micros).collect()] == [1_000_000_001, None, -2]
+    days, full = of_spark(T.DayTimeIntervalType(0, 0)), of_spark(T.DayTimeIntervalType())
+    span = spark.sql("SELECT INTERVAL '1 02:00:00' DAY TO SECOND AS a, INTERVAL '3 00:00:00' DAY TO SECOND AS b")
+    row = span.select(exact_cast(F.col("a"), full, days).alias("a"), exact_cast(F.col("b"), full, days).alias("b")).first()
+    assert row.a is None and row.b == dt.timedelta(days=3)

@@ -33,6 +33,11 @@ def test_tombstone_refuses_a_later_submission(ledger):
         ledger.submit({"a": 1}, "r1")
     assert e.value.code == "REQUEST_CANCELLED"
     run_id, _ = ledger.submit({"a": 1}, "r2")
+    assert ledger.request("r2")["run"]["run_id"] == run_id and not ledger.request("r2")["cancel_requested"]
+    assert ledger.request("r1") == {"request_id": "r1", "cancel_requested": True, "run": None}
+    with pytest.raises(SyncError):
+        ledger.request("r3")
+    assert [r.run_id for r in ledger.page().collect()] == [run_id]
     assert ledger.cancel_request("r2") == run_id
     assert ledger.run(run_id)["state"] == "CANCELLING"
 

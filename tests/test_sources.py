@@ -144,8 +144,11 @@ def test_jdbc_options_need_no_database():
     )
     assert source.relation() == "(SELECT `id`,`name`,`part` FROM `db`.`orders` WHERE (id > 5)) source_query"
     options = source.reader_options()
-    assert "REPEATABLE READ" in options["sessionInitStatement"]
-    assert "time_zone = '+08:00'" in options["sessionInitStatement"]
+    assert options["sessionInitStatement"] == (
+        "SET time_zone = '+08:00', lock_wait_timeout = '5', transaction_isolation = 'REPEATABLE-READ', "
+        "transaction_read_only = 1"
+    )
+    assert "isolation" not in JdbcSource("u", table="t", consistency="statement").session_init()
     assert JdbcSource("u", query="SELECT 1 AS a;").relation() == "(SELECT 1 AS a) source_query"
     with pytest.raises(SyncError):
         JdbcSource("u", table="t", variables={"SQL_MODE": ""}).session_init()
