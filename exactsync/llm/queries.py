@@ -48,3 +48,42 @@ def packing(spark, sf_dir):
     from exactsync.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), byte_bpe())
+
+
+_LINE_SQL = """
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM cut),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+frequent AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT k.*, f.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN frequent f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op10_line_dedup", _LINE_SQL)
+def line_dedup(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from exactsync.llm.lines import dedupe_lines
+
+    done = dedupe_lines(table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_secrets")
+def secret_scan(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from exactsync.llm import secrets
+
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS[:3]),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
