@@ -87,3 +87,10 @@ def secret_scan(spark, sf_dir):
         F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
         secrets.joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
     )
+
+
+@query("op2_simhash")
+def simhash_classes(spark, sf_dir):
+    from exactsync.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
