@@ -94,3 +94,11 @@ def simhash_classes(spark, sf_dir):
     from exactsync.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_mixing")
+def mixing(spark, sf_dir):
+    from exactsync.llm.mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
