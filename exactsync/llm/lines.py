@@ -96,7 +96,7 @@ def apply_bitmaps(docs: DataFrame, maps: DataFrame, id_column: str = "doc_id", t
         _text(text_column).alias("whole"),
     ).withColumn("hash", F.xxhash64("whole"))
     same = rows["doc"].eqNullSafe(maps["id"]) & (rows["hash"] == maps["print"])
-    joined = rows.join(maps, same, "left")
+    joined = rows.join(maps.hint("merge"), same, "left")  # bitmaps grow with the documents: never broadcast them
 
     def stays(_line: Column, at: Column) -> Column:
         word = F.coalesce(F.try_element_at("words", F.floor(at / _WORD).cast("int")), F.lit(0).cast("long"))
