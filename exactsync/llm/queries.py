@@ -102,3 +102,10 @@ def mixing(spark, sf_dir):
 
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_vector_dedup")
+def vector_dedup(spark, sf_dir):
+    from exactsync.llm.vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
