@@ -109,3 +109,10 @@ def vector_dedup(spark, sf_dir):
     from exactsync.llm.vectors import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_nearest")
+def nearest_vectors(spark, sf_dir):
+    from exactsync.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
