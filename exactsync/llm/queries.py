@@ -116,3 +116,10 @@ def nearest_vectors(spark, sf_dir):
     from exactsync.llm.neighbours import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_language_id")
+def language_id(spark, sf_dir):
+    from exactsync.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
