@@ -123,3 +123,11 @@ def language_id(spark, sf_dir):
     from exactsync.llm.language import identify
 
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def quality_scores(spark, sf_dir):
+    from exactsync.llm import quality
+
+    documents = table(spark, sf_dir, "documents")
+    return quality.scored(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
