@@ -53,7 +53,7 @@ def repeated_lines(
 ) -> DataFrame:
     """``id``, ``print``, ``pos`` of the lines to drop: those whose key is in ``min_documents`` documents or more.
 
-    ``keep_first`` spares the first of them by document and position.
+    ``keep_first`` spares the first of them by document and position (in all rows that repeat that document).
     """
     spark = docs.sparkSession
     lines = staged(line_hashes(docs, id_column, text_column, max(1, min_chars)), "lines")
@@ -66,7 +66,7 @@ def repeated_lines(
     in_order = Window.partitionBy("h1", "h2", "slice").orderBy("id", "print", "copy", "pos")
     first = F.lag("copy").over(in_order)
     streamed = ranged.withColumn("first", F.coalesce(first != F.col("copy"), F.lit(True)))
-    place = F.struct("id", "print", "copy", "pos")
+    place = F.struct("id", "print", "pos")
     totals = [F.count_if("first").alias("documents")] + ([F.min(place).alias("place")] if keep_first else [])
     by_key = streamed.groupBy("h1", "h2").agg(*totals).where(F.col("documents") >= min_documents)
     frequent = staged(by_key.drop("documents"), "frequent")
