@@ -1,7 +1,7 @@
 """Lossless conversion between column types as JVM-side expressions (no Python per row).
 
 ``exact_cast`` gives NULL where the target type cannot hold the value exactly; nothing is
-rounded, truncated or saturated. ``guarded`` turns such a NULL into an error and ``lost``
+rounded, truncated or saturated. The mapping turns such a NULL into an error and ``lost``
 reports it, so the same expression serves the copy and the violation report.
 """
 
@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 
 from exactsync.errors import SyncError
 from exactsync.functions import decimals
-from exactsync.functions.times import precise_to, shift_instant_to_wall, shift_wall_to_instant
+from exactsync.functions.times import (
+    bindable_year,
+    interval_micros,
+    precise_to,
+    shift_instant_to_wall,
+    shift_wall_to_instant,
+    time_in_range,
+)
 from exactsync.types import ColumnType, compatible, exact_decimal, without_limits
 
 _TWO_63 = float(2**63)
@@ -32,7 +39,8 @@ def exact_cast(value: Column, src: ColumnType, dst: ColumnType, offset: int = 0)
         return value
     converted = _convert(value, src, dst, offset)
     known = src.range
-    if dst.bounds is not None and known is not None and dst.bounds[0] <= known[0] and known[1] <= dst.bounds[1]:
+    narrow = dst.length is not None or dst.sql_range
+    if not narrow and dst.bounds is not None and known is not None and dst.bounds[0] <= known[0] and known[1] <= dst.bounds[1]:
         return converted
     return _limited(converted, dst)
 
@@ -42,13 +50,6 @@ def lost(value: Column, converted: Column) -> Column:
     return value.isNotNull() & converted.isNull()
 
 
-def guarded(value: Column, converted: Column, message: str) -> Column:
-    """``converted``, failing the task on a loss. Wrap the written value itself: a guard
-    nobody reads is pruned by the optimizer."""
-    text = F.concat(F.lit(f"TYPE: {message}: "), value.cast("string"))
-    return F.coalesce(converted, F.when(value.isNotNull(), F.raise_error(text)))
-
-
 def _limited(converted: Column, dst: ColumnType) -> Column:
     if dst.bounds is not None:
         low, high = dst.bounds
@@ -62,6 +63,12 @@ def _limited(converted: Column, dst: ColumnType) -> Column:
         converted = F.when(inside, converted)
     if dst.second_digits is not None and dst.second_digits < 6:
         converted = F.when(precise_to(converted, dst), converted)
+    if dst.length is not None:
+        size = F.octet_length(converted) if dst.kind == "binary" else F.char_length(converted)
+        converted = F.when(size <= dst.length, converted)
+    if dst.sql_range:
+        inside = time_in_range(interval_micros(converted)) if dst.kind == "duration" else bindable_year(converted)
+        converted = F.when(inside, converted)
     return converted
 
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from exactsync.errors import SyncError
 
 REDACTED = "[REDACTED]"
-# Fixed value: a "password" member with a text, flat object, flat array or bare value.
-PASSWORD_MEMBER = (
-    r'"password"\s*:\s*("(?:[^"\\]|\\.)*"|\{[^{}]*\}|\[[^\[\]]*\]|[^\s,{}\[\]"]+)'
-)
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}\[\],:]|[^\s{}\[\],:"]+', re.DOTALL)
 _SEPARATOR = "\x1f"
 _NULL_MARK = "\x1e"
 
@@ -50,9 +49,47 @@ def fingerprint(*fields: Column) -> Column:
     return F.sha2(F.concat_ws(_SEPARATOR, *marked), 256)
 
 
+def redact_json(text: str | None) -> str | None:
+    """JSON text with the value of every "password" member replaced, whatever it is and however deep it stands.
+
+    The rest of the text stays as it is. A value that does not end takes the rest of the text with it.
+    """
+    if text is None:
+        return None
+    tokens = list(_JSON_TOKEN.finditer(text))
+    out, done, at = [], 0, 0
+    while at + 1 < len(tokens):
+        name = tokens[at]
+        if not (tokens[at + 1][0] == ":" and name[0].startswith('"') and _member_name(name[0]) == "password"):
+            at += 1
+            continue
+        end, depth = at + 2, 0
+        while end < len(tokens):
+            depth += {"{": 1, "[": 1, "}": -1, "]": -1}.get(tokens[end][0], 0)
+            end += 1
+            if depth <= 0:
+                break
+        out += [text[done : name.start()], f'"password":"{REDACTED}"']
+        done = tokens[end - 1].end() if depth <= 0 else len(text)
+        at = end
+    return "".join(out) + text[done:]
+
+
+def _member_name(token: str) -> str | None:
+    try:
+        return json.loads(token, strict=False)
+    except ValueError:
+        return None
+
+
 def redact_config(config: Column) -> Column:
-    """Configuration JSON with every password replaced, at any depth."""
-    return F.regexp_replace(config, PASSWORD_MEMBER, f'"password":"{REDACTED}"')
+    """Configuration JSON with every password replaced, at any depth; configurations are few and small."""
+
+    @F.pandas_udf("string")
+    def redact(texts: pd.Series) -> pd.Series:
+        return texts.map(redact_json)
+
+    return redact(config)
 
 
 def decode_base64(text: Column) -> Column:

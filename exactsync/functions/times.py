@@ -91,6 +91,13 @@ def time_to_micros(text: Column) -> Column:
     return F.when(text.rlike(TIME_TEXT), F.when(text.startswith("-"), -whole).otherwise(whole))
 
 
+def interval_micros(value: Column) -> Column:
+    """Signed microseconds of a day-time interval; NULL beyond what a bigint holds."""
+    part = lambda field: F.extract(F.lit(field), value).cast("decimal(38,6)")
+    seconds = part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")
+    return (seconds * MICROS).try_cast("bigint")
+
+
 def time_in_range(micros: Column) -> Column:
     return F.floor(F.abs(micros) / MICROS) <= MAX_TIME_SECONDS
 

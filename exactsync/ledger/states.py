@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from exactsync.errors import SyncError
 from exactsync.functions.text import batch_label
 
 # The states of batches and runs, and the label states a target reports.
@@ -215,8 +216,11 @@ def request_status(request_ids: DataFrame, runs: DataFrame, cancelled: DataFrame
 
 def runs_page(runs: DataFrame, limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
     """Newest runs first. Spark keeps ``offset + limit`` rows per task, no full sort."""
-    limit = min(max(limit, 1), MAX_PAGE)
-    return runs.orderBy(F.col("created_at").desc(), F.col("run_id").desc()).offset(max(offset, 0)).limit(limit)
+    if not 1 <= limit <= MAX_PAGE:
+        raise SyncError.config(f"a page has 1 to {MAX_PAGE} runs, not {limit}")
+    if offset < 0:
+        raise SyncError.config("a page cannot begin before the first run")
+    return runs.orderBy(F.col("created_at").desc(), F.col("run_id").desc()).offset(offset).limit(limit)
 
 
 def run_batches(batches: DataFrame, run_id: str) -> DataFrame:

@@ -82,9 +82,7 @@ class Ledger:
         """Latest row of one run, read straight from its folder."""
         folder = self._folder("runs", run_id)
         for name in reversed(self._files(folder)):
-            row = files.read_json(self.spark, f"{folder}/{name}")
-            if row is not None:
-                return {"run_id": run_id, **row}
+            return {"run_id": run_id, **files.read_json(self.spark, f"{folder}/{name}")}
         raise SyncError("NOT_FOUND", "Run not found")
 
     def run_batches(self, run_id: str) -> DataFrame:
@@ -147,8 +145,8 @@ class Ledger:
         if not files.exists(self.spark, path):
             return None
         known = files.read_json(self.spark, path)
-        if known is None or known["fingerprint"] != fingerprint:
-            raise SyncError("CONFLICT", "request_id already belongs to a different configuration")
+        if known["fingerprint"] != fingerprint:
+            raise SyncError("CONFLICT", "this request_id was used for another configuration before")
         return known["run_id"]
 
     def cancel_request(self, request_id: str) -> str | None:
@@ -176,7 +174,17 @@ class Ledger:
             seq += 1
 
     def update(self, run_id: str, **changes) -> None:
-        self._put_run(run_id, {**self.run(run_id), **changes})
+        """Add a row with the changes; what another writer has put there meanwhile is read again, never undone."""
+        folder = self._folder("runs", run_id)
+        while True:
+            names = self._files(folder)
+            row = files.read_json(self.spark, f"{folder}/{names[-1]}") if names else {}
+            if row.get("state") == "CANCELLING" and changes.get("state") == "RUNNING":
+                changes = {k: v for k, v in changes.items() if k != "state"}
+            seq = len(names)
+            new = {**{k: v for k, v in row.items() if k != "run_id"}, **changes, "seq": seq, "updated_at": _now()}
+            if files.create_json(self.spark, f"{folder}/{seq:06d}.json", new):
+                return
 
     def finish(self, run_id: str, state: str, error: SyncError | None = None, **changes) -> dict:
         """Terminal row with counters from the batches and the two flags."""
@@ -252,23 +260,50 @@ class Ledger:
         Only batches that were open at a crash are pending, so they are few.
         """
         done = []
-        for row in states.reconcile(self.batches(), labels, max_filter_ratio).toLocalIterator():
+        if "affected" not in labels.columns:
+            labels = labels.withColumn("affected", F.lit(None).cast("bigint"))
+        settled = states.reconcile(self.batches(), labels, max_filter_ratio)
+        effects = labels.select("label", "affected")
+        for row in settled.join(effects, "label", "left").toLocalIterator():
+            facts = {"label": row["label"], "rows": row["rows"]}
             if row["action"] == "CONFIRM":
+                affected = row["loaded"] if row["affected"] is None else row["affected"]
                 self._event(
                     row["run_id"],
                     row["batch_id"],
                     _RECONCILED,
                     states.CONFIRMED,
-                    label=row["label"],
-                    rows=row["rows"],
+                    **facts,
                     loaded=row["loaded"],
                     filtered=(row["rows"] or 0) - (row["loaded"] or 0),
-                    affected=row["loaded"],
+                    affected=affected,
                     detail='{"state":"VISIBLE","reconciled":true}',
                 )
+            elif row["action"] == "RETRY":
+                self._event(
+                    row["run_id"],
+                    row["batch_id"],
+                    _RECONCILED,
+                    states.NOT_COMMITTED,
+                    **facts,
+                    detail='{"state":"ABORTED","reconciled":true}',
+                )
             done.append(row.asDict())
+        for run_id in sorted({d["run_id"] for d in done if d["action"] in ("CONFIRM", "RETRY")}):
+            self._roll_up_again(run_id)
         return done
 
+    def _roll_up_again(self, run_id: str) -> None:
+        """Counters and flags of a finished run after its batches were settled; its state stays."""
+        known = self.run(run_id)
+        if known["state"] not in states.TERMINAL_STATES:
+            return
+        told = json.loads(known["error"]) if known.get("error") else None
+        error = None
+        if told is not None:
+            error = SyncError(told["code"], told["message"], retryable=bool(told.get("retryable")))
+        self.finish(run_id, known["state"], error)
+
 
 def _batch_facts(intent: dict) -> dict:
     return {name: intent.get(name) for name in ("label", "rows", "bytes")}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,21 +79,21 @@ def upsert(
     keys: Sequence[str],
     updates: Sequence[str] | None = None,
     effect: str | None = None,
+    defaults: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Target after the upsert. ``incoming`` holds each key once (see :func:`collapse`).
 
-    Target columns that ``incoming`` lacks stay, or are NULL for new keys. A target too big
-    to shuffle for a small input is handled by plan choice: see :func:`merge_plan`.
+    One full outer join, so each side is read once whatever its size. Target columns that ``incoming`` lacks
+    stay; for new keys they take their value in ``defaults``, else NULL.
     ``effect`` names an extra column: affected rows of the incoming row, NULL without one.
     """
-    names = incoming.columns
+    names, fill = incoming.columns, defaults or {}
     updates = update_columns(names, keys, updates or ())
-    if merge_plan(incoming) == "probe":
-        return _upsert_by_probe(target, incoming, keys, updates, effect)
     t = target.select(*[column(k) for k in keys], F.struct(*[column(c) for c in target.columns]).alias(_OLD))
     i = incoming.select(*[column(k) for k in keys], F.struct(*[column(c) for c in names]).alias(_IN))
     joined = t.join(i, list(keys), "full_outer")
-    return joined.select(*[_merged(c, names, keys, updates) for c in target.columns], *_effect(updates, effect))
+    merged = [_merged(c, names, keys, updates, fill.get(c)) for c in target.columns]
+    return joined.select(*merged, *_effect(updates, effect))
 
 
 def _effect(updates: Sequence[str], name: str | None) -> list[Column]:
@@ -106,53 +106,14 @@ def _effect(updates: Sequence[str], name: str | None) -> list[Column]:
     return [F.when(F.col(_IN).isNotNull(), value).cast("bigint").alias(name)]
 
 
-def merge_plan(incoming: DataFrame) -> str:
-    """``probe`` if Spark itself would broadcast the input, by the size it estimates, else ``merge``."""
-    limit = incoming.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    size = incoming._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return "probe" if 0 <= int(str(size)) <= _bytes(limit) else "merge"
-
-
-def _bytes(text: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    plain = text.strip().lower().removesuffix("b")
-    if plain and plain[-1] in units:
-        return int(plain[:-1]) << units[plain[-1]]
-    return int(plain)
-
-
-def _upsert_by_probe(
-    target: DataFrame, incoming: DataFrame, keys: Sequence[str], updates: Sequence[str], effect: str | None
-) -> DataFrame:
-    """Small input: pass once over the target without shuffling it, then add the new keys.
-
-    No hint forces a broadcast: both joins fall back to sorting if the estimate was wrong.
-    """
-    names = incoming.columns
-    i = incoming.select(*[column(k) for k in keys], F.struct(*[column(c) for c in names]).alias(_IN))
-    t = target.select(*[column(k) for k in keys], F.struct(*[column(c) for c in target.columns]).alias(_OLD))
-    changed = t.join(i, list(keys), "left").select(
-        *[_merged(c, names, keys, updates) for c in target.columns], *_effect(updates, effect)
-    )
-    key_cols = [column(k) for k in keys]
-    present = target.select(*key_cols).join(incoming.select(*key_cols), list(keys), "left_semi")
-    fresh = incoming.join(present, list(keys), "left_anti")
-    types = {f.name: f.dataType for f in target.schema.fields}
-    full = [
-        column(c) if c in names else F.lit(None).cast(types[c]).alias(c)
-        for c in target.columns
-    ]
-    if effect is not None:
-        full.append(F.lit(NEW).cast("bigint").alias(effect))
-    return changed.unionAll(fresh.select(*full))
-
-
-def _merged(name: str, names: Sequence[str], keys: Sequence[str], updates: Sequence[str]) -> Column:
+def _merged(
+    name: str, names: Sequence[str], keys: Sequence[str], updates: Sequence[str], default: Column | None
+) -> Column:
     if name in keys:
         return column(name)
     old = F.col(_OLD)[name]
     if name not in names:
-        return old.alias(name)
+        return (old if default is None else F.when(F.col(_OLD).isNull(), default).otherwise(old)).alias(name)
     new = F.col(_IN)[name]
     if name in updates:
         return F.when(F.col(_IN).isNotNull(), new).otherwise(old).alias(name)
@@ -168,8 +129,8 @@ def affected(
 ) -> DataFrame:
     """Per key: incoming rows and how many are new, changed (counting 2) and unchanged.
 
-    Rows with the same key apply one after the other. A hot key is cut into range slices:
-    within a slice neighbours are compared locally, then one summary row per slice is chained.
+    Rows with the same key apply one after the other. Rows are range-partitioned by key and order, once: inside a
+    partition neighbours are compared, and of a key that spans partitions one summary row per partition is chained.
     """
     key_cols = [column(k) for k in keys]
     values = F.struct(*[column(u) for u in updates])

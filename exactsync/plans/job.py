@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, is_dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -73,8 +75,13 @@ class SyncJob:
             raise SyncError.config("update and order columns require upsert")
         if not 1 <= self.parallel_groups <= MAX_PARALLEL_GROUPS:
             raise SyncError.config(f"parallel_groups must be 1..{MAX_PARALLEL_GROUPS}")
-        if self.target.model == "upsert" and self.parallel_groups > 1:
-            raise SyncError.config("upsert groups replace the table and cannot run in parallel")
+        if self.target.model != "append" and self.parallel_groups > 1:
+            raise SyncError.config("only append groups can be committed in parallel: others depend on the stored keys")
+        if self.partitions and self.partition is None:
+            raise SyncError.config("a list of partitions needs the partition expression")
+        if self.target.model == "upsert" and self.limits is not None:
+            raise SyncError.config("batch limits apply to append and insert")
+        self.target.check_contract(spark)
         writable = [c.name for c in self.target.columns if not c.generated]
         if self.target.full_row and set(writable) - set(names):
             raise SyncError.config("A full-row upsert requires all writable target columns")
@@ -95,18 +102,25 @@ class SyncJob:
         return plan.apply(frame, fill_omitted=self.target.model != "upsert")
 
     def config(self) -> dict:
-        """What identifies the request; secrets in it are redacted in the ledger."""
+        """What identifies the request: every option that can change its outcome. Secrets are redacted in the ledger."""
+        describe = lambda c: None if c is None else str(c)
         return {
-            "source": {k: v for k, v in vars(self.source).items() if v},
-            "target": {"root": self.target.root, "model": self.target.model, "keys": list(self.target.keys)},
-            "columns": [[c.name, c.type.describe()] for c in self.target.columns],
+            "source": {k: plain_value(v) for k, v in vars(self.source).items() if v},
+            "target": {"root": self.target.root, "full_row": self.target.full_row, **self.target.contract()},
             "mapping": [list(pair) for pair in self.mapping],
             "updates": list(self.updates),
             "order": list(self.order),
             "time_zone": self.time_zone,
-            "pre_sql": [h if isinstance(h, str) else h.__name__ for h in self.pre_sql],
-            "post_sql": [h if isinstance(h, str) else h.__name__ for h in self.post_sql],
+            "label_prefix": self.label_prefix,
+            "pre_sql": [describe_hook(h) for h in self.pre_sql],
+            "post_sql": [describe_hook(h) for h in self.post_sql],
+            "reject": describe(self.reject),
+            "partition": describe(self.partition),
+            "partitions": [plain_value(p) for p in self.partitions],
             "max_filter_ratio": self.max_filter_ratio,
+            "max_row_bytes": self.max_row_bytes,
+            "limits": None if self.limits is None else plain_value(self.limits),
+            "views": {name: view.schema.simpleString() for name, view in sorted(self.views.items())},
             **self.extra_config,
         }
 
@@ -176,15 +190,28 @@ class SyncJob:
             receipt = self._write(self.transform(frame, plan), label, announce)
         except Exception as e:
             failure = as_sync_error(e)
-            if announced:
-                ledger.rejected(run_id, group, failure)
-            raise failure from e
+            # Once announced, only the marker tells whether the group became visible.
+            settled = self._settle(ledger.spark, label, failure) if announced else None
+            if settled is None:
+                if announced:
+                    ledger.rejected(run_id, group, failure)
+                raise failure from e
+            receipt = settled
         try:
             ledger.confirmed(run_id, group, receipt.loaded, receipt.filtered, receipt.affected)
         except Exception as e:
             raise SyncError.unknown("Target committed but its receipt could not be saved") from e
         return receipt
 
+    def _settle(self, spark: SparkSession, label: str, failure: SyncError) -> Receipt | None:
+        """Receipt of a group whose write failed after its announcement but did become visible. Without a marker it
+        did not; if the marker cannot be looked up, ``failure`` is marked as of unknown outcome."""
+        try:
+            return self.target.receipt(spark, label)
+        except Exception:
+            failure.commit_unknown, failure.retryable = True, False
+            return None
+
     def _write(self, mapped: DataFrame, label: str, announce) -> Receipt:
         for attempt in range(self.retries + 1):
             try:
@@ -218,3 +245,34 @@ def as_sync_error(e: Exception) -> SyncError:
         if mark >= 0:
             return SyncError(code, text[mark + len(code) + 2 :].splitlines()[0])
     return SyncError("SPARK", text.splitlines()[0] if text else type(e).__name__)
+
+
+def plain_value(value):
+    """A configuration value as JSON holds it, the same in every process."""
+    if value is None or isinstance(value, (bool, int, float, str)):
+        return value
+    if isinstance(value, Mapping):
+        return {str(k): plain_value(v) for k, v in value.items()}
+    if isinstance(value, (list, tuple)):
+        return [plain_value(v) for v in value]
+    if is_dataclass(value):
+        return {"type": type(value).__name__, **{f.name: plain_value(getattr(value, f.name)) for f in fields(value)}}
+    if callable(value):
+        return describe_hook(value)
+    return f"{type(value).__name__}:{value}"
+
+
+def describe_hook(hook) -> object:
+    """SQL text as it is; of a callable its name, its code and what it is bound to."""
+    if isinstance(hook, str):
+        return hook
+    if isinstance(hook, partial):
+        return ["partial", describe_hook(hook.func), plain_value(hook.args), plain_value(hook.keywords)]
+    code = getattr(hook, "__code__", None)
+    name = f"{getattr(hook, '__module__', '')}.{getattr(hook, '__qualname__', type(hook).__name__)}"
+    if code is None:
+        return name
+    cells = [plain_value(c.cell_contents) for c in hook.__closure__ or ()]
+    constants = [plain_value(c) for c in code.co_consts if not hasattr(c, "co_code")]
+    body = hashlib.sha256(code.co_code + repr((code.co_names, constants)).encode()).hexdigest()
+    return [name, body, cells, plain_value(hook.__defaults__ or ())]

@@ -246,21 +246,31 @@ def runs_page(spark, sf):
     return states.runs_page(derive(spark, sf, _RUN_LIST), limit=50, offset=100)
 
 
-_CONFIGS = """
-SELECT event_id, concat(chr(123), '"reader":', chr(123), '"user":"u', CAST(user_id AS STRING), '","password":"p-', event_type, ' ',
-              CAST(event_id AS STRING), '"', chr(125), ',"writer":[', chr(123), '"password" : ', props, ',"note":"password"',
-              chr(125), ',', chr(123), '"password":null', chr(125), ']', chr(125)) AS config
-FROM {events}
+# A configuration with passwords of every shape: text, escaped text, nested object, nested array, null. In the
+# redacted text they are simply left out of the concatenation, so SQL shares nothing with the code under test.
+_SECRETS = (
+    """concat('"p-', event_type, ' ', CAST(event_id AS STRING), chr(92), '"x"')""",
+    """concat(chr(123), '"a":', chr(123), '"b":[', CAST(user_id AS STRING), ',', props, ']', chr(125), chr(125))""",
+    """concat('[[1,', chr(123), '"deep":"s"', chr(125), '],"t"]')""",
+    "'null'",
+)
+
+
+def _config_sql(secrets, spaces: str) -> str:
+    a, b, c, d = secrets
+    member = f"""'"password"{spaces}:{spaces}',"""
+    return f"""
+SELECT event_id, concat(chr(123), '"reader":', chr(123), '"user":"u', CAST(user_id AS STRING), '",', {member} {a}, chr(125),
+              ',"writer":[', chr(123), {member} {b}, ',"note":"password"', chr(125), ',', chr(123), {member} {c},
+              chr(125), ',', chr(123), {member} {d}, ',"passwords":1', chr(125), ']', chr(125)) AS config
+FROM {{events}}
 """
 
 
-@query(
-    "redact_config",
-    f"""
-    SELECT event_id, regexp_replace(config, '{text.PASSWORD_MEMBER}', '"password":"[REDACTED]"', 'g') AS config
-    FROM ({_CONFIGS})
-    """,
-)
+_CONFIGS = _config_sql(_SECRETS, " ")
+
+
+@query("redact_config", _config_sql(["""'"[REDACTED]"'"""] * 4, ""))
 def redact_config(spark, sf):
     return derive(spark, sf, _CONFIGS).withColumn("config", text.redact_config(F.col("config")))
 

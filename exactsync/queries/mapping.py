@@ -166,3 +166,47 @@ def violation_counts(spark, sf):
         TargetColumn.sql("event_type", "varchar(16)", nullable=False),
     )
     return plan_mapping(events.schema, target).violation_counts(events)
+
+
+@query(
+    "length_violations",
+    "SELECT event_id FROM {events} WHERE length(event_type) > 5 OR octet_length(encode(props)) > 12",
+)
+def length_violations(spark, sf):
+    rows = derive(spark, sf, "SELECT event_id, event_type, CAST(props AS BINARY) AS props FROM {events}")
+    target = (
+        TargetColumn.sql("event_id", "bigint", nullable=False),
+        TargetColumn.sql("event_type", "varchar(5)"),
+        TargetColumn.sql("props", "varbinary(12)"),
+    )
+    return plan_mapping(rows.schema, target).violations(rows).select("event_id")
+
+
+@query(
+    "time_range_violations",
+    """
+    SELECT event_id, user_id % 1000 > 838 AS bad_time, year(ts) + 8005 > 9999 + user_id % 40 AS bad_year
+    FROM {events} WHERE user_id % 1000 > 838 OR year(ts) + 8005 > 9999 + user_id % 40
+    """,
+)
+def time_range_violations(spark, sf):
+    rows = derive(
+        spark,
+        sf,
+        """
+        SELECT event_id, make_dt_interval(0, CAST(user_id % 1000 AS INT), 59, 59) AS spent,
+               make_date(CAST(year(ts) + 8005 - user_id % 40 AS INT), 1, 1) AS day
+        FROM {events}
+        """,
+    )
+    target = (
+        TargetColumn.sql("event_id", "bigint", nullable=False),
+        TargetColumn.sql("spent", "time"),
+        TargetColumn.sql("day", "date"),
+    )
+    found = plan_mapping(rows.schema, target).violations(rows)
+    return found.select(
+        "event_id",
+        F.array_contains("failed_columns", "spent").alias("bad_time"),
+        F.array_contains("failed_columns", "day").alias("bad_year"),
+    )

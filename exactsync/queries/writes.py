@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from exactsync.plans.mapping import TargetColumn
 from exactsync.queries.registry import derive, load, query
 from exactsync.session import checkpoint_dir
 from exactsync.sinks.dataset import ParquetTarget
+from exactsync.sources.split import KeyLayout
 
 # The table, then the same rows changed: a quarter under new keys, some values altered.
 _CHANGED = """
@@ -34,8 +34,12 @@ def append_rows(spark, sf):
     return target.read(spark)
 
 
+def fresh_folder(spark):
+    return f"{checkpoint_dir(spark)}/exactsync-{uuid.uuid4()}"
+
+
 def _order_target(spark, sf, model):
-    root = f"{checkpoint_dir(spark, tempfile.gettempdir())}/exactsync-{uuid.uuid4()}"
+    root = fresh_folder(spark)
     keyed = tuple(_KEY) if model != "append" else ()
     fields = load(spark, sf, "orders").schema.fields
     columns = tuple(
@@ -237,3 +241,68 @@ def filter_ratio(spark, sf):
 @query("partition_list", f"SELECT o_orderkey, verdict FROM ({_JUDGED})")
 def partition_list(spark, sf):
     return _judged(spark, sf).select("o_orderkey", F.col(accounting.VERDICT).alias("verdict"))
+
+
+_PRICED = (
+    TargetColumn.sql("id", "bigint", nullable=False, key=True),
+    TargetColumn.sql("status", "varchar(2)"),
+    TargetColumn.sql("price", "double"),
+    TargetColumn.sql("note", "bigint", nullable=False, has_default=True, default=7),
+)
+_PRICES = "SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price FROM {orders}"
+_FIRST_PRICES = f"SELECT *, CAST(1 AS BIGINT) AS note FROM ({_PRICES}) WHERE id % 3 = 0"
+_LATER_PRICES = f"SELECT id, 'XX' AS status, price * 2 AS price FROM ({_PRICES}) WHERE id % 2 = 0"
+
+
+def _priced_target(spark, sf):
+    """A table in key ranges that follow its size, with a first load of every third order."""
+    ranges = KeyLayout("id", 0, 60_000, 8)
+    target = ParquetTarget(fresh_folder(spark), _PRICED, "upsert", ("id",), ranges)
+    target.write(derive(spark, sf, _FIRST_PRICES), "first")
+    return target
+
+
+def _priced(taken: str) -> str:
+    """The table after an upsert that takes the later rows where ``taken`` holds."""
+    later = f"SELECT * FROM ({_LATER_PRICES}) WHERE {taken}"
+    return f"""
+    SELECT coalesce(i.id, t.id) AS id, CASE WHEN i.id IS NULL THEN t.status ELSE i.status END AS status,
+           CASE WHEN i.id IS NULL THEN t.price ELSE i.price END AS price, coalesce(t.note, 7) AS note
+    FROM ({_FIRST_PRICES}) t FULL OUTER JOIN ({later}) i ON t.id = i.id
+    """
+
+
+@query("upsert_rejects", _priced("price <= 300000"))
+def upsert_rejects(spark, sf):
+    target = _priced_target(spark, sf)
+    target.write(derive(spark, sf, _LATER_PRICES), "later", reject=F.col("price") > 300000, max_filter_ratio=1.0)
+    return target.read(spark)
+
+
+@query("upsert_partitions", _priced("id % 10 IN (0, 4, 6)"))
+def upsert_partitions(spark, sf):
+    target = _priced_target(spark, sf)
+    target.write(derive(spark, sf, _LATER_PRICES), "later", partition=F.col("id") % 10, partitions=(0, 4, 6))
+    return target.read(spark)
+
+
+@query("upsert_default_fill", _priced("true"))
+def upsert_default_fill(spark, sf):
+    target = _priced_target(spark, sf)
+    target.write(derive(spark, sf, _LATER_PRICES), "later")
+    return target.read(spark)
+
+
+@query(
+    "upsert_laid_out",
+    f"""
+    SELECT id, CASE WHEN id < 9000 THEN 'YY' ELSE status END AS status, price, note FROM ({_priced("true")})
+    """,
+)
+def upsert_laid_out(spark, sf):
+    """Two upserts into key ranges; the second touches and rewrites only the first of them."""
+    target = _priced_target(spark, sf)
+    target.write(derive(spark, sf, _LATER_PRICES), "later")
+    known = target.read(spark).where("id < 9000").select("id", F.lit("YY").alias("status"), "price")
+    target.write(known, "again", updates=["status"])
+    return target.read(spark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Casts must fail rather than wrap, and timestamps must not move with a local zone.
@@ -25,11 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared folder for cut lineage: the cluster's own, or ``fallback`` where it names none."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Only where all run on one machine a temporary one stands in."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
-    return fallback
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    own = tempfile.mkdtemp(prefix="exactsync-")
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own

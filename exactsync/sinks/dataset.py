@@ -1,11 +1,14 @@
 """A Parquet target whose commits are exactly-once per label.
 
 Each commit writes its own ``_label=...`` folder and becomes visible with one small marker file
-that is created only if absent, which holds on object stores too. A repeated task or a repeated
-run overwrites the same folder; a label that already has its marker is never written again.
-An upsert writes merged rows under a new label and its marker retires the older ones, so nothing
-is overwritten while it is read. With a ``layout`` the rows are kept in key-range slices and an
-upsert reads and rewrites only the slices its input touches.
+that is published whole and only if absent (see ``files.create_json`` for the file systems that can do so). A
+repeated task or a repeated run overwrites the same folder; a label that already has its marker is
+never written again. An upsert writes merged rows under a new label and its marker retires the older
+ones, so nothing is overwritten while it is read. With a ``layout`` the rows are kept in key-range
+slices and an upsert reads and rewrites only the slices its input touches.
+
+What a reader must know of the table (columns, model, keys and layout) is stored with the first commit and
+compared with every later use; a different declaration is refused.
 """
 
 from __future__ import annotations
@@ -32,15 +35,12 @@ from exactsync.operators.upsert import (
 )
 from exactsync.plans.mapping import TargetColumn
 from exactsync.sinks import files
-from exactsync.sources.split import RangeSplit
+from exactsync.sources.split import KeyLayout, RangeSplit
 
 _EFFECT, _SLICE = "_effect", "_slice"
-# From so many markers on, one Spark job reads them faster than the driver one by one.
-_MANY_COMMITS = 64
-_COMMIT = (
-    "version bigint, label string, kind string, path string, slices array<int>, "
-    "loaded bigint, filtered bigint, affected bigint, bytes bigint"
-)
+# Every so many commits one file sums up all markers so far, so a reader opens few files.
+_SUMMED = 64
+_UPTO = "upto-"
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ class ParquetTarget:
     columns: tuple[TargetColumn, ...]
     model: str = "append"
     keys: tuple[str, ...] = ()
-    layout: RangeSplit | None = None
+    layout: KeyLayout | RangeSplit | None = None
     full_row: bool = False
 
     def __post_init__(self):
@@ -83,16 +83,62 @@ class ParquetTarget:
         """Markers in commit order: one per commit group, not per row batch."""
         folder = f"{self.root}/_commits"
         found = [n for n in files.names(spark, folder) if n.endswith(".json") and not n.startswith(".")]
-        if len(found) > _MANY_COMMITS:
-            rows = spark.read.schema(_COMMIT).option("mode", "DROPMALFORMED").json(folder)
-            return [r.asDict() for r in rows.where("label IS NOT NULL").sort("version").collect()]
-        markers = [files.read_json(spark, f"{folder}/{n}") for n in found]
-        return [m for m in markers if m is not None]
+        summaries = [n for n in found if n.startswith(_UPTO)]
+        known: list[dict] = []
+        if summaries:
+            known = files.read_json(spark, f"{folder}/{max(summaries)}")["commits"]
+        after = known[-1]["version"] if known else -1
+        single = [n for n in found if not n.startswith(_UPTO) and int(n.removesuffix(".json")) > after]
+        return known + [files.read_json(spark, f"{folder}/{n}") for n in sorted(single)]
+
+    def receipt(self, spark: SparkSession, label: str) -> Receipt | None:
+        """Counters of a committed label, None if it has no marker."""
+        for c in self.commits(spark):
+            if c["label"] == label:
+                return Receipt(c["loaded"], c["filtered"], c["affected"], c["bytes"], True)
+        return None
+
+    def labels(self, spark: SparkSession, given_up: Sequence[str] = ()) -> DataFrame:
+        """Committed labels as the ledger's reconciliation reads them.
+
+        ``given_up`` names labels whose writer is known to be gone: without a marker they were not committed and
+        never will be, so they are reported as aborted.
+        """
+        rows = [(c["label"], "VISIBLE", c["loaded"], c["filtered"], c["affected"]) for c in self.commits(spark)]
+        seen = {r[0] for r in rows}
+        rows += [(name, "ABORTED", None, None, None) for name in given_up if name not in seen]
+        return spark.createDataFrame(
+            rows, "label string, label_state string, loaded bigint, filtered bigint, affected bigint"
+        )
+
+    # -- contract ------------------------------------------------------------------------
+
+    def contract(self) -> dict:
+        """What is stored with the table and must not change."""
+        split = self.layout
+        return {
+            "columns": [
+                [c.name, c.type.describe(), c.nullable, c.generated, c.has_default, repr(c.default)]
+                for c in self.columns
+            ],
+            "model": self.model,
+            "keys": list(self.keys),
+            "layout": None if split is None else [split.column, str(split.lower), str(split.upper), split.partitions],
+        }
 
-    def labels(self, spark: SparkSession) -> DataFrame:
-        """Committed labels as the ledger's reconciliation reads them."""
-        rows = [(c["label"], "VISIBLE", c["loaded"], c["filtered"]) for c in self.commits(spark)]
-        return spark.createDataFrame(rows, "label string, label_state string, loaded bigint, filtered bigint")
+    def check_contract(self, spark: SparkSession) -> None:
+        """Refuse a declaration that differs from the stored one."""
+        path = f"{self.root}/_contract.json"
+        if not files.exists(spark, path):
+            return
+        stored, mine = files.read_json(spark, path), self.contract()
+        for part, value in mine.items():
+            if stored.get(part) != value:
+                raise SyncError.schema(f"The stored table has other {part}: {stored.get(part)}, declared {value}")
+
+    def _store_contract(self, spark: SparkSession) -> None:
+        if not files.create_json(spark, f"{self.root}/_contract.json", self.contract()):
+            self.check_contract(spark)
 
     def schema(self) -> T.StructType:
         return T.StructType([c.struct_field() for c in self.columns])
@@ -101,6 +147,8 @@ class ParquetTarget:
         self, spark: SparkSession, commits: list[dict] | None = None, slices: set[int] | None = None
     ) -> DataFrame:
         """Committed rows only; ``slices`` limits a laid-out target to some of its key ranges."""
+        if commits is None:
+            self.check_contract(spark)
         paths = self._live_paths(self.commits(spark) if commits is None else commits, slices)
         if not paths:
             return spark.createDataFrame([], self.schema())
@@ -130,8 +178,11 @@ class ParquetTarget:
 
     def rejects(self, spark: SparkSession, label: str) -> DataFrame:
         """Rows a commit filtered out."""
-        path = f"{self._folder(label)}/{accounting.VERDICT}={accounting.FILTERED}"
-        return self._scan(spark, path) if files.exists(spark, path) else spark.createDataFrame([], self.schema())
+        for folder in (self._folder(label), self._staged_input(label)):
+            path = f"{folder}/{accounting.VERDICT}={accounting.FILTERED}"
+            if files.exists(spark, path):
+                return self._scan(spark, path)
+        return spark.createDataFrame([], self.schema())
 
     def batches(self, spark: SparkSession, label: str) -> DataFrame:
         """Numbered batches of a commit written with limits: id, rows and bytes."""
@@ -167,62 +218,71 @@ class ParquetTarget:
         """
         spark = df.sparkSession
         accounting.check_ratio_option(max_filter_ratio)
+        if partitions and partition is None:
+            raise SyncError.config("a list of partitions needs the partition expression")
+        if limits is not None and self.model == "upsert":
+            raise SyncError.config("batch limits apply to append and insert")
+        self._store_contract(spark)
         commits = self.commits(spark)
         for known in commits:
             if known["label"] == label:
                 return Receipt(known["loaded"], known["filtered"], known["affected"], known["bytes"], True)
+        sorting = (reject, partition, partitions, max_filter_ratio)
         if self.model == "upsert":
-            result, kind, path = self._merge(df, label, commits, order, updates)
+            result, kind, path = self._merge(df, label, commits, order, updates, *sorting)
         else:
-            result, kind, path = self._append(
-                df, label, commits, reject, partition, partitions, max_filter_ratio, limits
-            )
+            result, kind, path = self._append(df, label, commits, *sorting, limits)
         if announce is not None:
             announce(result.loaded + result.filtered, result.bytes)
         self._commit(spark, commits, label, kind, path, result)
         if self.model == "upsert":
-            files.discard(spark, self._staged_input(label))
+            taken = f"/{accounting.VERDICT}={accounting.LOADED}" if result.filtered else ""
+            files.discard(spark, self._staged_input(label) + taken)  # filtered rows stay for ``rejects``
         return result
 
     def _folder(self, label: str) -> str:
         return f"{self.root}/data/_label={label}"
 
-    def _store(self, df: DataFrame, folder: str, *by: str, gather: bool = False) -> None:
-        """Write one label folder; ``gather`` brings rows of a slice together, splitting big ones."""
+    def _store(self, df: DataFrame, folder: str, *by: str) -> None:
+        """Write one label folder. With a layout, rows of a slice are brought together first (large slices are split),
+        so the number of files follows slices and data, not tasks times slices."""
         if self.layout is not None:
             df = df.withColumn(_SLICE, self.layout.slice_id())
-            df = df.hint("rebalance", _SLICE) if gather else df
             by = (*by, _SLICE)
+            df = df.hint("rebalance", *by)
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*by) if by else writer).parquet(folder)
 
-    def _append(self, df, label, commits, reject, partition, partitions, max_ratio, limits):
-        spark, folder = df.sparkSession, self._folder(label)
+    def _count_stored(self, df: DataFrame, folder: str, layout: bool, reject, partition, partitions, max_ratio):
+        """Write rows with their verdicts and count them: (path of the loaded rows, checked counters, bytes)."""
         sorted_out = reject is not None or bool(partitions)
         seen = Observation()
-        metrics = [
-            F.count(F.lit(1)).alias("submitted"),
-            F.sum(row_bytes(df.schema)).alias("bytes"),
-        ]
-        rows = with_batches(df, limits) if limits is not None else df
+        metrics = [F.count(F.lit(1)).alias("submitted"), F.sum(row_bytes(df.schema)).alias("bytes")]
+        store = self._store if layout else _plain_store
         if sorted_out:
-            marked = accounting.with_verdict(rows, reject, partition, partitions)
+            marked = accounting.with_verdict(df, reject, partition, partitions)
             watched = marked.observe(seen, *metrics, *accounting.counters())
-            kept = watched.where(F.col(accounting.VERDICT) != accounting.UNSELECTED)
-            self._store(kept, folder, accounting.VERDICT)
+            store(watched.where(F.col(accounting.VERDICT) != accounting.UNSELECTED), folder, accounting.VERDICT)
         else:
-            self._store(rows.observe(seen, *metrics), folder)
+            store(df.observe(seen, *metrics), folder)
         got = seen.get
         loaded = got["loaded"] if sorted_out else got["submitted"]
         checked = accounting.receipt(
             got["submitted"], loaded, got.get("filtered", 0), got.get("unselected", 0), max_ratio
         )
         path = f"{folder}/{accounting.VERDICT}={accounting.LOADED}" if sorted_out else folder
-        self._check_written(spark, path, loaded)
+        return path, checked, got["bytes"] or 0
+
+    def _append(self, df, label, commits, reject, partition, partitions, max_ratio, limits):
+        spark = df.sparkSession
+        rows = with_batches(df, limits) if limits is not None else df
+        path, checked, size = self._count_stored(
+            rows, self._folder(label), True, reject, partition, partitions, max_ratio
+        )
+        self._check_written(spark, path, checked["loaded"])
         if self.model == "insert":
             self._check_new_keys(spark, path, commits)
-        result = Receipt(checked["loaded"], checked["filtered"], checked["affected"], got["bytes"] or 0)
-        return result, "append", path
+        return Receipt(checked["loaded"], checked["filtered"], checked["affected"], size), "append", path
 
     def _check_new_keys(self, spark: SparkSession, path: str, commits: list[dict]) -> None:
         """Key clashes among the staged rows or with the target; only keys are read."""
@@ -238,15 +298,19 @@ class ParquetTarget:
     def _staged_input(self, label: str) -> str:
         return f"{self.root}/_stage/{label}"
 
-    def _merge(self, df, label, commits, order, updates) -> tuple[Receipt, str, str]:
+    def _merge(
+        self, df, label, commits, order, updates, reject, partition, partitions, max_ratio
+    ) -> tuple[Receipt, str, str]:
         spark, folder, keys = df.sparkSession, self._folder(label), list(self.keys)
         changes = update_columns(df.columns, keys, updates)
         # The input is read several times below, so it is fixed first: sources may change, and a
-        # written table also survives lost executors and has a size Spark can plan with.
-        staged_path, seen_in = self._staged_input(label), Observation()
-        df.observe(seen_in, F.sum(row_bytes(df.schema)).alias("bytes")).write.mode("overwrite").parquet(staged_path)
-        got_in = seen_in.get
-        staged = spark.read.schema(df.schema).parquet(staged_path)
+        # written table also survives lost executors and has a size Spark can plan with. Rejected
+        # rows are told apart here, so nothing after this sees them.
+        path, checked, size = self._count_stored(
+            df, self._staged_input(label), False, reject, partition, partitions, max_ratio
+        )
+        found = files.exists(spark, path)
+        staged = spark.read.schema(df.schema).parquet(path) if found else spark.createDataFrame([], df.schema)
         touched = None
         if self.layout is not None:
             # At most as many values as the layout has slices.
@@ -254,9 +318,7 @@ class ParquetTarget:
         target = self.read(spark, commits, touched)
         chained = None
         if order:
-            chained = affected(staged, target, keys, changes, order).agg(
-                F.sum("affected_rows").alias("affected"), F.sum("incoming_rows").alias("rows")
-            )
+            chained = affected(staged, target, keys, changes, order).agg(F.sum("affected_rows").alias("affected"))
             incoming = collapse(staged, keys, order, df.columns, changes)
         else:
             # Without an order "last" has no meaning, so repeated keys are refused.
@@ -265,13 +327,16 @@ class ParquetTarget:
             incoming = staged
         # The effect of each row is stored with it and summed up from the files: a metric observed
         # before a shuffle would count a lost executor's rows twice.
-        merged = upsert(target, incoming, keys, changes, effect=_EFFECT)
-        self._store(merged, folder, gather=True)
+        fill = {
+            c.name: F.lit(c.default).cast(c.type.spark) for c in self.columns if c.has_default and not c.generated
+        }
+        merged = upsert(target, incoming, keys, changes, effect=_EFFECT, defaults=fill)
+        self._store(merged, folder)
         effects = T.StructType([T.StructField(_EFFECT, T.LongType())])
         stored = spark.read.schema(effects).parquet(folder)
-        totals = chained if order else stored.agg(F.count(_EFFECT).alias("rows"), F.sum(_EFFECT).alias("affected"))
-        got = totals.first()
-        return Receipt(got["rows"] or 0, 0, got["affected"] or 0, got_in["bytes"] or 0), "replace", folder
+        totals = chained if order else stored.agg(F.sum(_EFFECT).alias("affected"))
+        effect = totals.first()["affected"] or 0
+        return Receipt(checked["loaded"], checked["filtered"], effect, size), "replace", folder
 
     def _check_written(self, spark: SparkSession, path: str, rows: int) -> None:
         """The files hold the counted rows; Parquet footers answer without reading data."""
@@ -294,14 +359,23 @@ class ParquetTarget:
             "affected": receipt.affected,
             "bytes": receipt.bytes,
         }
-        while not files.create_json(spark, f"{self.root}/_commits/{marker['version']:012d}.json", marker):
+        folder = f"{self.root}/_commits"
+        while not files.create_json(spark, f"{folder}/{marker['version']:012d}.json", marker):
             if self.model != "append":
                 raise SyncError("CONFLICT", "Another commit changed the target meanwhile", retryable=True)
             # Appends do not depend on each other: take the next free place.
             marker["version"] += 1
+        if marker["version"] % _SUMMED == _SUMMED - 1:
+            summary = {"commits": [c for c in self.commits(spark) if c["version"] <= marker["version"]]}
+            files.create_json(spark, f"{folder}/{_UPTO}{marker['version']:012d}.json", summary)
 
     def _stored_slices(self, spark: SparkSession, path: str) -> list[int]:
         if self.layout is None:
             return []
         mark = f"{_SLICE}="
         return sorted(int(n.removeprefix(mark)) for n in files.names(spark, path) if n.startswith(mark))
+
+
+def _plain_store(df: DataFrame, folder: str, *by: str) -> None:
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(folder)

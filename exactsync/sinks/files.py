@@ -1,11 +1,15 @@
-"""The few file-system calls commit markers need, through Spark's own Hadoop file systems."""
+"""The few file-system calls that commit markers and the ledger need, through Spark's own Hadoop file systems."""
 
 from __future__ import annotations
 
 import json
+import os
+import uuid
 
 from pyspark.sql import SparkSession
 
+from exactsync.errors import SyncError
+
 
 def _path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -18,30 +22,63 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def create_json(spark: SparkSession, path: str, content: dict) -> bool:
-    """Write a small file unless it exists; False if another writer was first."""
+    """Publish a small file, whole or not at all, unless it exists; False if another writer was first.
+
+    The content is written under a temporary name first, so a crash leaves no torn file. On a local file
+    system a hard link publishes it, elsewhere a rename that refuses to replace, which HDFS does atomically.
+    Object stores without such a rename are not supported for markers and ledger.
+    """
     jpath, fs = _path(spark, path)
+    data = json.dumps(content, sort_keys=True).encode("utf-8")
+    if fs.getScheme() == "file":
+        return _publish_local(jpath.toUri().getPath(), data)
+    if fs.exists(jpath):
+        return False
+    draft = spark._jvm.org.apache.hadoop.fs.Path(jpath.getParent(), f".{jpath.getName()}.{uuid.uuid4()}")
+    out = fs.create(draft, False)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(jpath.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").NONE
     try:
-        out = fs.create(jpath, False)
-    except Exception as e:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(jpath), options)
+    except Exception:
+        fs.delete(draft, False)
         if fs.exists(jpath):
             return False
-        raise e
+        raise
+    return True
+
+
+def _publish_local(path: str, data: bytes) -> bool:
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    draft = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.{uuid.uuid4()}")
+    with open(draft, "xb") as out:
+        out.write(data)
+        out.flush()
+        os.fsync(out.fileno())
     try:
-        out.write(bytearray(json.dumps(content, sort_keys=True).encode("utf-8")))
+        os.link(draft, path)
+    except FileExistsError:
+        return False
     finally:
-        out.close()
+        os.unlink(draft)
     return True
 
 
-def read_json(spark: SparkSession, path: str) -> dict | None:
-    """Content of a small file, None while its writer has not finished it."""
+def read_json(spark: SparkSession, path: str) -> dict:
+    """Content of a small published file; it is never half written, so one that does not parse is damaged."""
     jpath, fs = _path(spark, path)
     stream = fs.open(jpath)
     try:
         size = fs.getFileStatus(jpath).getLen()
         return json.loads(bytes(stream.readNBytes(int(size))).decode("utf-8"))
-    except ValueError:
-        return None
+    except ValueError as e:
+        raise SyncError("STATE_STORE", f"{path} is damaged: its content is no JSON") from e
     finally:
         stream.close()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
+from typing import ClassVar
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,13 +13,18 @@ from pyspark.sql import types as T
 from exactsync.errors import SyncError
 from exactsync.functions.text import column, quoted
 
+# Fixed value: the most slices of a split read.
 MAX_SLICES = 1024
+# A stored table may have as many key ranges as file systems list folders well.
+MAX_KEY_RANGES = 1 << 20
 
 
 @dataclass(frozen=True)
 class RangeSplit:
     """Bounds only set the stride: rows below, above or with NULL still fall into a slice."""
 
+    most: ClassVar[int] = MAX_SLICES
+
     column: str
     lower: int
     upper: int
@@ -27,7 +33,7 @@ class RangeSplit:
     def __post_init__(self):
         quoted(self.column)
         in_range = -(2**63) <= self.lower < self.upper <= 2**64 - 1
-        if not in_range or not 1 <= self.partitions <= MAX_SLICES:
+        if not in_range or not 1 <= self.partitions <= self.most:
             raise SyncError.config("Invalid split bounds or partition count")
 
     def cuts(self) -> list[int]:
@@ -75,6 +81,13 @@ class RangeSplit:
         return F.when(value.isNull(), F.lit(0)).otherwise(F.least(slot.cast("bigint"), last).cast("int"))
 
 
+@dataclass(frozen=True)
+class KeyLayout(RangeSplit):
+    """Key ranges a stored table is kept in: choose as many as keep a range at a size worth rewriting."""
+
+    most: ClassVar[int] = MAX_KEY_RANGES
+
+
 def check_split_column(schema: T.StructType, split: RangeSplit) -> None:
     """The column must be a stored integer (or an unsigned 64-bit one held as decimal(20,0))."""
     fields = {f.name: f.dataType for f in schema.fields}

@@ -37,12 +37,15 @@ MAX_TEXT_DIGITS = 76
 @dataclass(frozen=True)
 class ColumnType:
     """``digits`` marks exact-decimal text ``(precision, scale)``; ``bounds`` limits an integer;
-    ``second_digits`` limits fractional seconds of a timestamp."""
+    ``second_digits`` limits fractional seconds of a timestamp; ``length`` limits the characters of a text or the
+    bytes of a binary; ``sql_range`` holds a duration to 838:59:59 and a date or timestamp to the years 0 to 9999."""
 
     spark: T.DataType
     digits: tuple[int, int] | None = None
     bounds: tuple[int, int] | None = None
     second_digits: int | None = None
+    length: int | None = None
+    sql_range: bool = False
 
     @property
     def kind(self) -> str:
@@ -90,6 +93,10 @@ class ColumnType:
             theirs = other.range
             if theirs is None or theirs[0] < self.bounds[0] or theirs[1] > self.bounds[1]:
                 return False
+        if self.length is not None and (other.length is None or other.length > self.length):
+            return False
+        if self.sql_range and not other.sql_range:
+            return False
         mine, their = _precision(self), _precision(other)
         return mine >= their
 
@@ -101,6 +108,10 @@ class ColumnType:
             out["bounds"] = [str(self.bounds[0]), str(self.bounds[1])]
         if self.second_digits is not None:
             out["datetime_precision"] = self.second_digits
+        if self.length is not None:
+            out["max_length"] = self.length
+        if self.sql_range:
+            out["sql_range"] = True
         return out
 
     def field(self, name: str, nullable: bool = True, extra: dict | None = None) -> T.StructField:
@@ -114,6 +125,8 @@ class ColumnType:
             text += f"({self.second_digits})"
         if self.bounds is not None:
             text += f"[{self.bounds[0]}..{self.bounds[1]}]"
+        if self.length is not None:
+            text += f"({self.length})"
         return text
 
 
@@ -131,6 +144,8 @@ def of_field(field: T.StructField) -> ColumnType:
         tuple(digits) if digits else None,
         (int(bounds[0]), int(bounds[1])) if bounds else None,
         meta.get("datetime_precision"),
+        meta.get("max_length"),
+        bool(meta.get("sql_range", False)),
     )
 
 
@@ -155,8 +170,8 @@ def integer(bits: int, unsigned: bool = False) -> ColumnType:
 
 def _timestamp(spark_type: T.DataType, precision: int | None) -> ColumnType:
     if precision is None or precision >= 6:
-        return ColumnType(spark_type)
-    return ColumnType(spark_type, second_digits=precision)
+        return ColumnType(spark_type, sql_range=True)
+    return ColumnType(spark_type, second_digits=precision, sql_range=True)
 
 
 # SQL type names that share one representation.
@@ -164,6 +179,8 @@ _INTEGER_NAMES = {"tinyint": 8, "smallint": 16, "mediumint": 32, "int": 32, "int
 _DECIMAL_NAMES = {"decimal", "decimalv2", "decimalv3"}
 _TEXT_NAMES = {"varchar", "char", "text", "tinytext", "mediumtext", "longtext", "string", "json", "enum", "set"}
 _BINARY_NAMES = {"binary", "varbinary", "blob", "tinyblob", "mediumblob", "longblob", "bit"}
+# Of these the number in parentheses is a length.
+_SIZED_NAMES = {"varchar", "char", "binary", "varbinary"}
 
 
 def of_sql(
@@ -197,18 +214,18 @@ def of_sql(
         s = scale if scale is not None else (inner[1] if len(inner) > 1 else 0)
         return exact_decimal(p, s)
     if base in ("date", "datev2"):
-        return ColumnType(T.DateType())
+        return ColumnType(T.DateType(), sql_range=True)
     fraction = datetime_precision if datetime_precision is not None else (inner[0] if inner else None)
     if base in ("datetime", "datetimev2"):
         return _timestamp(T.TimestampNTZType(), fraction)
     if base in ("timestamp", "timestamptz"):
         return _timestamp(T.TimestampType(), fraction)
     if base == "time":
-        return ColumnType(T.DayTimeIntervalType())
+        return ColumnType(T.DayTimeIntervalType(), sql_range=True)
     if base in _TEXT_NAMES:
-        return ColumnType(T.StringType())
+        return ColumnType(T.StringType(), length=inner[0] if inner and base in _SIZED_NAMES else None)
     if base in _BINARY_NAMES:
-        return ColumnType(T.BinaryType())
+        return ColumnType(T.BinaryType(), length=inner[0] if inner and base in _SIZED_NAMES else None)
     raise SyncError.type(f"Unsupported SQL type {sql}; select an explicit SQL conversion")
 
 
@@ -224,9 +241,5 @@ def compatible(src: ColumnType, dst: ColumnType) -> bool:
     return a == b
 
 
-def schema_types(schema: T.StructType) -> dict[str, ColumnType]:
-    return {f.name: of_field(f) for f in schema.fields}
-
-
 def without_limits(t: ColumnType) -> ColumnType:
-    return replace(t, bounds=None, second_digits=None)
+    return replace(t, bounds=None, second_digits=None, length=None, sql_range=False)

@@ -1,4 +1,5 @@
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -208,13 +209,85 @@ def test_catalog_appends_are_labelled(spark):
     spark.sql("DROP TABLE labelled")
 
 
-def test_many_commits_are_read_by_spark(spark, root, monkeypatch):
-    from exactsync.sinks import dataset
+@pytest.mark.parametrize("count", [63, 64, 65, 200])
+def test_any_number_of_commits_reads_the_same(spark, root, count):
+    from exactsync.sinks import files
+    from exactsync.sinks.dataset import Receipt
 
-    target = ParquetTarget(root, KEYED, "upsert", ("k",), RangeSplit("k", 0, 100, 5))
-    for i in range(3):
-        target.write(frame(spark, (i, "a"), (90, str(i))), f"l{i}")
-    one_by_one = target.commits(spark)
-    monkeypatch.setattr(dataset, "_MANY_COMMITS", 1)
-    assert target.commits(spark) == one_by_one
-    assert content(target, spark) == [(0, "a"), (1, "a"), (2, "a"), (90, "2")]
+    target = ParquetTarget(root, KEYED, "upsert", ("k",))
+    target.write(frame(spark, (1, "a")), "l0")
+    path = target.commits(spark)[0]["path"]
+    for i in range(1, count):
+        target._commit(spark, target.commits(spark), f"l{i}", "replace", path, Receipt(i, 0, i))
+    found = target.commits(spark)
+    assert [(c["version"], c["label"], c["loaded"]) for c in found] == [(i, f"l{i}", i or 1) for i in range(count)]
+    sums = [n for n in files.names(spark, f"{root}/_commits") if n.startswith("upto-")]
+    assert len(sums) == count // 64
+    assert content(target, spark) == [(1, "a")]
+
+
+def test_damaged_marker_is_an_error_not_a_missing_commit(spark, root):
+    target = ParquetTarget(root, COLUMNS, "append")
+    target.write(frame(spark, (1, "a")), "l0")
+    target.write(frame(spark, (2, "b")), "l1")
+    (marker,) = Path(f"{root}/_commits").glob("*1.json")
+    marker.write_text('{"version": 1, "lab')
+    with pytest.raises(SyncError, match="damaged"):
+        target.read(spark)
+
+
+def test_a_crash_before_publishing_leaves_nothing_in_the_way(spark, root):
+    target = ParquetTarget(root, KEYED, "upsert", ("k",))
+    target.write(frame(spark, (1, "a")), "l0")
+    Path(f"{root}/_commits/.000000000001.json.draft").write_text("")
+    target.write(frame(spark, (2, "b")), "l1")
+    assert content(target, spark) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize(
+    "other",
+    [
+        dict(model="append", keys=(), columns="plain"),
+        dict(layout=RangeSplit("k", 0, 100, 5)),
+        dict(layout=RangeSplit("k", 0, 100, 2)),
+        dict(layout=None),
+    ],
+)
+def test_the_stored_contract_holds(spark, root, other):
+    first = ParquetTarget(root, KEYED, "upsert", ("k",), RangeSplit("k", 0, 100, 3))
+    first.write(frame(spark, (1, "a"), (60, "b")), "l0")
+    options = {"columns": KEYED, "model": "upsert", "keys": ("k",), "layout": first.layout, **other}
+    if options["columns"] == "plain":
+        options["columns"] = COLUMNS
+    second = ParquetTarget(root, **options)
+    for use in (lambda: second.read(spark), lambda: second.write(frame(spark, (2, "c")), "l1")):
+        with pytest.raises(SyncError) as e:
+            use()
+        assert e.value.code == "SCHEMA"
+    assert content(first, spark) == [(1, "a"), (60, "b")]
+
+
+def test_upserts_account_for_rejects_and_partitions(spark, root):
+    target = ParquetTarget(root, KEYED, "upsert", ("k",))
+    rows = frame(spark, *[(i, "ab"[i % 2]) for i in range(10)])
+    with pytest.raises(SyncError) as e:
+        target.write(rows, "none", reject=F.col("v") == "b")
+    assert e.value.code == "LOAD_FILTERED" and content(target, spark) == []
+    got = target.write(
+        rows, "some", reject=F.col("v") == "b", partition=F.col("k"), partitions=range(6), max_filter_ratio=0.5
+    )
+    assert (got.loaded, got.filtered, got.affected) == (3, 7, 3)
+    assert content(target, spark) == [(0, "a"), (2, "a"), (4, "a")]
+    assert sorted(r.k for r in target.rejects(spark, "some").collect()) == [1, 3, 5]
+    with pytest.raises(SyncError):
+        target.write(rows, "x", partitions=(1,))
+
+
+def test_new_keys_of_an_upsert_take_defaults(spark, root):
+    from exactsync.plans.mapping import TargetColumn
+
+    columns = (*KEYED, TargetColumn.sql("d", "bigint", nullable=False, has_default=True, default=7))
+    target = ParquetTarget(root, columns, "upsert", ("k",))
+    target.write(spark.createDataFrame([(1, "a", 5)], "k bigint, v string, d bigint"), "l0")
+    target.write(frame(spark, (1, "b"), (2, "c")), "l1")
+    assert sorted(tuple(r) for r in target.read(spark).collect()) == [(1, "b", 5), (2, "c", 7)]

@@ -131,5 +131,8 @@ def test_reconcile_actions(spark):
 def test_runs_page_bounds(spark):
     runs = spark.range(700).select(F.concat(F.lit("run-"), F.col("id")).alias("run_id"), F.col("id").cast("timestamp").alias("created_at"))
     assert states.runs_page(runs).count() == 50
-    assert states.runs_page(runs, limit=9999).count() == 500
+    assert states.runs_page(runs, limit=500).count() == 500
+    for limit, offset in ((501, 0), (0, 0), (5, -1)):
+        with pytest.raises(SyncError):
+            states.runs_page(runs, limit, offset)
     assert [r.run_id for r in states.runs_page(runs, limit=2, offset=3).collect()] == ["run-696", "run-695"]
