@@ -19,7 +19,7 @@ _NULL_MARK = "\x1e"
 
 def quoted(name: str) -> str:
     if not name or "\x00" in name:
-        raise SyncError.config("Empty/NUL identifier")
+        raise SyncError.config("a name has at least one character and no NUL")
     return "`" + name.replace("`", "``") + "`"
 
 

@@ -50,7 +50,7 @@ def config_fingerprint(config: Mapping) -> str:
 
 def check_request_id(request_id: str) -> str:
     if not 1 <= len(request_id.encode("utf-8")) <= 200:
-        raise SyncError.config("request_id must be 1..200 bytes")
+        raise SyncError.config("a request id has 1 to 200 bytes in UTF-8")
     return request_id
 
 
@@ -83,7 +83,7 @@ class Ledger:
         folder = self._folder("runs", run_id)
         for name in reversed(self._files(folder)):
             return {"run_id": run_id, **files.read_json(self.spark, f"{folder}/{name}")}
-        raise SyncError("NOT_FOUND", "Run not found")
+        raise SyncError("NOT_FOUND", f"no run {run_id} in this ledger")
 
     def run_batches(self, run_id: str) -> DataFrame:
         return states.run_batches(self.batches(run_id), run_id)
@@ -98,7 +98,7 @@ class Ledger:
         known = files.read_json(self.spark, path) if files.exists(self.spark, path) else None
         cancelled = self.cancel_requested(request_id)
         if known is None and not cancelled:
-            raise SyncError("NOT_FOUND", "Request not found")
+            raise SyncError("NOT_FOUND", f"nothing is known of request {request_id}")
         run = self.run(known["run_id"]) if known else None
         return {"request_id": request_id, "cancel_requested": cancelled, "run": run}
 
@@ -123,7 +123,7 @@ class Ledger:
             if known:
                 return known, False
             if self.cancel_requested(request_id):
-                raise SyncError("REQUEST_CANCELLED", "Request was cancelled before submission")
+                raise SyncError("REQUEST_CANCELLED", "a cancellation of this request came first")
             entry = {"request_id": request_id, "fingerprint": fingerprint, "run_id": run_id}
             if not files.create_json(self.spark, path, entry):
                 return self._known_request(path, fingerprint), False
@@ -211,7 +211,7 @@ class Ledger:
             hooks = F.when(F.col("stage") == stage, F.coalesce(F.size(listed), F.lit(0))).otherwise(hooks)
         rolled = states.rollup(self.batches())
         flags = states.interrupt(runs.withColumn("hooks", hooks), rolled)
-        reason = SyncError("INTERRUPTED", "Restarted; the run is not resumed").as_dict()
+        reason = SyncError("INTERRUPTED", "the process ended during the run; it stays as it is").as_dict()
         # One row per run that was open at the crash, bounded by how many may run at once.
         for row in flags.join(rolled.drop("pending"), "run_id", "left").toLocalIterator():
             values = {k: v for k, v in row.asDict().items() if v is not None}
@@ -230,7 +230,7 @@ class Ledger:
 
     def intent(self, run_id: str, batch_id: int, label: str, rows: int, bytes_: int = 0) -> None:
         if not self._event(run_id, batch_id, _INTENT, states.INTENT, label=label, rows=rows, bytes=bytes_):
-            raise SyncError("STATE_STORE", f"Batch {batch_id} was announced before")
+            raise SyncError("STATE_STORE", f"batch {batch_id} has an announcement already")
 
     def confirmed(
         self, run_id: str, batch_id: int, loaded: int, filtered: int, affected: int, detail: str = ""
@@ -241,7 +241,7 @@ class Ledger:
         if known is None or not self._event(
             run_id, batch_id, _OUTCOME, states.CONFIRMED, **_batch_facts(known), **values
         ):
-            raise SyncError("STATE_STORE", "Cannot confirm an unprepared/already finalized batch")
+            raise SyncError("STATE_STORE", f"batch {batch_id} was not announced, or its outcome is known")
 
     def rejected(self, run_id: str, batch_id: int, error: SyncError) -> None:
         known = self._announced(run_id, batch_id) or {}

@@ -20,15 +20,15 @@ NEW, CHANGED, UNCHANGED = 1, 2, 0
 def update_columns(columns: Sequence[str], keys: Sequence[str], wanted: Sequence[str] = ()) -> list[str]:
     """Columns an upsert sets on a matching key: the wanted ones, else all mapped non-keys."""
     if not keys:
-        raise SyncError.config("upsert requires key columns")
+        raise SyncError.config("an upsert finds rows by key, and no key is given")
     for name in [*keys, *wanted]:
         if name not in columns:
-            raise SyncError.config(f"Key/update column {name} must be mapped")
+            raise SyncError.config(f"{name} is a key or is to be updated, but nothing is mapped to it")
     if set(wanted) & set(keys):
-        raise SyncError.config("update columns cannot include key columns")
+        raise SyncError.config("a key cannot be updated")
     updates = list(wanted) or [c for c in columns if c not in keys]
     if not updates:
-        raise SyncError.config("upsert needs at least one non-key update column")
+        raise SyncError.config("all mapped columns are keys, so there is nothing to update")
     return updates
 
 

@@ -19,6 +19,7 @@ from exactsync.operators.batching import DEFAULT_MAX_ROW_BYTES, Limits
 from exactsync.operators.upsert import update_columns
 from exactsync.plans.mapping import MappingPlan, plan_mapping
 from exactsync.session import configure
+from exactsync.sinks.catalog import CatalogTarget
 from exactsync.sinks.dataset import ParquetTarget, Receipt
 from exactsync.sinks.hooks import Hook, run_hooks
 from exactsync.sources.table import Source
@@ -35,7 +36,7 @@ class SyncJob:
     becomes visible at once and keeps standing if a later group fails."""
 
     source: Source
-    target: ParquetTarget
+    target: ParquetTarget | CatalogTarget
     mapping: Sequence[tuple[str, str]] = ()
     updates: Sequence[str] = ()
     order: Sequence[str] = ()
@@ -84,10 +85,10 @@ class SyncJob:
         self.target.check_contract(spark)
         writable = [c.name for c in self.target.columns if not c.generated]
         if self.target.full_row and set(writable) - set(names):
-            raise SyncError.config("A full-row upsert requires all writable target columns")
+            raise SyncError.config("full rows are asked for, but some columns the target stores are not mapped")
         for key in self.target.keys:
             if key not in names:
-                raise SyncError.config(f"Key column {key} must be mapped")
+                raise SyncError.config(f"nothing is mapped to the key column {key}")
         return plan
 
     def transform(self, frame: DataFrame, plan: MappingPlan) -> DataFrame:

@@ -15,7 +15,7 @@ from exactsync.functions.text import column, quoted
 from exactsync.functions.times import offset_seconds
 from exactsync.types import ColumnType, compatible, of_field, of_sql
 
-SEMANTICS = "batch commits; no whole-job rollback or automatic resume"
+SEMANTICS = "each commit group stands by itself: groups already visible stay if a later one fails, and a failed run is not continued"
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ def check_declared(schema: T.StructType, declared: Mapping[str, str]) -> None:
     fields = {f.name: f for f in schema.fields}
     for name, ddl in declared.items():
         if name not in fields:
-            raise SyncError.schema(f"Declared column {name} not found")
+            raise SyncError.schema(f"the source has no column {name}, for which a type is declared")
         expected = T._parse_datatype_string(ddl)
         if fields[name].dataType != expected:
             received = fields[name].dataType.simpleString()
@@ -69,7 +69,7 @@ def check_unchanged(planned: T.StructType, actual: T.StructType) -> None:
     """Column count, order, names and types as planned; nullability may differ."""
     shape = lambda s: [(f.name, f.dataType) for f in s.fields]
     if shape(planned) != shape(actual):
-        raise SyncError("SCHEMA_CHANGED", "Source schema changed after validation")
+        raise SyncError("SCHEMA_CHANGED", "the source no longer has the columns it was planned with")
 
 
 @dataclass(frozen=True)
@@ -172,22 +172,22 @@ def plan_mapping(
     for source_name, target_name in wanted:
         quoted(source_name), quoted(target_name)
         if target_name in seen:
-            raise SyncError.config(f"Duplicate target mapping {target_name}")
+            raise SyncError.config(f"two mappings write {target_name}")
         seen.add(target_name)
         if source_name not in fields:
-            raise SyncError.schema(f"Source column {source_name} not found")
+            raise SyncError.schema(f"the mapping reads {source_name}, which the source lacks")
         if target_name not in columns:
-            raise SyncError.schema(f"Target column {target_name} not found")
+            raise SyncError.schema(f"the mapping writes {target_name}, which the target lacks")
         src, dst = fields[source_name], columns[target_name]
         if dst.generated:
-            raise SyncError.schema(f"Cannot write generated column {target_name}")
+            raise SyncError.schema(f"{target_name} is computed by the target and takes no values")
         if not compatible(of_field(src), dst.type):
             raise SyncError.type(
                 f"{target_name}: incompatible {of_field(src).describe()} -> {dst.type.describe()}; "
-                "convert explicitly in the source query"
+                "select a converted value in the source instead"
             )
         pairs.append((src, dst))
     for t in target:
         if not (t.generated or t.has_default or t.nullable or t.name in seen):
-            raise SyncError.schema(f"Required target column {t.name} is missing")
+            raise SyncError.schema(f"nothing is mapped to {t.name}, which allows no NULL and has no default")
     return MappingPlan(tuple(pairs), tuple(target), offset_seconds(time_zone), source)

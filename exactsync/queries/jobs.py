@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from exactsync.errors import SyncError
@@ -10,6 +12,7 @@ from exactsync.plans.job import SyncJob
 from exactsync.plans.mapping import TargetColumn
 from exactsync.queries.registry import query, table_path
 from exactsync.queries.writes import fresh_folder
+from exactsync.sinks.catalog import CatalogTarget
 from exactsync.sinks.dataset import ParquetTarget
 from exactsync.sources.split import KeyLayout, RangeSplit
 from exactsync.sources.table import Source
@@ -96,3 +99,23 @@ def run_after_reconcile(spark, sf):
         "partial_write",
         "commit_unknown",
     )
+
+
+@query("job_into_table", f"SELECT * FROM ({_COPIED}) WHERE status <> 'P'")
+def job_into_table(spark, sf):
+    """Into a catalog table with a partition per commit group; the replayed request changes nothing."""
+    table = f"orders_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {table} (id DECIMAL(20,0), total STRING, status STRING, ordered TIMESTAMP_NTZ, _label STRING) "
+        "USING parquet PARTITIONED BY (_label)"
+    )
+    columns = tuple(TargetColumn(c.name, c.type, c.nullable) for c in _COLUMNS)
+    source = Source(path=table_path(sf, "orders"), split=RangeSplit("o_orderkey", 0, 60_000, 3))
+    reject = {"reject": F.col("status") == "P", "max_filter_ratio": 1.0}
+    job = SyncJob(source, CatalogTarget(table, columns), _MAPPING, request_id="table", **reject)
+    ledger = Ledger(spark, fresh_folder(spark))
+    for _ in range(2):
+        done = job.run(spark, ledger)
+        if done["state"] != "SUCCEEDED":
+            raise SyncError("STATE_STORE", str(done["error"]))
+    return job.target.read(spark)

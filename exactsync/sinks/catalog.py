@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exactsync.errors import SyncError
+from exactsync.functions.sizes import row_bytes
 from exactsync.functions.text import column, quoted, string_literal
+from exactsync.operators import accounting
+from exactsync.operators.batching import Limits
 from exactsync.operators.upsert import update_columns
 from exactsync.plans.mapping import TargetColumn
+from exactsync.session import checkpoint_dir
+from exactsync.sinks.dataset import Receipt
 
 LABEL = "_label"
 
@@ -18,13 +25,14 @@ LABEL = "_label"
 def table_columns(spark: SparkSession, table: str) -> tuple[TargetColumn, ...]:
     """Target columns of a table that must exist; its own types are trusted as they are."""
     if not spark.catalog.tableExists(table):
-        raise SyncError.schema(f"Target table {table} does not exist or is not visible")
+        raise SyncError.schema(f"the catalog shows no table {table}")
     return tuple(TargetColumn.from_field(f) for f in spark.table(table).schema.fields if f.name != LABEL)
 
 
-def append_to_table(df: DataFrame, table: str, label: str) -> None:
+def append_to_table(df: DataFrame, table: str, label: str, unlabelled: bool = False) -> None:
     """Append under a label. In a table partitioned by ``_label`` a repeated label replaces its own
-    partition only, so a replay changes nothing; other tables are appended to as they are."""
+    partition only, so a replay changes nothing. A table without it is appended to only if ``unlabelled``
+    says so, because a replay then adds the rows again."""
     spark = df.sparkSession
     known = spark.table(table)
     names = [f.name for f in known.schema.fields]
@@ -37,6 +45,8 @@ def append_to_table(df: DataFrame, table: str, label: str) -> None:
             f"SELECT {picked} FROM {{rows}}",
             rows=df,
         )
+    elif not unlabelled:
+        raise SyncError.config(f"{table} has no column {LABEL}, so an append could not be told from its repetition")
     else:
         df.select(*[column(n) for n in names]).write.mode("append").insertInto(table)
 
@@ -53,3 +63,96 @@ def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], updates: Se
     merge = incoming.alias("source").mergeInto(table, condition)
     merge = merge.whenMatched().update({u: F.col(f"source.{quoted(u)}") for u in changes})
     merge.whenNotMatched().insert({c: F.col(f"source.{quoted(c)}") for c in incoming.columns}).merge()
+
+
+@dataclass(frozen=True)
+class CatalogTarget:
+    """A catalog table partitioned by ``_label`` as the target of a job: one partition per commit group.
+
+    Rows are staged and counted in the shared folder, announced, and then replace their label's partition in one statement,
+    so a repeated group changes nothing and the partition itself is the receipt.
+    """
+
+    table: str
+    columns: tuple[TargetColumn, ...]
+    model: str = "append"
+    keys: tuple[str, ...] = ()
+    full_row: bool = False
+
+    def __post_init__(self):
+        if self.model != "append" or self.keys:
+            raise SyncError.config("groups are appended to a catalog table; upserts go through merge_into")
+
+    @classmethod
+    def of(cls, spark: SparkSession, table: str) -> "CatalogTarget":
+        return cls(table, table_columns(spark, table))
+
+    @property
+    def root(self) -> str:
+        return self.table
+
+    def contract(self) -> dict:
+        return {"columns": [[c.name, c.type.describe(), c.nullable] for c in self.columns], "model": self.model}
+
+    def check_contract(self, spark: SparkSession) -> None:
+        """The table must still have the declared columns, and its label partitions."""
+        found = table_columns(spark, self.table)
+        shape = lambda columns: [(c.name, c.type.spark) for c in columns]
+        if shape(found) != shape(self.columns):
+            raise SyncError.schema(f"{self.table} has other columns than declared")
+        if LABEL not in spark.table(self.table).columns:
+            raise SyncError.schema(f"{self.table} is not partitioned by {LABEL}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.table).select(*[column(c.name) for c in self.columns])
+
+    def receipt(self, spark: SparkSession, label: str) -> Receipt | None:
+        rows = spark.table(self.table).where(F.col(LABEL) == label).count()
+        return Receipt(rows, 0, rows, replayed=True) if rows else None
+
+    def labels(self, spark: SparkSession, given_up: Sequence[str] = ()) -> DataFrame:
+        """States of the labels for the ledger, one row per partition."""
+        rows = F.count(F.lit(1))
+        seen = spark.table(self.table).groupBy(F.col(LABEL).alias("label")).agg(
+            F.lit("VISIBLE").alias("label_state"), rows.alias("loaded"), F.lit(0).cast("bigint").alias("filtered"), rows.alias("affected")
+        )
+        gone = spark.createDataFrame([(name,) for name in given_up], "label string").join(seen, "label", "left_anti")
+        none = F.lit(None).cast("bigint")
+        return seen.unionByName(
+            gone.select("label", F.lit("ABORTED").alias("label_state"), *[none.alias(n) for n in ("loaded", "filtered", "affected")])
+        )
+
+    def write(
+        self,
+        df: DataFrame,
+        label: str,
+        *,
+        order: Sequence[str] = (),
+        updates: Sequence[str] = (),
+        reject: Column | None = None,
+        partition: Column | None = None,
+        partitions: Sequence[object] = (),
+        max_filter_ratio: float = 0.0,
+        limits: Limits | None = None,
+        announce: Callable[[int, int], None] | None = None,
+    ) -> Receipt:
+        spark = df.sparkSession
+        accounting.check_ratio_option(max_filter_ratio)
+        if order or updates or limits is not None:
+            raise SyncError.config("order, update columns and batch limits have no meaning for a catalog table")
+        known = self.receipt(spark, label)
+        if known is not None:
+            return known
+        folder = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4()}"
+        marked = accounting.with_verdict(df, reject, partition, partitions)
+        marked.withColumn("_bytes", row_bytes(df.schema)).write.parquet(folder)
+        staged = spark.read.parquet(folder)
+        got = staged.agg(F.count(F.lit(1)).alias("submitted"), F.sum("_bytes").alias("bytes"), *accounting.counters()).first()
+        checked = accounting.receipt(
+            got["submitted"], got["loaded"], got["filtered"], got["unselected"], max_filter_ratio
+        )
+        if announce is not None:
+            announce(checked["loaded"] + checked["filtered"], got["bytes"] or 0)
+        taken = staged.where(F.col(accounting.VERDICT) == accounting.LOADED)
+        append_to_table(taken.select(*[column(c.name) for c in self.columns]), self.table, label)
+        return Receipt(checked["loaded"], checked["filtered"], checked["affected"], got["bytes"] or 0)

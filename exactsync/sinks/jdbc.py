@@ -1,13 +1,16 @@
 """JDBC targets: stage with Spark, then move the staged rows in one transaction per commit group.
 
 Plain JDBC appends are not safe under task retries: a task whose commit went through but whose
-executor was lost is run again. Staged rows therefore carry their row id, and the final
-statement takes every id once. Statements are run by a callable of the user's, because only the
+executor was lost is run again. The rows and their ids are therefore fixed in a table in the shared
+folder first; whatever a repeated task stages again is the same row under the same id, and the final
+statement takes every id once. The target database needs a table ``_committed_labels`` whose key is ``label``; the
+staging table of a label can be dropped once that holds it. Statements are run by a callable of the user's, because only the
 user knows the driver; nothing here opens a connection of its own.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -18,6 +21,7 @@ from exactsync.errors import SyncError
 from exactsync.functions.text import quoted, string_literal
 from exactsync.operators.batching import jdbc_batchsize
 from exactsync.operators.upsert import update_columns
+from exactsync.session import checkpoint_dir
 
 ROW_ID = "_row_id"
 COMMITTED_LABELS = "_committed_labels"
@@ -63,7 +67,10 @@ class JdbcTarget:
     def write(self, df: DataFrame, label: str, execute: Callable[[Sequence[str]], None]) -> None:
         """Stage and move. ``execute`` runs the statements on one connection, in order."""
         columns = df.columns
-        staged = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+        spark = df.sparkSession
+        fixed = f"{checkpoint_dir(spark)}/jdbc-{label}-{uuid.uuid4()}"
+        df.withColumn(ROW_ID, F.monotonically_increasing_id()).write.parquet(fixed)
+        staged = spark.read.parquet(fixed)
         options = self.write_options(len(columns))
         staged.write.format("jdbc").mode("overwrite").options(
             url=self.url, dbtable=self.staging(label), **options

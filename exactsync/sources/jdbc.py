@@ -49,7 +49,7 @@ class JdbcSource:
             raise SyncError.config("consistency must be snapshot or statement")
         for name in self.variables:
             if not name.replace("_", "").isalnum() or name.lower() in RESERVED_VARIABLES:
-                raise SyncError.config(f"Reserved/invalid session variable {name}")
+                raise SyncError.config(f"the reader sets or forbids the session variable {name}")
         offset_seconds(self.time_zone)
         settings = [f"time_zone = {string_literal(self.time_zone)}"]
         settings += [f"{name} = {string_literal(v)}" for name, v in self.variables.items()]
@@ -59,7 +59,7 @@ class JdbcSource:
     def relation(self) -> str:
         """Table expression for the reader; projection and predicate stay in the database."""
         if (self.query is None) == (self.table is None):
-            raise SyncError.config("Choose query or table/columns/where")
+            raise SyncError.config("give either a query or a table with its columns and predicate")
         if self.query is not None:
             if self.columns or self.where or self.split:
                 raise SyncError.config("A query takes no columns, where or split")

@@ -68,7 +68,7 @@ def check_query(query: str) -> str:
     """The one SELECT/WITH statement of a query source, without its trailing semicolons."""
     text = query.strip().rstrip(";").rstrip()
     if not re.match(r"(select|with)\s", text, flags=re.IGNORECASE):
-        raise SyncError.config("Reader query must be a SELECT/WITH query")
+        raise SyncError.config("only a SELECT, with or without a WITH clause, can be read")
     return text
 
 
@@ -88,11 +88,11 @@ class Source:
     def check(self) -> None:
         named = [x for x in (self.path, self.table, self.query) if x is not None]
         if len(named) != 1 or (self.query is not None and (self.columns or self.where)):
-            raise SyncError.config("Choose query or table/columns/where")
+            raise SyncError.config("give either a query or a table with its columns and predicate")
         if self.query is not None:
             check_query(self.query)
             if self.split is not None:
-                raise SyncError.config("Range splitting requires table mode")
+                raise SyncError.config("a query cannot be split into ranges; split a table")
 
     def frame(self, spark: SparkSession, **views: DataFrame) -> DataFrame:
         """The lazy source. ``views`` are frames a query names as ``{name}``."""
@@ -132,7 +132,7 @@ def run_query(spark: SparkSession, query: str, params: Sequence[Parameter] = (),
     """
     text, found = number_placeholders(check_query(query))
     if found != len(params):
-        raise SyncError.config(f"SQL parameter count mismatch: {found} placeholders, {len(params)} values")
+        raise SyncError.config(f"{len(params)} values for {found} parameters")
     bound = {f"p{i}": p.bind() for i, p in enumerate(params)}
     values = {name: F.lit(None) if value is None else value for name, value in bound.items()}
     return spark.sql(text, args=values, **views) if values else spark.sql(text, **views)

@@ -74,7 +74,7 @@ class ColumnType:
             return "binary"
         if isinstance(t, T.NullType):
             return "null"
-        raise SyncError.type(f"Unsupported type {t.simpleString()}; project a scalar explicitly")
+        raise SyncError.type(f"{t.simpleString()} is no scalar; select one from it")
 
     @property
     def numeric(self) -> bool:
@@ -226,7 +226,7 @@ def of_sql(
         return ColumnType(T.StringType(), length=inner[0] if inner and base in _SIZED_NAMES else None)
     if base in _BINARY_NAMES:
         return ColumnType(T.BinaryType(), length=inner[0] if inner and base in _SIZED_NAMES else None)
-    raise SyncError.type(f"Unsupported SQL type {sql}; select an explicit SQL conversion")
+    raise SyncError.type(f"no column type stands for {sql}; select a converted value")
 
 
 def compatible(src: ColumnType, dst: ColumnType) -> bool:

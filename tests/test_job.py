@@ -25,21 +25,22 @@ ORDER_TYPES = {
 }
 
 
+ROWS = 47
+
+
 def order_rows():
-    amount = Decimal("-12345678901234567890.12345678")
-    precise = "1234567890" * 6 + ".12345"
-    wall = datetime(2026, 9, 29, 12, 34, 56, 123456)
-    instant = datetime(2026, 9, 29, 4, 34, 56, 654321, tzinfo=timezone.utc)
-    for i in range(47):
+    """Rows at the edges of the types: the largest unsigned key, 65-digit decimals, all planes of text, NULLs."""
+    for n in range(ROWS):
+        at = datetime(1970 + n, 1 + n % 12, 1 + n % 28, n % 24, n, 59 - n % 60, 999_999 - n)
         yield (
-            Decimal(2**64 - 1 if i == 46 else i),
-            amount if i % 3 else None,
-            precise,
-            None if i % 4 == 0 else '中文🚀\n"quote"\\' + str(i),
-            wall,
-            instant,
-            i % 2,
-            "" if i % 2 else "line1\nline2\tNULL\\N",
+            Decimal(n if n < ROWS - 1 else 2**64 - 1),
+            None if n % 5 == 2 else Decimal(10**21 + 7 * n).scaleb(-8) * (-1) ** n,
+            f"{'-' if n % 2 else ''}{10**59 + n}.{n:05d}",
+            [None, "", f"zürich-{n}", f"日本\t{n}", "\U0001f600'\"\\"][n % 5],
+            at,
+            at.replace(tzinfo=timezone.utc),
+            n - 20,
+            "\n".join(["x" * n, r"\N", "NULL"][: n % 4]),
         )
 
 
@@ -76,8 +77,8 @@ def test_exact_types_round_trip(spark, root, orders, ledger):
     back = SyncJob(Source(query="SELECT * FROM {copied}"), returned, time_zone="+08:00", views=views)
     assert back.run(spark, ledger)["state"] == "SUCCEEDED"
     assert row_diff(spark.read.schema(schema(ORDER_TYPES)).parquet(orders), returned.read(spark)).isEmpty()
-    wall = out.read(spark).select("event_instant").first()[0]
-    assert wall == datetime(2026, 9, 29, 12, 34, 56, 654321)
+    wall = out.read(spark).where("id = 3").select("event_instant").first()[0]
+    assert wall == datetime(1973, 4, 4, 11, 3, 56, 999_996)  # 03:03 in UTC, eight hours on
 
 
 def test_request_ids(spark, root, orders, ledger):
@@ -284,3 +285,100 @@ def test_full_row_upserts_need_every_column(spark, root, orders):
         SyncJob(Source(path=orders), target, (("id", "id"), ("notes", "notes"))).plan(spark)
     with pytest.raises(SyncError):
         SyncJob(Source(path=orders), target, parallel_groups=2).plan(spark)
+
+
+def broken_after_publishing(monkeypatch):
+    """Markers are published, but the call that does so fails."""
+    from exactsync.sinks import files
+
+    real = files.create_json
+
+    def publish(spark, path, content):
+        done = real(spark, path, content)
+        if "/_commits/" in path:
+            raise OSError("connection lost")
+        return done
+
+    monkeypatch.setattr(files, "create_json", publish)
+
+
+def test_a_group_that_became_visible_is_confirmed(spark, root, orders, ledger, monkeypatch):
+    target = order_target(root)
+    broken_after_publishing(monkeypatch)
+    run = SyncJob(Source(path=orders), target).run(spark, ledger)
+    assert (run["state"], run["rows_committed"], run["commit_unknown"]) == ("SUCCEEDED", ROWS, False)
+
+
+def test_a_lookup_that_fails_leaves_the_outcome_open(spark, root, orders, ledger, monkeypatch):
+    target = order_target(root)
+    broken_after_publishing(monkeypatch)
+    with monkeypatch.context() as blind:
+        blind.setattr(ParquetTarget, "receipt", lambda *_: (_ for _ in ()).throw(OSError("still lost")))
+        run = SyncJob(Source(path=orders), target).run(spark, ledger)
+    assert (run["state"], run["rows_committed"], run["commit_unknown"]) == ("FAILED", 0, True)
+    monkeypatch.undo()
+    assert [d["action"] for d in ledger.reconcile(target.labels(spark))] == ["CONFIRM"]
+    after = ledger.run(run["run_id"])
+    assert (after["rows_committed"], after["batches_committed"], after["commit_unknown"]) == (ROWS, 1, False)
+    assert after["partial_write"] and after["server_affected_rows"] == ROWS
+
+
+def test_batches_of_a_writer_that_is_gone_are_settled_as_not_committed(spark, root, orders, ledger):
+    target = order_target(root)
+    run_id, _ = ledger.submit({"job": 1})
+    ledger.intent(run_id, 0, "gone_0", 5)
+    ledger.finish(run_id, "FAILED", SyncError.unknown("lost"))
+    assert ledger.run(run_id)["commit_unknown"]
+    assert [d["action"] for d in ledger.reconcile(target.labels(spark, ["gone_0"]))] == ["RETRY"]
+    assert [b["state"] for b in ledger.run_batches(run_id).collect()] == ["NOT_COMMITTED"]
+    assert not ledger.run(run_id)["commit_unknown"]
+
+
+def test_every_option_is_part_of_the_request(spark, root, orders):
+    from dataclasses import replace
+    from functools import partial
+
+    from exactsync.operators.batching import Limits
+
+    def hook(spark, value):
+        return value
+
+    job = SyncJob(Source(path=orders), order_target(root), request_id="r")
+    changes = [
+        {"reject": F.col("id") > 5},
+        {"reject": F.col("id") > 6},
+        {"partition": F.col("id"), "partitions": (1, 2)},
+        {"max_row_bytes": 1000},
+        {"label_prefix": "other"},
+        {"limits": Limits(10, 1 << 20)},
+        {"pre_sql": [lambda s: 1]},
+        {"pre_sql": [lambda s: 2]},
+        {"pre_sql": [partial(hook, value=1)]},
+        {"pre_sql": [partial(hook, value=2)]},
+        {"target": replace(job.target, columns=(replace(job.target.columns[0], nullable=True), *job.target.columns[1:]))},
+    ]
+    prints = [json.dumps(replace(job, **c).config(), sort_keys=True) for c in [{}, *changes]]
+    assert len(set(prints)) == len(prints)
+    assert json.dumps(replace(job, reject=F.col("id") > 5).config(), sort_keys=True) == prints[1]
+
+
+def test_declared_limits_hold_on_write(spark, root, ledger):
+    columns = (
+        TargetColumn.sql("t", "varchar(1)"),
+        TargetColumn.sql("d", "date"),
+        TargetColumn.sql("h", "time"),
+    )
+    for n, (t, d, h) in enumerate([("toolong", "2000-01-01", 1), ("é", "+12000-01-01", 1), ("é", "2000-01-01", 900)]):
+        path = f"{root}/limits{n}"
+        spark.sql(f"SELECT '{t}' AS t, DATE '{d}' AS d, make_dt_interval(0, {h}, 0, 0) AS h").write.parquet(path)
+        target = ParquetTarget(f"{root}/limited{n}", columns)
+        run = SyncJob(Source(path=path), target).run(spark, ledger)
+        assert run["state"] == "FAILED" and json.loads(run["error"])["code"] == "TYPE"
+        assert target.read(spark).isEmpty()
+
+
+def test_parallel_groups_need_an_append_target(spark, root, orders, ledger):
+    target = order_target(root, model="insert", keys=("id",))
+    source = Source(path=orders, split=RangeSplit("id", 0, 40, 4))
+    with pytest.raises(SyncError):
+        SyncJob(source, target, parallel_groups=4).plan(spark)

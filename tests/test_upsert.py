@@ -138,3 +138,24 @@ def test_generated_rows(spark):
     rows = generate_rows(spark, 20_001, tasks=3)
     last = rows.orderBy(F.desc("id")).first()
     assert (last.id, str(last.amount), last.payload) == (20_000, "2.0000", "row-20000")
+
+
+def test_verification_is_exact(spark):
+    a = spark.sql("SELECT CAST(1.00001 AS DECIMAL(10,5)) AS x, 0.0D AS f")
+    b = spark.sql("SELECT CAST(1.00002 AS DECIMAL(10,5)) AS x, -0.0D AS f")
+    rows = {r.measure: (r.left_value, r.right_value, r.same) for r in compare_checksums(a, b, {"x": F.col("x")}).collect()}
+    assert rows == {"n_rows": ("1", "1", True), "x": ("1.00001", "1.00002", False)}
+    with pytest.raises(SyncError):
+        compare_checksums(a, b, {"f": F.col("f")})
+    found = sorted((str(r.f), r.surplus) for r in row_diff(a.select("f"), b.select("f")).collect())
+    assert found == [("-0.0", -1), ("0.0", 1)]
+
+
+def test_redaction_at_any_depth():
+    from exactsync.functions.text import redact_json
+
+    text = r'''{"a":[{"pass\u0077ord" : {"x":{"y":["S3CRET"]}}, "b":1}], "password":["S3CRET",{"z":"}"}],"c":"password", "password":"q\"S3CRET"}'''
+    out = redact_json(text)
+    assert "S3CRET" not in out and out.count("[REDACTED]") == 3 and '"b":1' in out and '"c":"password"' in out
+    assert redact_json('{"password": {"open": "S3CRET') == '{"password":"[REDACTED]"'
+    assert redact_json(None) is None and redact_json("no json") == "no json"
