@@ -53,7 +53,7 @@ def learned_text(docs: DataFrame, pieces: int, piece_chars: int) -> dict[str, li
     chosen = staged(known.groupBy("lang", bucket).agg(F.min("hash").alias("hash")).select("lang", "hash"), "pieces")
     languages = chosen.select("lang").distinct().count()
     chars = max(16, min(piece_chars, LEARNED_CHARS // max(1, languages * pieces)))
-    met = known.join(F.broadcast(chosen), ["lang", "hash"])  # ``pieces`` rows per language
+    met = known.join(chosen, ["lang", "hash"])  # ``pieces`` rows per language
     begin = F.pmod("hash", F.greatest(F.lit(1), F.char_length("text") - chars + 1)) + 1
     found = met.where("text IS NOT NULL").select("lang", F.substr("text", begin.cast("int"), F.lit(chars)).alias("piece"))
     rows = found.limit(4 * pieces * max(1, languages)).collect()
