@@ -289,10 +289,11 @@ class ParquetTarget:
         if not files.exists(spark, path):
             return
         staged = self._scan(spark, path)
-        repeated = duplicate_keys(staged, self.keys)
-        touched = set(self._stored_slices(spark, path)) if self.layout is not None else None
-        known = insert_conflicts(staged, self.read(spark, commits, touched), self.keys)
-        if not repeated.isEmpty() or not known.isEmpty():
+        clash = not duplicate_keys(staged, self.keys).isEmpty()
+        if commits and not clash:
+            touched = set(self._stored_slices(spark, path)) if self.layout is not None else None
+            clash = not insert_conflicts(staged, self.read(spark, commits, touched), self.keys).isEmpty()
+        if clash:
             raise SyncError("DUPLICATE_KEY", "An inserted key exists already")
 
     def _staged_input(self, label: str) -> str:
