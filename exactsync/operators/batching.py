@@ -32,6 +32,8 @@ BIND_OVERHEAD = 4
 
 LANE, BATCH = "_lane", "_batch"
 SIZE, READ_SIZE = "_size", "_read_size"
+# Lane numbers to a block of the running total.
+_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -215,11 +217,16 @@ def batch_summary(batched: DataFrame, size: Column) -> DataFrame:
 def number_batches(summary: DataFrame) -> DataFrame:
     """Add ``batch_id``, unique over the run and counting from 0.
 
-    Works on summaries: the one unpartitioned window sees a row per lane, never the batches.
+    Works on summaries in two steps: a running total over blocks of lanes, and one inside each block. The
+    one unpartitioned window sees a row per block of 4096 lane numbers, never lanes or batches.
     """
     per_lane = summary.groupBy(LANE).agg((F.max(BATCH) + 1).cast("bigint").alias("_n"))
-    running = W.orderBy(LANE).rowsBetween(W.unboundedPreceding, -1)
-    first = per_lane.select(LANE, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_first"))
+    per_lane = per_lane.withColumn("_block", F.call_function("div", F.col(LANE), F.lit(_BLOCK).cast("bigint")))
+    above = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = per_lane.groupBy("_block").agg(F.sum("_n").alias("_n"))
+    blocks = blocks.select("_block", above(W.orderBy("_block")).alias("_start"))
+    inside = per_lane.withColumn("_inside", above(W.partitionBy("_block").orderBy(LANE)))
+    first = inside.join(blocks, "_block").select(LANE, (F.col("_start") + F.col("_inside")).alias("_first"))
     return summary.join(first, LANE).withColumn("batch_id", F.col("_first") + F.col(BATCH)).drop("_first")
 
 

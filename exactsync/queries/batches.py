@@ -17,17 +17,15 @@ from exactsync.operators.batching import (
 )
 from exactsync.ledger.states import with_labels
 from exactsync.queries.registry import load, query
-from exactsync.sources.split import RangeSplit
 
 SALTS = 4
-_SPLIT = RangeSplit("o_orderkey", 1000, 12000, 7)
+# Lanes are key ranges of one width, so their number grows with the table and no lane does.
+KEY_RANGE = 1500
 _ORDER_BYTES = (
     "128 + octet_length(encode(o_orderstatus)) + 16 + octet_length(encode(o_orderpriority)) + 16"
 )
 _LANED = f"""
-    SELECT *, {_ORDER_BYTES} AS size, {SALTS} * (CASE WHEN o_orderkey < 2571 THEN 0 WHEN o_orderkey < 4142 THEN 1
-        WHEN o_orderkey < 5714 THEN 2 WHEN o_orderkey < 7285 THEN 3 WHEN o_orderkey < 8857 THEN 4
-        WHEN o_orderkey < 10428 THEN 5 ELSE 6 END) + o_orderkey % {SALTS} AS lane
+    SELECT *, {_ORDER_BYTES} AS size, {SALTS} * (o_orderkey // {KEY_RANGE}) + o_orderkey % {SALTS} AS lane
     FROM {{orders}}"""
 _NUMBERED = f"""
     SELECT *, row_number() OVER (PARTITION BY lane ORDER BY o_orderkey) - 1 AS nth FROM ({_LANED})"""
@@ -35,7 +33,7 @@ _NUMBERED = f"""
 
 def _order_batches(spark, sf, limits, reader_limits=None):
     orders = load(spark, sf, "orders")
-    lane = salted_lane(_SPLIT.slice_id(), F.col("o_orderkey"), SALTS)
+    lane = salted_lane(F.expr(f"o_orderkey DIV {KEY_RANGE}"), F.col("o_orderkey"), SALTS)
     return with_batches(orders, limits, lane=lane, order=[F.col("o_orderkey")], reader_limits=reader_limits), orders
 
 
@@ -71,13 +69,13 @@ def batch_recut(spark, sf):
 
 
 DOC_LIMITS = Limits(rows=20, bytes=60_000)
-DOC_LANES = 16
+DOCS_PER_LANE = 60
 _DOC_BYTES = "64 + octet_length(encode(text)) + octet_length(encode(lang)) + octet_length(encode(source)) + 48"
 
 
 def _documents(spark, sf):
     documents = load(spark, sf, "documents")
-    lane = F.pmod(F.col("doc_id"), F.lit(DOC_LANES))
+    lane = F.expr(f"doc_id DIV {DOCS_PER_LANE}")
     return with_batches(documents, DOC_LIMITS, lane=lane, order=[F.col("doc_id")]), row_bytes(documents.schema)
 
 
@@ -85,8 +83,8 @@ def _documents(spark, sf):
     "batch_by_bytes",
     f"""
     WITH RECURSIVE sized AS (
-        SELECT doc_id, doc_id % {DOC_LANES} AS lane, {_DOC_BYTES} AS size,
-               row_number() OVER (PARTITION BY doc_id % {DOC_LANES} ORDER BY doc_id) AS nth
+        SELECT doc_id, doc_id // {DOCS_PER_LANE} AS lane, {_DOC_BYTES} AS size,
+               row_number() OVER (PARTITION BY doc_id // {DOCS_PER_LANE} ORDER BY doc_id) AS nth
         FROM {{documents}}),
     cut AS (
         SELECT doc_id, lane, nth, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS n, CAST(size AS BIGINT) AS b
@@ -169,14 +167,14 @@ _STATEMENT_ROWS = 65535 // 11
     f"""
     SELECT lane, chunk, count(*) AS n_rows
     FROM (SELECT lane, (row_number() OVER (PARTITION BY lane) - 1) // {_STATEMENT_ROWS} AS chunk
-          FROM (SELECT l_suppkey % 8 AS lane FROM {{lineitem}}))
+          FROM (SELECT l_suppkey // 25 AS lane FROM {{lineitem}}))
     GROUP BY 1, 2
     """,
 )
 def statement_chunks(spark, sf):
     lines = load(spark, sf, "lineitem")
     limits = statement_limits(len(lines.columns), 64 * 1024 * 1024)
-    cut = with_batches(lines, limits, lane=F.pmod(F.col("l_suppkey"), F.lit(8)))
+    cut = with_batches(lines, limits, lane=F.expr("l_suppkey DIV 25"))
     return cut.groupBy(F.col(LANE).alias("lane"), F.col(BATCH).cast("bigint").alias("chunk")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
