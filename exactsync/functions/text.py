@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from exactsync.errors import SyncError
 
 REDACTED = "[REDACTED]"
+_JSON_STRING = re.compile(r'"((?:[^"\\]|\\.)*)"(\s*:)?', re.DOTALL)
 _JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}\[\],:]|[^\s{}\[\],:"]+', re.DOTALL)
 _SEPARATOR = "\x1f"
 _NULL_MARK = "\x1e"
@@ -56,28 +57,28 @@ def redact_json(text: str | None) -> str | None:
     """
     if text is None:
         return None
-    tokens = list(_JSON_TOKEN.finditer(text))
     out, done, at = [], 0, 0
-    while at + 1 < len(tokens):
-        name = tokens[at]
-        if not (tokens[at + 1][0] == ":" and name[0].startswith('"') and _member_name(name[0]) == "password"):
-            at += 1
+    while found := _JSON_STRING.search(text, at):
+        at = found.end()
+        if not found[2] or _member_name(found[1]) != "password":
             continue
-        end, depth = at + 2, 0
-        while end < len(tokens):
-            depth += {"{": 1, "[": 1, "}": -1, "]": -1}.get(tokens[end][0], 0)
-            end += 1
+        depth, end = 0, len(text)
+        for token in _JSON_TOKEN.finditer(text, at):
+            depth += {"{": 1, "[": 1, "}": -1, "]": -1}.get(token[0], 0)
             if depth <= 0:
+                end = token.end()
                 break
-        out += [text[done : name.start()], f'"password":"{REDACTED}"']
-        done = tokens[end - 1].end() if depth <= 0 else len(text)
-        at = end
+        out += [text[done : found.start()], f'"password":"{REDACTED}"']
+        done = at = end
     return "".join(out) + text[done:]
 
 
-def _member_name(token: str) -> str | None:
+def _member_name(inner: str) -> str | None:
+    """A member's name from what stands between its quotes."""
+    if "\\" not in inner:
+        return inner
     try:
-        return json.loads(token, strict=False)
+        return json.loads(f'"{inner}"', strict=False)
     except ValueError:
         return None
 
