@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +26,24 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, (default, better) in PREFERRED.items():
         if spark.conf.get(key, default) == default:
             spark.conf.set(key, better)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's sources to the Python workers, once per application: they need them for Arrow functions."""
+    context = spark.sparkContext
+    if getattr(context, "_exactsync_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="exactsync-src-")) / "exactsync_src.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._exactsync_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share. Only where all run on one machine a temporary one stands in."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
