@@ -1,19 +1,15 @@
-"""Helpers the operators share: staged tables, worker set-up, hash columns and sorted runs."""
+"""Helpers the operators share: session set-up, staged tables, hash columns and sorted runs."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exactsync.session import configure
+from exactsync.session import checkpoint_dir, configure
 
 # ASCII white space: space and the characters 0x09 to 0x0D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -21,43 +17,17 @@ _ARROW_ROWS = "2000"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the package, smaller Arrow batches (texts are long) and the package on the executors."""
+    """Session settings of the package, and smaller Arrow batches, as texts are long."""
     configure(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _ARROW_ROWS)
-    _ship(spark)
     return spark
 
 
-def _ship(spark: SparkSession) -> None:
-    """Send the package's sources to the executors, once per application."""
-    context = spark.sparkContext
-    if getattr(context, "_exactsync_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="exactsync-src-")) / "exactsync_src.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._exactsync_shipped = True
-
-
-def scratch(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where the whole session is one machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="exactsync-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4()}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -119,10 +89,3 @@ def boundaries(table: pa.Table, keys: list[str]):
 
 def _last_change(batch: pa.RecordBatch, keys: list[str]) -> int:
     return int(boundaries(pa.Table.from_batches([batch]), keys)[-2])
-
-
-def single_threaded() -> None:
-    """Keep native libraries of a Python worker to the task's own core."""
-    for name in ("RAYON_NUM_THREADS", "OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
-        os.environ.setdefault(name, "1")
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
