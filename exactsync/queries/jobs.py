@@ -10,7 +10,7 @@ from exactsync.errors import SyncError
 from exactsync.ledger.store import Ledger
 from exactsync.plans.job import SyncJob
 from exactsync.plans.mapping import TargetColumn
-from exactsync.queries.registry import query, table_path
+from exactsync.queries.registry import load, query, table_path
 from exactsync.queries.writes import fresh_folder
 from exactsync.sinks.catalog import CatalogTarget
 from exactsync.sinks.dataset import ParquetTarget
@@ -34,7 +34,8 @@ _MAPPING = (
 def _job(spark, sf, model: str, **options) -> tuple[SyncJob, Ledger]:
     keyed = model != "append"
     columns = tuple(c if keyed or not c.key else TargetColumn(c.name, c.type, c.nullable) for c in _COLUMNS)
-    layout = KeyLayout("id", 0, 60_000, 6) if model == "upsert" else None
+    keys = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    layout = KeyLayout.over(keys, "id", 6) if model == "upsert" else None
     target = ParquetTarget(fresh_folder(spark), columns, model, ("id",) if keyed else (), layout)
     source = Source(path=table_path(sf, "orders"), split=options.pop("split", None))
     return SyncJob(source, target, _MAPPING, **options), Ledger(spark, fresh_folder(spark))
@@ -49,10 +50,9 @@ FROM {orders}
 
 @query("job_append_groups", _COPIED)
 def job_append_groups(spark, sf):
-    """A split source in four commit groups, two at a time; a replayed request adds nothing."""
-    job, ledger = _job(
-        spark, sf, "append", split=RangeSplit("o_orderkey", 0, 60_000, 4), parallel_groups=2, request_id="copy"
-    )
+    """A split source in four commit groups or more, two at a time; a replayed request adds nothing."""
+    split = RangeSplit.over(load(spark, sf, "orders"), "o_orderkey", 4)
+    job, ledger = _job(spark, sf, "append", split=split, parallel_groups=2, request_id="copy")
     first = job.run(spark, ledger)
     again = job.run(spark, ledger)
     if first["state"] != "SUCCEEDED" or again["run_id"] != first["run_id"]:
@@ -110,7 +110,7 @@ def job_into_table(spark, sf):
         "USING parquet PARTITIONED BY (_label)"
     )
     columns = tuple(TargetColumn(c.name, c.type, c.nullable) for c in _COLUMNS)
-    source = Source(path=table_path(sf, "orders"), split=RangeSplit("o_orderkey", 0, 60_000, 3))
+    source = Source(path=table_path(sf, "orders"), split=RangeSplit.over(load(spark, sf, "orders"), "o_orderkey", 3))
     reject = {"reject": F.col("status") == "P", "max_filter_ratio": 1.0}
     job = SyncJob(source, CatalogTarget(table, columns), _MAPPING, request_id="table", **reject)
     ledger = Ledger(spark, fresh_folder(spark))

@@ -256,7 +256,7 @@ _LATER_PRICES = f"SELECT id, 'XX' AS status, price * 2 AS price FROM ({_PRICES})
 
 def _priced_target(spark, sf):
     """A table in key ranges that follow its size, with a first load of every third order."""
-    ranges = KeyLayout("id", 0, 60_000, 8)
+    ranges = KeyLayout.over(load(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), "id", 8)
     target = ParquetTarget(fresh_folder(spark), _PRICED, "upsert", ("id",), ranges)
     target.write(derive(spark, sf, _FIRST_PRICES), "first")
     return target

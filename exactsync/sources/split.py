@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from typing import ClassVar
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,14 @@ class RangeSplit:
         if not in_range or not 1 <= self.partitions <= self.most:
             raise SyncError.config("Invalid split bounds or partition count")
 
+    @classmethod
+    def over(cls, rows: DataFrame, name: str, least: int = 1, rows_each: int = 1_000_000):
+        """At least ``least`` ranges over the values of a column, more as the table grows; one aggregation."""
+        key = column(name)
+        low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        lower, upper = (0, 1) if low is None else (int(low), int(high) + 1)
+        return cls(name, lower, upper, min(cls.most, max(least, -(-n // rows_each))))
+
     def cuts(self) -> list[int]:
         width, n = self.upper - self.lower, self.partitions
         return sorted({self.lower + width * i // n for i in range(1, n)})
