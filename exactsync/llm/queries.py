@@ -1,4 +1,4 @@
-"""The ten queries over the given tables. Where SQL can say the same, ``ORACLES`` does."""
+"""The queries of the operators over the given tables. Where SQL can say the same, ``ORACLES`` does."""
 
 from __future__ import annotations
 
@@ -131,3 +131,93 @@ def quality_scores(spark, sf_dir):
 
     documents = table(spark, sf_dir, "documents")
     return quality.scored(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
+
+
+#: The entries of op11: verdict, host, path.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+_URL_SQL = """
+WITH cut AS (SELECT page_id,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (SELECT *, CASE
+    WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/') THEN 'org/'
+    WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/' END AS rule FROM cut)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/es/', 'example.org/en/1', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
+
+@query("op11_url_filter", _URL_SQL)
+def url_filter(spark, sf_dir):
+    from exactsync.llm import urls
+
+    return urls.judge(table(spark, sf_dir, "pages"), urls.entries_of(spark, URL_RULES))
+
+
+def repeat_words(doc_id, words):
+    """Every tenth document (by hash of its id) with the words from a drawn place on repeated in a drawn period."""
+    import zlib
+
+    hashed = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if hashed is None or hashed % 10 or not words:
+        return words
+    g, n = hashed // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark, sf_dir):
+    from exactsync.llm import periodic
+
+    return periodic.scan(table(spark, sf_dir, "documents"), repeat_words)
+
+
+_DIVERGENCE_SQL = """
+WITH texts AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM texts),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+sizes AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+said AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+group_sizes AS (SELECT g.lang, g.source, coalesce(sum(s.n), 0)::HUGEINT AS total
+                FROM groups g LEFT JOIN said s USING (lang, source) GROUP BY ALL),
+shares AS (SELECT k.lang, k.term, g.source, coalesce(s.n, 0) AS n,
+                  1 + (1000000000::HUGEINT * (coalesce(s.n, 0) + 1)) // (g.total + z.v) AS p,
+                  1 + (1000000000::HUGEINT * (k.n + 1)) // (z.total + z.v) AS q
+           FROM kept k JOIN sizes z USING (lang) JOIN group_sizes g USING (lang)
+           LEFT JOIN said s ON s.lang = k.lang AND s.term = k.term AND s.source = g.source),
+pair_sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+              FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value,
+                  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+           UNION ALL
+           SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+                  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms) WHERE rank <= 200)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked
+"""
+
+
+@query("op13_source_divergence", _DIVERGENCE_SQL)
+def source_divergence(spark, sf_dir):
+    from exactsync.llm import divergence
+
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -17,6 +17,9 @@ EXPECTED = {
     "op8_nearest": "query_id rank vec_id score",
     "op9_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+    "op11_url_filter": "page_id host path rule verdict",
+    "op12_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13_source_divergence": "lang source part item value rank",
 }
 
 
@@ -38,6 +41,9 @@ def test_one_row_per_document(spark, name):
         assert rows == 20 * spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("vec_id % 20 = 0").count()
     elif name == "op7_packing":
         assert df.select("doc_id").distinct().count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    elif name == "op13_source_divergence":
+        groups = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("lang", "source").distinct()
+        assert df.where("part = 'pair'").select("lang", "source").distinct().count() <= groups.count() and rows
     else:
-        source = "embeddings" if name == "op6_vector_dedup" else "documents"
+        source = {"op6_vector_dedup": "embeddings", "op11_url_filter": "pages"}.get(name, "documents")
         assert rows == spark.read.parquet(f"{SF_DIR}/{source}.parquet").count()
