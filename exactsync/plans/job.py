@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields, is_dataclass
 from functools import partial
@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from exactsync.errors import SyncError, prevailing
 from exactsync.functions.sizes import fixed_row_bytes, guard_row_bytes, row_bytes
-from exactsync.functions.text import check_label_prefix
+from exactsync.functions.text import check_label_prefix, column
 from exactsync.ledger.store import Ledger
 from exactsync.operators.batching import DEFAULT_MAX_ROW_BYTES, Limits
 from exactsync.operators.upsert import update_columns
+from exactsync.plans.dealt import DealtGroup, deal, dealt_rows
 from exactsync.plans.mapping import MappingPlan, plan_mapping
 from exactsync.session import configure
 from exactsync.sinks.catalog import CatalogTarget
@@ -29,11 +30,18 @@ MAX_RETRIES = 16
 MAX_PARALLEL_GROUPS = 32
 MAX_BACKOFF_EXPONENT = 10
 
+#: Writes a group under a label, announcing it before it becomes visible.
+Write = Callable[[str, Callable[[int, int], None]], Receipt]
+
 
 @dataclass(frozen=True)
 class SyncJob:
-    """Each slice of the source's split is one commit group: it is written by one Spark job,
-    becomes visible at once and keeps standing if a later group fails."""
+    """Each slice of the source's split is one commit group: it becomes visible at once and keeps standing if a later one fails.
+
+    By default a Spark job and a scan copy each slice, for sources that prune by its predicate. With ``single_scan`` one
+    write deals all rows to their groups (``plans.dealt``) and the groups are committed one by one from its files. After a failure
+    no further group starts, unless appended groups are to ``keep_going``. ``gather`` shuffles the rows of a group together
+    before that write, for many groups of rows in no order."""
 
     source: Source
     target: ParquetTarget | CatalogTarget
@@ -52,6 +60,9 @@ class SyncJob:
     limits: Limits | None = None
     writers: int | None = None
     parallel_groups: int = 1
+    single_scan: bool = False
+    keep_going: bool = False
+    gather: bool = False
     retries: int = 2
     backoff_ms: int = 200
     request_id: str | None = None
@@ -78,6 +89,12 @@ class SyncJob:
             raise SyncError.config(f"parallel_groups must be 1..{MAX_PARALLEL_GROUPS}")
         if self.target.model != "append" and self.parallel_groups > 1:
             raise SyncError.config("only append groups can be committed in parallel: others depend on the stored keys")
+        if self.single_scan and (self.source.split is None or self.limits is not None):
+            raise SyncError.config("a single scan deals the slices of a split, without batch limits")
+        if self.keep_going and self.target.model != "append":
+            raise SyncError.config("only appended groups do not depend on one that failed")
+        if self.gather and not self.single_scan:
+            raise SyncError.config("rows are gathered for a single scan only")
         if self.partitions and self.partition is None:
             raise SyncError.config("a list of partitions needs the partition expression")
         if self.target.model == "upsert" and self.limits is not None:
@@ -121,6 +138,8 @@ class SyncJob:
             "max_filter_ratio": self.max_filter_ratio,
             "max_row_bytes": self.max_row_bytes,
             "limits": None if self.limits is None else plain_value(self.limits),
+            "single_scan": self.single_scan,
+            "keep_going": self.keep_going,
             "views": {name: view.schema.simpleString() for name, view in sorted(self.views.items())},
             **self.extra_config,
         }
@@ -148,25 +167,23 @@ class SyncJob:
         return ledger.finish(run_id, state, error, **read)
 
     def _transfer(self, spark, ledger: Ledger, run_id: str, plan: MappingPlan, read: dict) -> None:
-        frames = (
-            self.source.slices(spark) if self.source.split else [self.source.frame(spark, **self.views)]
-        )
+        groups = self._dealt(spark, run_id, plan) if self.single_scan else self._sliced(spark, plan)
         failures: list[SyncError] = []
         done: list[Receipt] = []
 
-        def copy(group: int, frame: DataFrame) -> None:
+        def copy(group: tuple[int, Write]) -> None:
             # After a failure no new group starts; those under way still record their outcome.
-            if failures:
+            if failures and not self.keep_going:
                 return
             try:
                 if ledger.cancel_requested(self.request_id):
-                    raise SyncError("CANCELLED", "Cancellation requested")
-                done.append(self._copy_group(ledger, run_id, group, frame, plan))
+                    raise SyncError("CANCELLED", "the request was cancelled before this group")
+                done.append(self._copy_group(ledger, run_id, *group))
             except Exception as e:
                 failures.append(as_sync_error(e))
 
         with ThreadPoolExecutor(self.parallel_groups) as pool:
-            list(pool.map(copy, range(len(frames)), frames))
+            list(pool.map(copy, groups))
         read["rows_read"] = sum(r.loaded + r.filtered for r in done)
         read["bytes_read"] = sum(r.bytes for r in done)
         error: SyncError | None = None
@@ -175,10 +192,46 @@ class SyncJob:
         if error is not None:
             raise error
 
-    def _copy_group(
-        self, ledger: Ledger, run_id: str, group: int, frame: DataFrame, plan: MappingPlan
-    ) -> Receipt:
-        label = f"{self.label_prefix}_{run_id.replace('-', '')}_{group}"
+    def _label(self, run_id: str, group: int | str) -> str:
+        return f"{self.label_prefix}_{run_id.replace('-', '')}_{group}"
+
+    def _sliced(self, spark: SparkSession, plan: MappingPlan) -> list[tuple[int, Write]]:
+        """A scan and a write per slice."""
+        frames = self.source.slices(spark) if self.source.split else [self.source.frame(spark, **self.views)]
+
+        def writer(frame: DataFrame) -> Write:
+            return lambda label, announce: self._write(self.transform(frame, plan), label, announce)
+
+        return [(n, writer(frame)) for n, frame in enumerate(frames)]
+
+    def _dealt(self, spark: SparkSession, run_id: str, plan: MappingPlan) -> list[tuple[int, Write]]:
+        """One scan and one write of all rows; groups without rows are left out."""
+        options = {"reject": self.reject, "partition": self.partition, "partitions": self.partitions}
+        frame = self.source.frame(spark, **self.views)
+        rows = dealt_rows(
+            frame, plan, self.source.split, fill_omitted=self.target.model != "upsert", max_row_bytes=self.max_row_bytes, **options
+        )
+        if self.writers is not None:
+            rows = rows.repartition(self.writers)
+        # Appended and inserted groups stay in the files of this write, in the target's own folder if it has one.
+        in_place = self.target.model != "upsert"
+        folder = self.target.staging(spark, self._label(run_id, "dealt"))
+        groups = deal(rows, folder, self.target.layout if in_place else None, self.gather)
+
+        def writer(group: DealtGroup) -> Write:
+            def write(label: str, announce) -> Receipt:
+                checked = group.receipt(self.max_filter_ratio)
+                if in_place:
+                    return self._retried(lambda: self.target.adopt(spark, label, group.path, checked, group.bytes, announce))
+                stored = spark.read.parquet(group.folder).select(*[column(dst.name) for _, dst in plan.pairs])
+                return self._write(stored, label, announce)
+
+            return write
+
+        return [(group.number, writer(group)) for group in groups]
+
+    def _copy_group(self, ledger: Ledger, run_id: str, group: int, write: Write) -> Receipt:
+        label = self._label(run_id, group)
         announced: list[int] = []
 
         def announce(rows: int, size: int) -> None:
@@ -188,7 +241,7 @@ class SyncJob:
                 announced.append(rows)
 
         try:
-            receipt = self._write(self.transform(frame, plan), label, announce)
+            receipt = write(label, announce)
         except Exception as e:
             failure = as_sync_error(e)
             # Once announced, only the marker tells whether the group became visible.
@@ -214,20 +267,25 @@ class SyncJob:
             return None
 
     def _write(self, mapped: DataFrame, label: str, announce) -> Receipt:
+        return self._retried(
+            lambda: self.target.write(
+                mapped,
+                label,
+                order=self.order,
+                updates=self.updates,
+                reject=self.reject,
+                partition=self.partition,
+                partitions=self.partitions,
+                max_filter_ratio=self.max_filter_ratio,
+                limits=self.limits,
+                announce=announce,
+            )
+        )
+
+    def _retried(self, write: Callable[[], Receipt]) -> Receipt:
         for attempt in range(self.retries + 1):
             try:
-                return self.target.write(
-                    mapped,
-                    label,
-                    order=self.order,
-                    updates=self.updates,
-                    reject=self.reject,
-                    partition=self.partition,
-                    partitions=self.partitions,
-                    max_filter_ratio=self.max_filter_ratio,
-                    limits=self.limits,
-                    announce=announce,
-                )
+                return write()
             except SyncError as e:
                 # Only what is known to have changed nothing is sent again, under the same label.
                 if not e.retryable or e.commit_unknown or attempt == self.retries:

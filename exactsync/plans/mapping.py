@@ -15,6 +15,9 @@ from exactsync.functions.text import column, quoted
 from exactsync.functions.times import offset_seconds
 from exactsync.types import ColumnType, compatible, of_field, of_sql
 
+#: Column of :meth:`MappingPlan.marked` that says why the target cannot take a row.
+PROBLEM = "_problem"
+
 SEMANTICS = "each commit group stands by itself: groups already visible stay if a later one fails, and a failed run is not continued"
 
 
@@ -85,24 +88,46 @@ class MappingPlan:
         raw = column(src.name)
         return raw, exact_cast(raw, of_field(src), dst.type, self.offset)
 
+    @staticmethod
+    def _problems(src: T.StructField, dst: TargetColumn, raw: Column) -> list[Column]:
+        """Why a value that came out NULL cannot be written; NULL where that is no problem."""
+        out = []
+        if not dst.type.covers(of_field(src)) and of_field(src).kind != "null":
+            why = F.lit(f"TYPE: {dst.name} cannot hold exactly as {dst.type.describe()}: ")
+            out.append(F.when(raw.isNotNull(), F.concat(why, raw.cast("string"))))
+        if not dst.nullable:
+            out.append(F.lit(f"TYPE: NULL in required column {dst.name}"))
+        return out
+
     def columns(self) -> list[Column]:
         """Guarded output columns. They must be the last projection before the write."""
         out = []
         for src, dst in self.pairs:
             raw, value = self._converted(src, dst)
-            checks: list[Column] = []
-            if not dst.type.covers(of_field(src)) and of_field(src).kind != "null":
-                why = F.concat(
-                    F.lit(f"TYPE: {dst.name} cannot hold exactly as {dst.type.describe()}: "),
-                    raw.cast("string"),
-                )
-                checks.append(F.when(raw.isNotNull(), F.raise_error(why).cast(dst.type.spark)))
-            if not dst.nullable:
-                checks.append(F.raise_error(F.lit(f"TYPE: NULL in required column {dst.name}")).cast(dst.type.spark))
+            problems = self._problems(src, dst, raw)
+            checks = [F.when(why.isNotNull(), F.raise_error(why).cast(dst.type.spark)) for why in problems]
             guarded = F.coalesce(value, *checks) if checks else value
             out.append(guarded.alias(dst.name, metadata=dst.struct_field().metadata))
         return out
 
+    def marked(self, df: DataFrame, fill_omitted: bool = False, *carried: Column) -> DataFrame:
+        """Like :meth:`apply`, but a row the target cannot take gets the first reason in ``_problem`` and fails nothing.
+
+        ``carried`` are further named columns of ``df`` to keep."""
+        check_unchanged(self.source_schema, df.schema)
+        both = []
+        for n, (src, dst) in enumerate(self.pairs):
+            raw, value = self._converted(src, dst)
+            both += [raw.alias(f"_raw{n}"), value.alias(f"_value{n}")]
+        converted = df.select(*carried, *both)
+        out, problems = [F.col(c) for c in converted.columns if not c.startswith(("_raw", "_value"))], []
+        for n, (src, dst) in enumerate(self.pairs):
+            raw, value = F.col(f"_raw{n}"), F.col(f"_value{n}")
+            out.append(value.alias(dst.name, metadata=dst.struct_field().metadata))
+            problems += [F.when(value.isNull(), why) for why in self._problems(src, dst, raw)]
+        problem = F.coalesce(*problems) if problems else F.lit(None).cast("string")
+        return converted.select(*out, *(self.omitted_columns() if fill_omitted else []), problem.alias(PROBLEM))
+
     def omitted_columns(self) -> list[Column]:
         """Writable target columns the mapping leaves out: their default, else NULL."""
         mapped = {dst.name for _, dst in self.pairs}

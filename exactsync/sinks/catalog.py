@@ -17,11 +17,16 @@ from exactsync.operators.batching import Limits
 from exactsync.operators.upsert import update_columns
 from exactsync.plans.mapping import TargetColumn
 from exactsync.session import checkpoint_dir
+from exactsync.sinks import files
 from exactsync.sinks.dataset import Receipt
 
 LABEL = "_label"
 
 
+def quoted_table(table: str) -> str:
+    return ".".join(quoted(part) for part in table.split("."))
+
+
 def table_columns(spark: SparkSession, table: str) -> tuple[TargetColumn, ...]:
     """Target columns of a table that must exist; its own types are trusted as they are."""
     if not spark.catalog.tableExists(table):
@@ -39,9 +44,8 @@ def append_to_table(df: DataFrame, table: str, label: str, unlabelled: bool = Fa
     if LABEL in names:
         # A static partition: only this label's rows are replaced, whatever the session's overwrite mode.
         picked = ", ".join(quoted(n) for n in names if n != LABEL)
-        where = ".".join(quoted(part) for part in table.split("."))
         spark.sql(
-            f"INSERT OVERWRITE TABLE {where} PARTITION ({LABEL} = {string_literal(label)}) "
+            f"INSERT OVERWRITE TABLE {quoted_table(table)} PARTITION ({LABEL} = {string_literal(label)}) "
             f"SELECT {picked} FROM {{rows}}",
             rows=df,
         )
@@ -70,7 +74,7 @@ class CatalogTarget:
     """A catalog table partitioned by ``_label`` as the target of a job: one partition per commit group.
 
     Rows are staged and counted in the shared folder, announced, and then replace their label's partition in one statement,
-    so a repeated group changes nothing and the partition itself is the receipt.
+    so a repeated group changes nothing. The group's counters are stored next to the partitions before that.
     """
 
     table: str
@@ -106,22 +110,93 @@ class CatalogTarget:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.table).select(*[column(c.name) for c in self.columns])
 
+    # -- receipts ------------------------------------------------------------------------
+
+    def _receipts(self, spark: SparkSession) -> str:
+        """Folder next to the table's partitions; names with a leading underscore are no data for Spark."""
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(self.table)}").where("col_name = 'Location'").collect()
+        if not rows:
+            raise SyncError.config(f"{self.table} has no location, so receipts cannot be kept with it")
+        return f"{rows[0]['data_type'].rstrip('/')}/_receipts"
+
+    def _promise(self, spark: SparkSession, label: str, receipt: Receipt) -> None:
+        """Store the counters of a group before its rows become visible, once per label and outcome.
+
+        They hold as soon as the label's partition has as many rows; a group without rows is committed by them alone."""
+        values = {"label": label, "loaded": receipt.loaded, "filtered": receipt.filtered, "affected": receipt.affected, "bytes": receipt.bytes}
+        path = f"{self._receipts(spark)}/{label}.json"
+        if not files.create_json(spark, path, values) and files.read_json(spark, path) != values:
+            raise SyncError("CONFLICT", f"group {label} was announced with other counters before")
+
     def receipt(self, spark: SparkSession, label: str) -> Receipt | None:
+        """Counters of a committed label, None if it is not committed."""
         rows = spark.table(self.table).where(F.col(LABEL) == label).count()
-        return Receipt(rows, 0, rows, replayed=True) if rows else None
+        path = f"{self._receipts(spark)}/{label}.json"
+        if not files.exists(spark, path):
+            return Receipt(rows, 0, rows, replayed=True) if rows else None
+        told = files.read_json(spark, path)
+        if rows not in (0, told["loaded"]):
+            raise SyncError.unknown(f"{label} has {rows} rows, {told['loaded']} were announced")
+        if rows < told["loaded"]:
+            return None
+        return Receipt(told["loaded"], told["filtered"], told["affected"], told["bytes"], True)
 
     def labels(self, spark: SparkSession, given_up: Sequence[str] = ()) -> DataFrame:
-        """States of the labels for the ledger, one row per partition."""
-        rows = F.count(F.lit(1))
-        seen = spark.table(self.table).groupBy(F.col(LABEL).alias("label")).agg(
-            F.lit("VISIBLE").alias("label_state"), rows.alias("loaded"), F.lit(0).cast("bigint").alias("filtered"), rows.alias("affected")
+        """States of the labels for the ledger: a row per label that has rows or a stored receipt.
+
+        A label is visible if it has as many rows as its receipt says, unknown if it has others, and aborted if it has none."""
+        rows = spark.table(self.table).groupBy(F.col(LABEL).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+        folder, schema = self._receipts(spark), "label string, loaded bigint, filtered bigint, affected bigint"
+        told = spark.read.schema(schema).json(folder) if files.exists(spark, folder) else spark.createDataFrame([], schema)
+        both = rows.join(told, "label", "full")
+        has, promised = F.coalesce("rows", F.lit(0)), F.coalesce("loaded", "rows")
+        state = F.when(has == promised, "VISIBLE").when(has == 0, "ABORTED").otherwise("UNKNOWN")
+        seen = both.select(
+            "label",
+            state.alias("label_state"),
+            promised.alias("loaded"),
+            F.coalesce("filtered", F.lit(0).cast("bigint")).alias("filtered"),
+            F.coalesce("affected", "rows").alias("affected"),
         )
-        gone = spark.createDataFrame([(name,) for name in given_up], "label string").join(seen, "label", "left_anti")
         none = F.lit(None).cast("bigint")
-        return seen.unionByName(
-            gone.select("label", F.lit("ABORTED").alias("label_state"), *[none.alias(n) for n in ("loaded", "filtered", "affected")])
+        nothing = [none.alias(n) for n in ("loaded", "filtered", "affected")]
+        # A receipt without rows may belong to a group still under way: only a writer known to be gone makes it aborted.
+        gone = spark.createDataFrame([(name,) for name in given_up], "label string")
+        kept = seen.where("label_state <> 'ABORTED'")
+        return kept.unionByName(
+            gone.join(kept, "label", "left_anti").select("label", F.lit("ABORTED").alias("label_state"), *nothing)
         )
 
+    # -- writes --------------------------------------------------------------------------
+
+    layout = None
+
+    def staging(self, spark: SparkSession, name: str) -> str:
+        """Folder for a write that :meth:`adopt` takes groups from."""
+        return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
+
+    def adopt(
+        self,
+        spark: SparkSession,
+        label: str,
+        path: str,
+        checked: dict,
+        size: int,
+        announce: Callable[[int, int], None] | None = None,
+    ) -> Receipt:
+        """Append the staged rows of ``path`` as the partition of a label."""
+        known = self.receipt(spark, label)
+        if known is not None:
+            return known
+        result = Receipt(checked["loaded"], checked["filtered"], checked["affected"], size)
+        if announce is not None:
+            announce(result.loaded + result.filtered, size)
+        self._promise(spark, label, result)
+        if result.loaded:
+            names = [column(c.name) for c in self.columns]
+            append_to_table(spark.read.parquet(path).select(*names), self.table, label)
+        return result
+
     def write(
         self,
         df: DataFrame,
@@ -143,16 +218,14 @@ class CatalogTarget:
         known = self.receipt(spark, label)
         if known is not None:
             return known
-        folder = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4()}"
+        folder = self.staging(spark, label)
         marked = accounting.with_verdict(df, reject, partition, partitions)
-        marked.withColumn("_bytes", row_bytes(df.schema)).write.parquet(folder)
-        staged = spark.read.parquet(folder)
+        marked.withColumn("_bytes", row_bytes(df.schema)).write.partitionBy(accounting.VERDICT).parquet(folder)
+        kinds = f"_bytes bigint, {accounting.VERDICT} string"
+        staged = spark.read.schema(kinds).parquet(folder)
         got = staged.agg(F.count(F.lit(1)).alias("submitted"), F.sum("_bytes").alias("bytes"), *accounting.counters()).first()
         checked = accounting.receipt(
             got["submitted"], got["loaded"], got["filtered"], got["unselected"], max_filter_ratio
         )
-        if announce is not None:
-            announce(checked["loaded"] + checked["filtered"], got["bytes"] or 0)
-        taken = staged.where(F.col(accounting.VERDICT) == accounting.LOADED)
-        append_to_table(taken.select(*[column(c.name) for c in self.columns]), self.table, label)
-        return Receipt(checked["loaded"], checked["filtered"], checked["affected"], got["bytes"] or 0)
+        path = f"{folder}/{accounting.VERDICT}={accounting.LOADED}"
+        return self.adopt(spark, label, path, checked, got["bytes"] or 0, announce)

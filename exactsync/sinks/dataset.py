@@ -178,7 +178,9 @@ class ParquetTarget:
 
     def rejects(self, spark: SparkSession, label: str) -> DataFrame:
         """Rows a commit filtered out."""
-        for folder in (self._folder(label), self._staged_input(label)):
+        taken = f"/{accounting.VERDICT}={accounting.LOADED}"
+        dealt = [c["path"].removesuffix(taken) for c in self.commits(spark) if c["label"] == label and c["path"].endswith(taken)]
+        for folder in (*dealt, self._staged_input(label)):
             path = f"{folder}/{accounting.VERDICT}={accounting.FILTERED}"
             if files.exists(spark, path):
                 return self._scan(spark, path)
@@ -240,6 +242,33 @@ class ParquetTarget:
             files.discard(spark, self._staged_input(label) + taken)  # filtered rows stay for ``rejects``
         return result
 
+    def staging(self, spark: SparkSession, name: str) -> str:
+        """Folder for a write that :meth:`adopt` takes groups from."""
+        return f"{self.root}/data/_run={name}"
+
+    def adopt(
+        self,
+        spark: SparkSession,
+        label: str,
+        path: str,
+        checked: dict,
+        size: int,
+        announce: Callable[[int, int], None] | None = None,
+    ) -> Receipt:
+        """Append or insert rows that lie in ``path`` already: a marker makes them visible, nothing is copied."""
+        self._store_contract(spark)
+        commits = self.commits(spark)
+        known = self.receipt(spark, label)
+        if known is not None:
+            return known
+        if self.model == "insert":
+            self._check_new_keys(spark, path, commits)
+        result = Receipt(checked["loaded"], checked["filtered"], checked["affected"], size)
+        if announce is not None:
+            announce(result.loaded + result.filtered, result.bytes)
+        self._commit(spark, commits, label, "append", path, result)
+        return result
+
     def _folder(self, label: str) -> str:
         return f"{self.root}/data/_label={label}"
 
