@@ -16,6 +16,7 @@ from exactsync.operators.batching import (
     with_batches,
 )
 from exactsync.ledger.states import with_labels
+from exactsync.operators.ordered import with_ordered_batches
 from exactsync.queries.registry import load, query
 
 SALTS = 4
@@ -178,3 +179,26 @@ def statement_chunks(spark, sf):
     return cut.groupBy(F.col(LANE).alias("lane"), F.col(BATCH).cast("bigint").alias("chunk")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
+
+
+@query(
+    "batch_global_order",
+    f"""
+    WITH RECURSIVE sized AS (
+        SELECT doc_id, {_DOC_BYTES} AS size, row_number() OVER (ORDER BY doc_id) AS nth FROM {{documents}}),
+    cut AS (
+        SELECT doc_id, nth, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS n, CAST(size AS BIGINT) AS b
+        FROM sized WHERE nth = 1
+        UNION ALL
+        SELECT s.doc_id, s.nth,
+               c.batch + CASE WHEN c.n < {DOC_LIMITS.rows} AND c.b + s.size <= {DOC_LIMITS.bytes} THEN 0 ELSE 1 END,
+               CASE WHEN c.n < {DOC_LIMITS.rows} AND c.b + s.size <= {DOC_LIMITS.bytes} THEN c.n + 1 ELSE 1 END,
+               CASE WHEN c.n < {DOC_LIMITS.rows} AND c.b + s.size <= {DOC_LIMITS.bytes} THEN c.b ELSE 0 END + s.size
+        FROM cut c JOIN sized s ON s.nth = c.nth + 1)
+    SELECT doc_id, batch FROM cut
+    """,
+)
+def batch_global_order(spark, sf):
+    """All documents as one ordered stream: no lanes, and no task that sees them all."""
+    cut = with_ordered_batches(load(spark, sf, "documents"), DOC_LIMITS, ["doc_id"], keep=["doc_id"])
+    return cut.select("doc_id", F.col(BATCH).alias("batch"))

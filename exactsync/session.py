@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Casts must fail rather than wrap, and timestamps must not move with a local zone.
 REQUIRED = {
@@ -54,3 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     own = tempfile.mkdtemp(prefix="exactsync-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later steps do not run what made it again."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
