@@ -171,17 +171,22 @@ def _float_to_float(value: Column, src: ColumnType, dst: ColumnType) -> Column:
 def _float_to_decimal(value: Column, src: ColumnType, dst: ColumnType) -> Column:
     t = dst.spark
     if isinstance(src.spark, T.FloatType):
-        # The decimal prints the float, not the double it widens to.
-        number = value.cast("double").try_cast(t)
+        # The decimal prints the float, not the double it widens to; from 2**53 on it is the stored number.
+        wide = value.cast("double")
+        stored = decimals.double_to_decimal(wide, t.precision, t.scale)
+        number = F.when(F.abs(wide) >= F.lit(2.0**53), stored).otherwise(wide.try_cast(t))
         return F.when((number.cast(src.spark) == value) & ~decimals.negative_zero(value), number)
     return F.when(~decimals.negative_zero(value), decimals.double_to_decimal(value, t.precision, t.scale))
 
 
 def _float_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:
-    # Doubles of 1e38 and more are refused: they have no exact Spark decimal to print.
-    scale = min(dst.digits[1], 17)
-    number = _float_to_decimal(value, src, exact_decimal(_WIDEST, scale))
-    return decimals.parse_decimal(decimals.print_decimal(number, scale), *dst.digits)
+    precision, scale = dst.digits
+    near = min(scale, 17)
+    number = _float_to_decimal(value, src, exact_decimal(_WIDEST, near))
+    short = decimals.parse_decimal(decimals.print_decimal(number, near), precision, scale)
+    # What no Spark decimal holds: numbers of 1e38 and more, and fractions of more digits.
+    far = F.when(value.isNotNull(), decimals.double_to_digits(value, precision, scale))
+    return F.coalesce(short, far) if precision - scale > _WIDEST - near or scale > near else short
 
 
 def _decimal_to_integer(value: Column, src: ColumnType, dst: ColumnType) -> Column:
@@ -246,7 +251,8 @@ def _digits_to_integer(value: Column, src: ColumnType, dst: ColumnType) -> Colum
 def _digits_to_float(value: Column, src: ColumnType, dst: ColumnType) -> Column:
     wide = exact_decimal(_WIDEST, min(src.digits[1], _WIDEST))
     number = _digits_to_decimal(value, src, wide)
-    return decimals.once(number, lambda d: _decimal_to_float(d, wide, dst))
+    short = decimals.once(number, lambda d: _decimal_to_float(d, wide, dst))
+    return F.coalesce(short, F.when(value.isNotNull(), decimals.digits_to_double(value, src.digits[1], dst.spark)))
 
 
 def _digits_to_digits(value: Column, src: ColumnType, dst: ColumnType) -> Column:

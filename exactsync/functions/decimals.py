@@ -19,6 +19,13 @@ _EXACT_POWER = 22
 _EXACT_UNITS = 2**50
 _TWO_53 = float(2**53)
 _TWO_106 = float(2**106)
+# Long numbers are lists of limbs of nine digits, least first. A double below 2**216 (10**65 is less) is eight pieces
+# of 27 bits; a limb times 2**27 plus a carry stays far inside 64 bits.
+LIMB = 10**9
+_MOST_DIGITS = 65
+_PLAIN = r"^[+-]?[0-9]+(?:[.][0-9]*)?\z"
+_PIECE_BITS, _PIECES, _LIMBS = 27, 8, 8
+_TOP = 2.0 ** (_PIECE_BITS * _PIECES)
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -107,7 +114,67 @@ def _long_way(value: Column, target: T.DecimalType) -> Column:
         + digits(value % F.lit(_TWO_53))
     )
     size = F.abs(value)
-    return F.when(size < F.lit(_TWO_53), short).when(size < F.lit(1e38), pieces.try_cast(target))
+    return F.when(size < F.lit(_TWO_53), short).when(size <= F.lit(1e38), pieces.try_cast(target))
+
+
+def _times_and_add(limbs: Column, piece: Column) -> Column:
+    """``limbs * 2**27 + piece`` with carries."""
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(piece.alias("carry"), F.array().cast("array<bigint>").alias("done"))
+
+    def step(state: Column, limb: Column) -> Column:
+        total = limb * F.lit(2**_PIECE_BITS) + state["carry"]
+        low = F.array(total % F.lit(LIMB))
+        return F.struct(F.call_function("div", total, F.lit(LIMB)).alias("carry"), F.concat(state["done"], low).alias("done"))
+
+    return F.aggregate(limbs, start, step, lambda s: F.coalesce(s["done"], F.array(zero)))
+
+
+def whole_digits(value: Column) -> Column:
+    """All digits of a whole double below 2**216, with its sign: the stored number itself, not its shortest text.
+
+    The pieces are exact: scaling by a power of two and remainders lose nothing."""
+    size = F.abs(value)
+
+    def piece(n: int) -> Column:
+        return F.floor((size / F.lit(2.0 ** (_PIECE_BITS * n))) % F.lit(2.0**_PIECE_BITS)).cast("bigint")
+
+    pieces = F.array(*[piece(n) for n in reversed(range(_PIECES))])
+    limbs = F.aggregate(pieces, F.array(*[F.lit(0).cast("bigint")] * _LIMBS), _times_and_add)
+    digits = F.array_join(F.transform(F.reverse(limbs), lambda limb: F.lpad(limb.cast("string"), 9, "0")), "")
+    text = F.concat(F.when(value < 0, "-").otherwise(""), F.regexp_replace(digits, "^0+(?=[0-9])", ""))
+    return F.when((size < F.lit(_TOP)) & (F.floor(size / F.lit(_TWO_53)) > 0), text)
+
+
+def plain_text(value: Column) -> Column:
+    """The shortest decimal text that gives a finite float or double back, written without an exponent."""
+    text = F.abs(value).cast("string")
+    mantissa = F.substring_index(text, "E", 1)
+    power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).try_cast("int")).otherwise(0)
+    whole = F.substring_index(mantissa, ".", 1)
+    digits = F.concat(whole, F.substring_index(mantissa, ".", -1))
+    place = F.char_length(whole) + power
+    before, behind = F.repeat(F.lit("0"), F.greatest(1 - place, F.lit(0))), F.repeat(F.lit("0"), F.greatest(place - F.char_length(digits) + 1, F.lit(0)))
+    filled, point = F.concat(before, digits, behind), F.greatest(place, F.lit(1))
+    plain = F.concat(F.substr(filled, F.lit(1), point), F.lit("."), F.substr(filled, point + 1))
+    return F.when(F.abs(value) < F.lit(float("inf")), F.concat(F.when(value < 0, "-").otherwise(""), plain))
+
+
+def double_to_digits(value: Column, precision: int, scale: int) -> Column:
+    """Canonical text of the decimal a float or double stands for, of any size that ``precision`` digits hold.
+
+    From 2**53 on that is the stored number, below it the shortest text that gives the number back, as for Spark's own decimals."""
+    wide = value.cast("double")
+    text = F.when(F.abs(wide) >= F.lit(_TWO_53), whole_digits(wide)).otherwise(plain_text(value))
+    return F.when(~negative_zero(value), parse_decimal(text, precision, scale))
+
+
+def digits_to_double(text: Column, scale: int, target: T.DataType) -> Column:
+    """The float or double that a decimal text of any length stands for: reading rounds correctly, and the text of
+    the result must be the same number again."""
+    number = F.when(text.rlike(_PLAIN), text.try_cast(target))
+    plain = parse_decimal(text, _MOST_DIGITS + scale, scale)
+    return once(number, lambda n: F.when(double_to_digits(n, _MOST_DIGITS + scale, scale) == plain, n))
 
 
 def negative_zero(value: Column) -> Column:

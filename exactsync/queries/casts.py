@@ -58,6 +58,41 @@ def lossless_cast_big_double(spark, sf):
     return rows.select("o_orderkey", decimals.print_decimal(exact, 0).alias("exact_text"))
 
 
+_FAR = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       l_extendedprice * power({two}, CAST(l_orderkey % 201 AS DOUBLE)) * (CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END) AS x
+FROM {lineitem}
+"""
+
+
+@query(
+    "lossless_cast_huge_double",
+    f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, whole,
+           CASE WHEN abs(x) >= 9007199254740992 AND abs(x) < 1e65 THEN x ELSE NULL END AS back,
+           CASE WHEN abs(x) >= 9007199254740992 AND abs(x) < 1e65 AND l_linenumber % 3 = 0 THEN CAST(whole AS DOUBLE) END AS altered
+    FROM (SELECT *, CASE WHEN abs(x) >= 9007199254740992 AND abs(x) < 1e65 THEN CAST(CAST(x AS BIGNUM) AS VARCHAR) END AS whole
+          FROM ({_FAR.replace("{two}", "2.0::DOUBLE")}))
+    """,
+)
+def lossless_cast_huge_double(spark, sf):
+    """Doubles up to 2**220: all their digits as text, that text read again, and a text that is one unit off, which is no double."""
+    rows = derive(spark, sf, _FAR.replace("{two}", "2.0D"))
+    rows = rows.withColumn("far", F.when(F.abs("x") >= 2.0**53, F.col("x")))
+    digits = exact_decimal(65, 0)
+    rows = rows.withColumn("whole", exact_cast(F.col("far"), _DOUBLE, digits))
+    off = F.when(F.col("l_linenumber") % 3 == 0, F.col("whole")).otherwise(F.concat(F.col("whole"), F.lit("1")))
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "whole",
+        exact_cast(F.col("whole"), digits, _DOUBLE).alias("back"),
+        exact_cast(off, exact_decimal(66, 0), _DOUBLE).alias("altered"),
+    )
+
+
 @query(
     "lossless_cast_double_int",
     """

@@ -52,9 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    own = tempfile.mkdtemp(prefix="exactsync-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    if getattr(context, "_exactsync_folder", None) is None:
+        context._exactsync_folder = tempfile.mkdtemp(prefix="exactsync-")
+    return context._exactsync_folder
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -36,7 +36,7 @@ def test_double_to_decimal(spark):
 def test_big_double_to_decimal_is_the_stored_number(spark):
     values = [2.0**60, -(2.0**100), 1e37, 1e38, 2.0**53 + 2, 0.5]
     assert run(spark, values, D, exact_decimal(38, 0)) == [
-        Decimal(2**60), Decimal(-(2**100)), Decimal(int(1e37)), None, Decimal(2**53 + 2), None,
+        Decimal(2**60), Decimal(-(2**100)), Decimal(int(1e37)), Decimal(int(1e38)), Decimal(2**53 + 2), None,
     ]
 
 
@@ -95,7 +95,56 @@ def test_largeint_bounds(spark):
 def test_digits_and_floats(spark):
     wide = exact_decimal(65, 5)
     assert run(spark, ["1.50000", "0.1", "9" * 40, str(2**60) + ".0"], wide, D) == [1.5, 0.1, None, 2.0**60]
-    assert run(spark, [1.5, 2.0**60, 1e38, 0.1, math.nan], D, wide) == ["1.50000", f"{2**60}.00000", None, "0.10000", None]
+    assert run(spark, [1.5, 2.0**60, 1e38, 0.1, math.nan], D, wide) == [
+        "1.50000", f"{2**60}.00000", f"{int(1e38)}.00000", "0.10000", None,
+    ]
+
+
+def stands_for(x, precision, scale):
+    """Text of the decimal a double stands for, by whole-number arithmetic."""
+    if not math.isfinite(x) or (x == 0 and math.copysign(1, x) < 0):
+        return None
+    exact = Decimal(int(x)) if abs(x) >= 2.0**53 else Decimal(repr(x))
+    sign, digits, power = exact.as_tuple()
+    whole = int("".join(map(str, digits))) * 10 ** max(0, power + scale)
+    cut = 10 ** max(0, -power - scale)
+    if whole % cut or whole // cut >= 10**precision:
+        return None
+    text = str(whole // cut).rjust(scale + 1, "0")
+    return ("-" if sign and whole else "") + (f"{text[:-scale]}.{text[-scale:]}" if scale else text)
+
+
+HUGE = st.one_of(
+    st.floats(),
+    st.floats(2.0**-1000, 2.0**220),
+    st.floats(1e37, 1e66),
+    st.builds(lambda m, e: float(m) * 2.0**e, st.integers(-(2**53), 2**53), st.integers(60, 163)),
+    st.builds(lambda m, e: m / 10.0**e, st.integers(-(10**6), 10**6), st.integers(0, 50)),
+)
+
+
+@few
+@given(st.lists(HUGE, min_size=40, max_size=80), st.sampled_from([(65, 0), (65, 5), (65, 30), (60, 40), (40, 2)]))
+def test_doubles_of_any_size_to_digits_and_back(spark, values, digits):
+    there = run(spark, values, D, exact_decimal(*digits))
+    wanted = [stands_for(v, *digits) for v in values]
+    # Between 2^53 and 1e38 fractions are zero; below it any decimal that gives the double back is right.
+    for v, got, text in zip(values, there, wanted, strict=True):
+        assert got == text or (abs(v) < 2.0**53 and got is not None and float(got) == v), v
+    kept = [t for t in there if t is not None]
+    assert run(spark, kept, exact_decimal(*digits), D) == [float(t) for t in kept] if kept else True
+
+
+def test_long_texts_to_doubles(spark):
+    x = 1234567.89 * 2.0**150
+    texts = [str(int(x)), str(int(x) + 1), f"-{int(x)}", "9" * 60, "0", str(2**199), str(10**39), str(10**39 + 2**60), "000" + str(2**130)]
+    assert run(spark, texts, exact_decimal(65, 0), D) == [x, None, -x, None, 0.0, 2.0**199, None, None, 2.0**130]
+    small = ["0." + "0" * 39 + "1", "0." + "0" * 38 + "12", "-0." + "0" * 39 + "1", "0." + "0" * 20 + "1" * 20, "1." + "0" * 40, "1." + "0" * 39 + "1"]
+    assert run(spark, small, exact_decimal(65, 40), D) == [1e-40, 1.2e-39, -1e-40, None, 1.0, None]
+    assert run(spark, [1e-40, 5e-324, 2.0**-100], D, exact_decimal(65, 40)) == [small[0], None, None]
+    assert run(spark, [str(2**120), str(2**120 + 1), str(2**127)], exact_decimal(65, 0), FL) == [2.0**120, None, 2.0**127]
+    assert run(spark, [2.0**120, 3.4028234663852886e38, 0.5], FL, exact_decimal(65, 0)) == [str(2**120), str(int(3.4028234663852886e38)), None]
+    assert run(spark, [1.1e65, -1.1e65, 9.999e64, math.inf, -0.0], D, exact_decimal(65, 0)) == [None, None, str(int(9.999e64)), None, None]
 
 
 @few
@@ -122,7 +171,7 @@ def test_scale_changes_match_exact_arithmetic(spark, values, scale):
 def test_double_to_exact_decimal_matches_exact_arithmetic(spark, values):
     got = run(spark, values, D, exact_decimal(38, 0))
     for v, g in zip(values, got):
-        whole = math.isfinite(v) and v == int(v) and abs(v) < 1e38 and not (v == 0 and math.copysign(1, v) < 0)
+        whole = math.isfinite(v) and v == int(v) and abs(v) <= 1e38 and not (v == 0 and math.copysign(1, v) < 0)
         assert g == (Decimal(int(v)) if whole else None)
 
 
