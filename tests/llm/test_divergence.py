@@ -58,7 +58,7 @@ def sample(rng):
 def test_audit_equals_brute_force(spark, docs, shard_bytes):
     rows = sample(random.Random(shard_bytes))
     table = docs([(n, *r) for n, r in enumerate(rows)]).withColumns({c: F.lit(1) for c in ("term", "n", "value", "rank", "item")})
-    out = divergence.audit(table.repartition(4), shard_bytes=shard_bytes, cells=20)
+    out = divergence.audit(table.repartition(4), shard_bytes=shard_bytes, held_counts=50, slice_rows=30, cells=20)
     assert out.columns == ["lang", "source", "part", "item", "value", "rank"]
     assert sorted(map(tuple, out.collect())) == slow(rows)
 
@@ -77,18 +77,20 @@ def test_large_counts_stay_exact(spark):
     assert [r.p for r in got] == [1 + 10**9 * (n + 1) // (3 * n + 7), 1 + 10**9 // 7]
 
 
-def test_pointers_are_sorted_by_term_and_keep_their_order():
+def test_pointers_are_sorted_by_slice_and_term():
     rng = random.Random(5)
     text = " ".join(rng.choice(("ab", "AB", "abcdefgh", "abcdefghi", "z", "é" * 9)) for _ in range(500)) + " abc"
     data, ends = divergence.text_buffer(pa.array(["skipped", text, None, ""]).slice(1))
+    assert ends.tolist() == [len(text.encode()) + 1, len(text.encode()) + 2, len(text.encode()) + 3]
     starts, lengths = divergence.word_pointers(data)
     slices = np.array([rng.randint(0, 2) for _ in starts])
-    order, runs = divergence.sorted_pointers(data, starts, lengths, slices)
+    lowered = np.append(divergence._LOWERED[data], np.zeros(8, np.uint8))
+    order, runs = divergence.sorted_pointers(lowered, starts, lengths, slices)
     words = [t.encode() for t in terms_of(text)]
-    keys = [(slices[n], words[n]) for n in range(len(words))]
-    assert order.tolist() == sorted(range(len(words)), key=lambda n: (*keys[n], n))
-    assert runs.tolist() == [k for k in range(len(order)) if not k or keys[order[k]] != keys[order[k - 1]]]
-    assert ends.tolist() == [len(text.encode()) + 1, len(text.encode()) + 2, len(text.encode()) + 3]
+    keys = [(slices[n], words[n]) for n in order.tolist()]
+    assert sorted(order.tolist()) == list(range(len(words))) and keys == sorted(keys)
+    assert runs.tolist() == [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]
+    assert divergence._pieces(lowered, starts, lengths).to_pylist() == terms_of(text)
 
 
 @pytest.mark.parametrize("name", ["op11_url_filter", "op13_source_divergence"])
