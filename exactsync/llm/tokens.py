@@ -4,6 +4,10 @@ Every text is cut at special strings and then into pre-tokens. The count of a pr
 bytes minus the merges made: the lowest-rank adjacent pair is popped from a heap, its neighbours in the
 linked list form new pairs, until no known pair is left (O(n log n) for a pre-token of n bytes).
 
+Pre-tokens are cut by a pattern. Its classes of letters and numbers depend on the version of Unicode, so each character beyond ASCII is
+probed once per worker: where the vocabulary's own cutter (of the ``tokenizers`` library, from the same file) classes it otherwise, that
+cutter takes the chunk.
+
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); repeated rows and null ids are counted row by row; other
 columns, whatever their names, are not read. Texts are processed whole, whatever their length.
 """
@@ -19,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 # Fixed pattern of the byte-level vocabulary: how its library cuts text before merging.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -99,6 +104,23 @@ def byte_symbols() -> list[str]:
     return [names[b] for b in range(256)]
 
 
+class _Agreement(dict):
+    """Whether the pattern puts a character in the class in which a library's cutter sees it; probed on first use."""
+
+    def __init__(self, pattern: regex.Pattern, cutter):
+        super().__init__()
+        self.pattern, self.cutter = pattern, cutter
+
+    def __missing__(self, character: str) -> bool:
+        same = True
+        for before in "a1!":  # joined to a letter, a number or another sign, if it is of the same class
+            pair = before + character
+            ends = [end for _, (_, end) in self.cutter.pre_tokenize_str(pair)]
+            same = same and ends == [m.end() for m in self.pattern.finditer(pair)]
+        self[character] = same
+        return same
+
+
 class SpecialCut:
     """Finds the special strings of a vocabulary in a text; only plain ones are supported."""
 
@@ -139,6 +161,8 @@ class MergeCounter:
         }
         self.first = [number[s] for s in symbols]
         self.pattern = regex.compile(PRE_TOKEN)
+        self.cutter = Tokenizer.from_file(path).pre_tokenizer
+        self.agreed = _Agreement(self.pattern, self.cutter)
         self.special = SpecialCut(spec["added_tokens"])
         self.words = WordCache(self._count_word)
         self.chunks = ChunkCache(self._count_chunk)
@@ -149,10 +173,15 @@ class MergeCounter:
 
     def _count_chunk(self, chunk: str) -> int:
         total = 0
-        for word in self.pattern.findall(chunk):
+        for word in self._cut(chunk):
             total += self.words[word] if len(word) <= _CACHED_CHARS else self._count_word(word)
         return total
 
+    def _cut(self, chunk: str) -> list[str]:
+        if chunk.isascii() or all(map(self.agreed.__getitem__, {c for c in chunk if c > "\x7f"})):
+            return self.pattern.findall(chunk)
+        return [chunk[start:end] for _, (start, end) in self.cutter.pre_tokenize_str(chunk)]
+
     def _count_word(self, word: str) -> int:
         return self.merged_length(word.encode("utf-8"))
 

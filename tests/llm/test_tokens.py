@@ -29,6 +29,23 @@ def test_counts_and_ids_equal_the_library(library):
         assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == ids, text
 
 
+def test_code_points_of_all_planes(library):
+    import numpy as np
+
+    counter, encoder = tokens.MergeCounter(byte_bpe()), packing.IdEncoder(byte_bpe())
+    rng = random.Random(5)
+    disputed = [0x558, 0x1C89, 0x2427, 0x3FC3F, 0x1F4B1, 0x2FFFC, 0x31350, 0x323B0, 0x10D40, 0x1E5F0, 0xA7CB, 0x11F5A, 0x2EBF0, 0xFFFFF, 0x10FFFF]
+    points = disputed + [p for p in range(0x80, 0x110000, 997) if not 0xD800 <= p < 0xE000] + [rng.randrange(0x80, 0x3FFFF) for _ in range(3000)]
+    for point in points:
+        if 0xD800 <= point < 0xE000:
+            continue
+        c = chr(point)
+        for text in (f"{c}'s a{c}b 1{c}2 {c}{c}!{c} é{c}", f" {c}a  {c}1\n{c}"):
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert counter.count(text) == len(ids), hex(point)
+            assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == ids, hex(point)
+
+
 def test_full_caches_change_nothing():
     counter = tokens.MergeCounter(byte_bpe())
     small = tokens.MergeCounter(byte_bpe())
