@@ -6,7 +6,7 @@ import hashlib
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, fields, is_dataclass
+from dataclasses import dataclass, field, fields, is_dataclass, replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,9 +156,11 @@ class SyncJob:
             self.plan(spark)
             ledger.update(run_id, stage="pre_sql")
             run_hooks(spark, self.pre_sql)
-            plan = self.plan(spark)  # hooks may have changed the target
+            # Hooks may have changed the target; from here on a pinned source stays as it is.
+            job = replace(self, source=self.source.pinned(spark)) if self.source.pin else self
+            plan = job.plan(spark)
             ledger.update(run_id, stage="transfer")
-            self._transfer(spark, ledger, run_id, plan, read)
+            job._transfer(spark, ledger, run_id, plan, read)
             ledger.update(run_id, stage="post_sql")
             run_hooks(spark, self.post_sql)
         except Exception as e:
@@ -217,6 +219,7 @@ class SyncJob:
         in_place = self.target.model != "upsert"
         folder = self.target.staging(spark, self._label(run_id, "dealt"))
         groups = deal(rows, folder, self.target.layout if in_place else None, self.gather)
+        self.source.check_files(spark)
 
         def writer(group: DealtGroup) -> Write:
             def write(label: str, announce) -> Receipt:
@@ -235,6 +238,7 @@ class SyncJob:
         announced: list[int] = []
 
         def announce(rows: int, size: int) -> None:
+            self.source.check_files(ledger.spark)  # rows of a file that was replaced meanwhile never become visible
             # Staged and counted but not visible yet: from here on the outcome must be recorded.
             if not announced:
                 ledger.intent(run_id, group, label, rows, size)

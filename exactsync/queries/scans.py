@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from exactsync.functions.casts import exact_cast
 from exactsync.functions.sizes import row_bytes
 from exactsync.queries.registry import derive, load, query, table_path
-from exactsync.sources.split import RangeSplit
+from exactsync.queries.writes import fresh_folder
+from exactsync.sources.split import BalancedSplit, RangeSplit
 from exactsync.sources.table import Parameter, Source
 from exactsync.types import exact_decimal, of_sql
 
@@ -156,3 +157,92 @@ def largeint_normalize(spark, sf):
 def oversize_rows(spark, sf):
     pages = load(spark, sf, "pages")
     return pages.select("page_id", row_bytes(pages.schema).alias("row_bytes")).where("row_bytes > 4096")
+
+
+_SKEWED = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 < 3 THEN 77 ELSE l_partkey * l_partkey END AS skewed
+FROM {lineitem}
+"""
+_BALANCED = 12
+
+
+@query(
+    "range_split_balanced",
+    f"SELECT count(*) AS n_rows, count(*) AS n_sliced, true AS alike, true AS even FROM ({_SKEWED})",
+)
+def range_split_balanced(spark, sf):
+    """Slices of equal depth over a key of which one value has a third of all rows and the others crowd at the low end.
+
+    ``alike``: predicates and slice numbers agree; ``even``: no slice but that of the heavy value is over 1.1 times the mean of the others."""
+    rows = derive(spark, sf, _SKEWED)
+    split = BalancedSplit.over(rows, "skewed", _BALANCED)
+    marked = rows.select("skewed", split.slice_id().alias("slice"))
+    hits = [F.when(F.expr(p), n) for n, p in enumerate(split.predicates())]
+    counted = marked.groupBy("slice").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.size(F.array_compact(F.array(*hits))) == 1).alias("once"),
+        F.count_if(F.coalesce(*hits) == F.col("slice")).alias("alike"),
+        F.bool_or(F.col("skewed") == 77).alias("heavy"),
+    )
+    light, mean = F.max(F.when(~F.col("heavy"), F.col("n"))), F.avg(F.when(~F.col("heavy"), F.col("n")))
+    return counted.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("once").alias("n_sliced"),
+        (F.sum("alike") == F.sum("n")).alias("alike"),
+        (light <= 1.1 * mean).alias("even"),
+    )
+
+
+_COPIED_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM {orders}"
+
+
+@query("snapshot_scan", _COPIED_ORDERS)
+def snapshot_scan(spark, sf):
+    """All slices of a folder as it was when it was pinned, although a file came and rows are there twice now."""
+    folder = fresh_folder(spark)
+    orders = derive(spark, sf, _COPIED_ORDERS)
+    orders.repartition(4).write.parquet(folder)
+    split = RangeSplit.over(orders, "o_orderkey", 3)
+    pinned = Source(path=folder, split=split, pin=True).pinned(spark)
+    first, *others = pinned.slices(spark)
+    orders.write.mode("append").parquet(folder)
+    pinned.check_files(spark)
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+_FINE = "SELECT event_id, ts, CASE WHEN event_id % 4 = 0 THEN ts END AS seen FROM {events}"
+
+
+def _written_in_nanoseconds(spark, rows, *names: str) -> str:
+    """A folder of Parquet files that hold timestamps in nanoseconds; Spark itself writes none, so its tasks do so with Arrow."""
+    folder = fresh_folder(spark)
+    whole = {n: F.unix_micros(F.col(n).cast("timestamp")) * 1000 for n in names}
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        for batch in batches:
+            columns = [c.cast(pa.timestamp("ns")) if n in names else c for n, c in zip(batch.schema.names, batch.columns)]
+            table = pa.table(dict(zip(batch.schema.names, columns)))
+            pq.write_table(table, f"{path}/part-{uuid.uuid4()}.parquet", filesystem=system, version="2.6")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(
+        spark._jvm.org.apache.hadoop.fs.Path(folder)
+    )
+    rows.withColumns(whole).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    return folder
+
+
+@query("nanos_source", _FINE)
+def nanos_source(spark, sf):
+    """Nanosecond files read into exact microseconds."""
+    folder = _written_in_nanoseconds(spark, derive(spark, sf, _FINE), "ts", "seen")
+    return Source(path=folder, nanos={"ts": "wall", "seen": "wall"}).frame(spark)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from exactsync.operators.checktree import range_diff
 from exactsync.operators.verify import bench_columns, checksum, compare_checksums, row_diff, same_value
 from exactsync.plans.mapping import TargetColumn, plan_mapping
 from exactsync.queries.registry import derive, load, query
@@ -64,6 +65,19 @@ def row_difference(spark, sf):
     return row_diff(derive(spark, sf, _SAME), derive(spark, sf, _COPY))
 
 
+@query(
+    "range_checksum_diff",
+    f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(sum(d) AS BIGINT) AS surplus
+    FROM (SELECT *, 1 AS d FROM ({_SAME}) UNION ALL SELECT *, -1 AS d FROM ({_COPY}))
+    GROUP BY 1, 2, 3, 4 HAVING sum(d) <> 0
+    """,
+)
+def range_checksum_difference(spark, sf):
+    """The rows of ``row_diff``, found by checksums of key ranges."""
+    return range_diff(derive(spark, sf, _SAME), derive(spark, sf, _COPY), "o_orderkey")
+
+
 @query(
     "roundtrip_lossless",
     "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM {lineitem}",

@@ -11,6 +11,7 @@ from exactsync.operators.upsert import affected, duplicate_keys, insert_conflict
 from exactsync.plans.mapping import TargetColumn
 from exactsync.queries.registry import derive, load, query
 from exactsync.session import checkpoint_dir
+from exactsync.sinks.catalog import overwrite_partitions
 from exactsync.sinks.dataset import ParquetTarget
 from exactsync.sources.split import KeyLayout
 
@@ -249,16 +250,20 @@ _PRICED = (
     TargetColumn.sql("price", "double"),
     TargetColumn.sql("note", "bigint", nullable=False, has_default=True, default=7),
 )
-_PRICES = "SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price FROM {orders}"
-_FIRST_PRICES = f"SELECT *, CAST(1 AS BIGINT) AS note FROM ({_PRICES}) WHERE id % 3 = 0"
-_LATER_PRICES = f"SELECT id, 'XX' AS status, price * 2 AS price FROM ({_PRICES}) WHERE id % 2 = 0"
+# Stored ids are even; every later row is an altered stored one or, with an odd id, a new one next to it.
+_PRICES = "SELECT o_orderkey * 2 AS id, o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM {orders}"
+_FIRST_PRICES = f"SELECT id, status, price, CAST(1 AS BIGINT) AS note FROM ({_PRICES})"
+_LATER_PRICES = f"""
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN id + 1 ELSE id END AS id, 'XX' AS status,
+       CASE WHEN o_orderkey % 5 = 0 THEN price ELSE price * 2 END AS price
+FROM ({_PRICES})"""
 
 
 def _priced_target(spark, sf):
-    """A table in key ranges that follow its size, with a first load of every third order."""
-    ranges = KeyLayout.over(load(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), "id", 8)
-    target = ParquetTarget(fresh_folder(spark), _PRICED, "upsert", ("id",), ranges)
-    target.write(derive(spark, sf, _FIRST_PRICES), "first")
+    """A table in key ranges that follow its size, loaded with all orders."""
+    first = derive(spark, sf, _FIRST_PRICES)
+    target = ParquetTarget(fresh_folder(spark), _PRICED, "upsert", ("id",), KeyLayout.over(first, "id", 8))
+    target.write(first, "first")
     return target
 
 
@@ -279,10 +284,10 @@ def upsert_rejects(spark, sf):
     return target.read(spark)
 
 
-@query("upsert_partitions", _priced("id % 10 IN (0, 4, 6)"))
+@query("upsert_partitions", _priced("id % 10 IN (0, 3, 4, 6)"))
 def upsert_partitions(spark, sf):
     target = _priced_target(spark, sf)
-    target.write(derive(spark, sf, _LATER_PRICES), "later", partition=F.col("id") % 10, partitions=(0, 4, 6))
+    target.write(derive(spark, sf, _LATER_PRICES), "later", partition=F.col("id") % 10, partitions=(0, 3, 4, 6))
     return target.read(spark)
 
 
@@ -296,13 +301,36 @@ def upsert_default_fill(spark, sf):
 @query(
     "upsert_laid_out",
     f"""
-    SELECT id, CASE WHEN id < 9000 THEN 'YY' ELSE status END AS status, price, note FROM ({_priced("true")})
+    WITH bound AS (SELECT min(id) + (max(id) - min(id)) // 4 AS quarter FROM ({_FIRST_PRICES}))
+    SELECT id, CASE WHEN id < quarter THEN 'YY' ELSE status END AS status, price, note FROM ({_priced("true")}), bound
     """,
 )
 def upsert_laid_out(spark, sf):
-    """Two upserts into key ranges; the second touches and rewrites only the first of them."""
+    """Two upserts into key ranges; the second touches and rewrites the first quarter of them."""
     target = _priced_target(spark, sf)
     target.write(derive(spark, sf, _LATER_PRICES), "later")
-    known = target.read(spark).where("id < 9000").select("id", F.lit("YY").alias("status"), "price")
+    low, high = derive(spark, sf, _FIRST_PRICES).agg(F.min("id"), F.max("id")).first()
+    known = target.read(spark).where(F.col("id") < low + (high - low) // 4).select("id", F.lit("YY").alias("status"), "price")
     target.write(known, "again", updates=["status"])
     return target.read(spark)
+
+
+_YEARS = (1993, 1996)
+_BY_YEAR = "SELECT o_orderkey AS id, o_totalprice AS price, CAST(year(o_orderdate) AS INT) AS part FROM {orders}"
+
+
+@query(
+    "partition_overwrite",
+    f"""
+    WITH o AS ({_BY_YEAR}), counts AS (SELECT count(*) FILTER (part IN {_YEARS}) AS loaded, count(*) FILTER (part NOT IN {_YEARS}) AS unselected FROM o)
+    SELECT id, CASE WHEN part IN {_YEARS} THEN price * 2 ELSE price END AS price, part, loaded, unselected FROM o, counts
+    """,
+)
+def partition_overwrite(spark, sf):
+    """Altered rows of all years over a table by year: only the listed years take them."""
+    table = f"by_year_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {table} (id BIGINT, price DOUBLE, part INT) USING parquet PARTITIONED BY (part)")
+    rows = derive(spark, sf, _BY_YEAR)
+    rows.write.insertInto(table)
+    done = overwrite_partitions(rows.withColumn("price", F.col("price") * 2), table, "part", _YEARS)
+    return spark.table(table).withColumns({"loaded": F.lit(done.loaded).cast("long"), "unselected": F.lit(done.filtered).cast("long")})

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Nanoseconds of Parquet files come as whole numbers, which ``Source`` checks; without this they cannot be read.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 # A wide guarded copy generates large methods, and HotSpot never compiles those over 8000 bytes of
 # bytecode. Below this limit Spark splits the expressions into small methods instead.

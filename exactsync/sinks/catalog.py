@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from exactsync.errors import SyncError
 from exactsync.functions.sizes import row_bytes
@@ -16,7 +17,7 @@ from exactsync.operators import accounting
 from exactsync.operators.batching import Limits
 from exactsync.operators.upsert import update_columns
 from exactsync.plans.mapping import TargetColumn
-from exactsync.session import checkpoint_dir
+from exactsync.session import checkpoint_dir, configure
 from exactsync.sinks import files
 from exactsync.sinks.dataset import Receipt
 
@@ -55,6 +56,56 @@ def append_to_table(df: DataFrame, table: str, label: str, unlabelled: bool = Fa
         df.select(*[column(n) for n in names]).write.mode("append").insertInto(table)
 
 
+def overwrite_partitions(
+    df: DataFrame,
+    table: str,
+    by: str,
+    partitions: Sequence[object],
+    *,
+    reject: Column | None = None,
+    max_filter_ratio: float = 0.0,
+) -> Receipt:
+    """Replace the listed partitions of a table partitioned by one column; all others stay as they are.
+
+    Rows outside the list are counted as not selected and written nowhere; a listed partition without rows becomes empty. Everything is
+    staged and counted first, so a row that fails or a ratio that is exceeded changes nothing, and a repetition gives the same table."""
+    spark = df.sparkSession
+    accounting.check_ratio_option(max_filter_ratio)
+    schema = spark.table(table).schema
+    names = [f.name for f in schema.fields]
+    if not partitions or by not in names or by not in df.columns:
+        raise SyncError.config("list the partitions to replace, and name the column of both sides they are values of")
+    folder = f"{checkpoint_dir(spark)}/partitions-{uuid.uuid4()}"
+    marked = accounting.with_verdict(df.select(*[column(n) for n in names]), reject, column(by), partitions)
+    kept = F.col(accounting.VERDICT) == accounting.LOADED
+    # Rows that are not loaded are only counted: they are stored without values.
+    slim = marked.select(*[F.when(kept, column(n)).cast(schema[n].dataType).alias(n) for n in names], accounting.VERDICT)
+    sized = slim.withColumn("_bytes", F.when(kept, row_bytes(schema)).otherwise(0))
+    sized.write.partitionBy(accounting.VERDICT).parquet(folder)
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("_bytes", T.LongType()), T.StructField(accounting.VERDICT, T.StringType())]))
+    rows = stored.parquet(folder)
+    got = rows.agg(F.count(F.lit(1)).alias("submitted"), F.sum("_bytes").alias("bytes"), *accounting.counters()).first()
+    checked = accounting.receipt(got["submitted"], got["loaded"], got["filtered"], got["unselected"], max_filter_ratio)
+    # The overwrite mode is a session setting, so a session of its own has it; staged files are all it reads.
+    session = spark.newSession()
+    configure(session)
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    loaded = session.read.schema(rows.schema).parquet(folder).where(kept).select(*[column(n) for n in names])
+    present = {r[0] for r in loaded.select(column(by)).distinct().collect()}  # at most as many as are listed
+    loaded.write.mode("overwrite").insertInto(table)
+    picked = ", ".join(quoted(n) for n in names if n != by)
+    for value in partitions:
+        if value not in present:
+            literal = string_literal(value) if isinstance(value, str) else str(value)
+            session.sql(
+                f"INSERT OVERWRITE TABLE {quoted_table(table)} PARTITION ({quoted(by)} = {literal}) SELECT {picked} FROM {{rows}}",
+                rows=loaded.where("false"),
+            )
+    spark.catalog.refreshTable(table)
+    return Receipt(checked["loaded"], checked["filtered"], checked["affected"], got["bytes"] or 0)
+
+
 def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], updates: Sequence[str] = ()) -> None:
     """Upsert into a table whose format supports MERGE; Spark plans and commits it.
 

@@ -7,15 +7,18 @@ import binascii
 import math
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from exactsync.errors import SyncError
 from exactsync.functions.text import column
+from exactsync.functions.times import bindable_year, nanos_to_instant
 from exactsync.plans.mapping import check_declared
+from exactsync.sources.snapshot import Snapshot
 from exactsync.sources.split import RangeSplit, check_split_column
 
 
@@ -74,7 +77,12 @@ def check_query(query: str) -> str:
 
 @dataclass(frozen=True)
 class Source:
-    """Either ``table``/``path`` with columns and predicate, or ``query`` alone."""
+    """Either ``table``/``path`` with columns and predicate, or ``query`` alone.
+
+    ``nanos`` names timestamp columns that Parquet files hold in nanoseconds and what they are, ``wall`` or ``instant``: they are read
+    as whole numbers and come out in microseconds, and a value that has a part of a microsecond fails its row.
+
+    With ``pin`` a job reads the files that ``path`` had when it was planned, see ``sources.snapshot``."""
 
     path: str | None = None
     table: str | None = None
@@ -84,11 +92,28 @@ class Source:
     params: Sequence[Parameter] = ()
     declared: Mapping[str, str] = field(default_factory=dict)
     split: RangeSplit | None = None
+    nanos: Mapping[str, str] = field(default_factory=dict)
+    pin: bool = False
+    snapshot: Snapshot | None = None
+
+    def pinned(self, spark: SparkSession) -> "Source":
+        """The same source, bound to the files it has now."""
+        self.check()
+        return replace(self, snapshot=Snapshot.take(spark, self.path))
+
+    def check_files(self, spark: SparkSession) -> None:
+        """Fail if a pinned file is not what it was."""
+        if self.snapshot is not None:
+            self.snapshot.check(spark)
 
     def check(self) -> None:
         named = [x for x in (self.path, self.table, self.query) if x is not None]
         if len(named) != 1 or (self.query is not None and (self.columns or self.where)):
             raise SyncError.config("give either a query or a table with its columns and predicate")
+        if (self.pin or self.snapshot is not None) and self.path is None:
+            raise SyncError.config("only the files of a path can be pinned")
+        if set(self.nanos.values()) - {"wall", "instant"} or (self.nanos and self.path is None):
+            raise SyncError.config("nanosecond columns of files are wall or instant")
         if self.query is not None:
             check_query(self.query)
             if self.split is not None:
@@ -100,7 +125,7 @@ class Source:
         if self.query is not None:
             df = run_query(spark, self.query, self.params, **views)
         else:
-            base = spark.read.parquet(self.path) if self.path is not None else spark.table(self.table)
+            base = self._base(spark)
             if self.split is not None:
                 check_split_column(base.schema, self.split)
             df = base.where(self._predicate()) if self.where else base
@@ -109,6 +134,27 @@ class Source:
         check_declared(df.schema, self.declared)
         return df
 
+    def _base(self, spark: SparkSession) -> DataFrame:
+        if self.snapshot is not None:
+            base = self.snapshot.frame(spark)
+        else:
+            base = spark.read.parquet(self.path) if self.path is not None else spark.table(self.table)
+        return base.withColumns({name: self._micros(base, name, kind) for name, kind in self.nanos.items()})
+
+    @staticmethod
+    def _micros(base: DataFrame, name: str, kind: str):
+        """A column read in nanoseconds as a timestamp; what would lose digits or its year fails the row."""
+        known = {f.name: f.dataType for f in base.schema.fields}.get(name)
+        if not isinstance(known, T.LongType):
+            raise SyncError.schema(f"{name} is not stored in nanoseconds")
+        value = column(name)
+        instant = nanos_to_instant(value)
+        kept = F.when(bindable_year(instant), instant)
+        why = F.concat(F.lit(f"TYPE: {name} has digits below a microsecond: "), value.cast("string"), F.lit(" ns"))
+        failed = F.when(value.isNotNull(), F.raise_error(why).cast("timestamp"))
+        exact = F.coalesce(kept, failed)
+        return exact.cast("timestamp_ntz") if kind == "wall" else exact
+
     def _predicate(self):
         return F.expr(self.where)
 
@@ -116,7 +162,7 @@ class Source:
         """One frame per range slice; each predicate reaches the scan next to ``where``."""
         if self.split is None:
             return [self.frame(spark)]
-        base = Source(path=self.path, table=self.table, where=self.where, split=self.split).frame(spark)
+        base = replace(self, columns=(), declared={}).frame(spark)
         frames = [base.where(F.expr(p)) for p in self.split.predicates()]
         return [f.select(*[column(c) for c in self.columns]) for f in frames] if self.columns else frames
 
