@@ -15,6 +15,7 @@ scanned whole. Offsets count code points, ends are exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,11 +39,28 @@ MIN_TOKEN = 20
 THRESHOLD = 0.7
 SAMPLE_DOCUMENTS = 2000
 _SUMS = 8
+_BLOCK = 256
 _NO_SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed a single time: Spark computes it again wherever a lambda mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array in blocks of ``_BLOCK``: work that copies an array at each step then copies a block, not all of it."""
+
+    def cut(whole: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.ceil(F.size(whole) / _BLOCK).cast("int") - 1)
+        some = F.transform(numbers, lambda n: F.slice(whole, n * _BLOCK + 1, F.lit(_BLOCK)))
+        return F.when(F.size(whole) > 0, some).otherwise(F.slice(F.array(whole), F.lit(1), F.lit(0)))
+
+    return _once(items, cut)
+
+
 def _starts(text: Column, pattern: str) -> Column:
-    """``array<struct<start, end>>`` of all matches: lengths of what lies between them and of the matches, added up."""
+    """``array<struct<start, end>>`` of all matches: lengths of what lies between them and of the matches, added up by blocks."""
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.char_length)
     steps = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(sizes)).alias("gap"), sizes.alias("size"))
@@ -55,10 +73,19 @@ def _starts(text: Column, pattern: str) -> Column:
             F.concat(done["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("spans"),
         )
 
-    zero = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")
-    )
-    return F.aggregate(steps, zero, add)["spans"]
+    def from_start(at: Column) -> Column:
+        return F.struct(at.alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+
+    def located(blocks: Column) -> Column:
+        lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, step: n + step["gap"] + step["size"]))
+        before = F.aggregate(
+            lengths,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+            lambda done, n: F.struct((done["at"] + n).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts")),
+        )["starts"]
+        return F.flatten(F.zip_with(blocks, before, lambda b, at: F.aggregate(b, from_start(at), add)["spans"]))
+
+    return _once(_blocks(steps), located)
 
 
 def _with_kind(spans: Column, kind: str) -> Column:
@@ -88,22 +115,37 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _values(text: Column, spans: Column) -> Column:
-    """What the base spans hold; of an assignment, the value after its last separator."""
-    return F.transform(
-        spans, lambda s: F.regexp_extract(F.substr(text, s["start"] + 1, s["end"] - s["start"]), _TOKEN + "+$", 0)
+def _values(text: Column) -> Column:
+    """What the base spans hold, each up to its last separator; taken from the matches, not by place, so a text is read once a kind."""
+    matches = lambda pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    assigned = F.transform(
+        F.filter(
+            F.arrays_zip(matches(ASSIGN).alias("whole"), matches(ASSIGN, 2).alias("value")),
+            lambda x: F.char_length(x["value"]) >= 8,
+        ),
+        lambda x: x["whole"],
     )
+    none = F.array().cast("array<string>")
+    mark = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
+    found = [F.when(mark & text.rlike(_HAS["assign"]), assigned).otherwise(none)]
+    guards = {"access": F.contains(text, F.lit("AKIA")), "hex": F.lit(True)}
+    found += [F.when(guards[k] & text.rlike(_HAS[k]), matches(p)).otherwise(none) for k, p in _LONG.items()]
+    return F.transform(F.concat(*found), lambda v: F.regexp_extract(v, _TOKEN + "+$", 0))
+
+
+def _pairs(token: Column) -> Column:
+    """Numbers of the pairs of neighbouring characters, null where one is not in the alphabet; a token is cut up once."""
+    codes = F.transform(F.split(token, ""), lambda c: F.when(c != "", F.instr(F.lit(ALPHABET), c) - 1).otherwise(-1))
+    codes = F.filter(codes, lambda c: c.isNotNull())
+    number = lambda a, b: F.when((a >= 0) & (b >= 0), a * _SIZE + b)
+    count = F.char_length(token) - 1
+    return _once(codes, lambda c: F.zip_with(F.slice(c, F.lit(1), count), F.slice(c, F.lit(2), count), number))
 
 
 def _transitions(tokens: DataFrame) -> DataFrame:
     """Counts of neighbouring characters (``pair`` is the number of the pair) in the column ``token``."""
-    pairs = tokens.where(F.char_length("token") >= 2).select(
-        F.col("token"), F.explode(F.sequence(F.lit(1), F.char_length("token") - 1)).alias("at")
-    )
-    first = F.instr(F.lit(ALPHABET), F.substr("token", F.col("at"), F.lit(1))) - 1
-    second = F.instr(F.lit(ALPHABET), F.substr("token", F.col("at") + 1, F.lit(1))) - 1
-    known = pairs.select(first.alias("a"), second.alias("b")).where("a >= 0 AND b >= 0")
-    return known.groupBy((F.col("a") * _SIZE + F.col("b")).alias("pair")).agg(F.count("*").alias("n"))
+    pairs = tokens.where(F.char_length("token") >= 2).select(F.explode(_pairs(F.col("token"))).alias("pair"))
+    return pairs.where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("n"))
 
 
 def _log_probabilities(counts: dict[int, int]) -> list[float]:
@@ -120,17 +162,14 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """Log-likelihood ratios (random to ordinary) of all pairs of characters: alphabet-squared numbers.
 
     Base values of all documents are counted. About ``sample`` documents, chosen by hash, give the ordinary
-    tokens, and their ids the made-up random strings; this bounds the sample.
+    tokens, and their ids the made-up random strings; they are counted where they lie.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).cast("string").alias("id"), text.alias("text"))
     total = max(1, docs.select(F.lit(1)).count())
     bound = F.lit(int(min(1.0, sample / total) * 2**62))
-    some = staged(
-        rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(2**62)) < bound).limit(4 * sample), "secret-sample"
-    )
-    scanned = rows.select("text", base_spans(F.col("text")).alias("spans")).where(F.size("spans") > 0)
-    matched = scanned.select(F.explode(_values(F.col("text"), F.col("spans"))).alias("token"))
+    some = staged(rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(2**62)) < bound), "secret-sample")
+    matched = rows.select(F.explode(_values(F.col("text"))).alias("token"))
     salted = some.select(F.explode(F.sequence(F.lit(1), F.lit(_SUMS))).alias("salt"), "id")
     sums = salted.select(F.base64(F.unhex(F.sha2(F.concat_ws(":", "salt", "id"), 256))).alias("token"))
     base = r"(?i:(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\S*)|AKIA[A-Z0-9]+|[0-9a-f]{32,}"
@@ -149,14 +188,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 def _mean_ratio(token: Column, ratios: list[float]) -> Column:
     table = F.split(F.lit(" ".join(f"{r:.4f}" for r in ratios)), " ").cast("array<double>")
 
-    def code(at: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substr(token, at, F.lit(1))) - 1
-
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.char_length(token) - 1),
-        F.lit(0.0),
-        lambda done, at: done + F.get(table, code(at) * _SIZE + code(at + 1)),
-    )
+    total = F.aggregate(_pairs(token), F.lit(0.0), lambda done, pair: done + F.get(table, pair))
     return total / (F.char_length(token) - 1)
 
 
@@ -165,12 +197,30 @@ def model_spans(text: Column, base: Column, ratios: list[float], threshold: floa
     run = rf"(?<!{_TOKEN}){_TOKEN}{{{MIN_TOKEN},}}"
     tokens = F.regexp_extract_all(text, F.lit(run), F.lit(0))
     pairs = F.arrays_zip(_starts(text, run).alias("span"), tokens.alias("token"))
-    random = F.filter(
-        pairs,
-        lambda x: x["token"].rlike("[0-9]")
-        & x["token"].rlike("[A-Za-z]")
-        & ~F.exists(base, lambda b: (b["start"] < x["span"]["end"]) & (b["end"] > x["span"]["start"]))
-        & (_mean_ratio(x["token"], ratios) >= threshold),
+    # Base spans by blocks with their first start and last end, so a token is compared with few of them.
+    near = F.transform(
+        _blocks(base),
+        lambda b: F.struct(
+            b[0]["start"].alias("start"), F.array_max(F.transform(b, lambda s: s["end"])).alias("end"), b.alias("spans")
+        ),
+    )
+
+    def meets(spans: Column, span: Column, inside=None) -> Column:
+        def touches(s: Column) -> Column:
+            hit = (s["start"] < span["end"]) & (s["end"] > span["start"])
+            return hit if inside is None else F.when(hit, inside(s)).otherwise(False)
+
+        return F.exists(spans, touches)
+
+    random = _once(
+        near,
+        lambda blocks: F.filter(
+            pairs,
+            lambda x: x["token"].rlike("[0-9]")
+            & x["token"].rlike("[A-Za-z]")
+            & ~meets(blocks, x["span"], lambda block: meets(block["spans"], x["span"]))
+            & (_mean_ratio(x["token"], ratios) >= threshold),
+        ),
     )
     spans = _with_kind(F.transform(random, lambda x: x["span"]), "model")
     return F.when(text.rlike(run), spans).otherwise(F.array().cast(_NO_SPANS))

@@ -77,3 +77,52 @@ def test_model_finds_random_tokens_and_leaves_words(docs, spark):
 
 def test_empty_table(docs):
     assert secrets.scan(docs([])).collect() == []
+
+
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+
+
+def model_spans(text, ratios, threshold):
+    """Spans of the model by plain Python."""
+    spans = []
+    for n, (_, pattern, good) in enumerate(RULES):
+        spans += [(m.start(), m.end()) for m in pattern.finditer(text) if good(m)]
+    out = []
+    for m in TOKEN.finditer(text):
+        codes = [secrets.ALPHABET.index(c) for c in m[0]]
+        mean = sum(round(ratios[a * 67 + b], 4) for a, b in zip(codes, codes[1:], strict=False)) / (len(codes) - 1)
+        free = not any(a < m.end() and b > m.start() for a, b in spans)
+        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and free and mean >= threshold:
+            out.append(f"model:{m.start()}:{m.end()}")
+    return ",".join(out)
+
+
+def test_model_spans_equal_a_plain_ratio(docs):
+    rng = random.Random(11)
+    ratios = [rng.uniform(-1, 1) for _ in range(67 * 67)]
+    parts = ["a1", "Zq", "0f" * 10, "xyz", " ", " ", "é", "/+", "token=", HEX, "AKIA" + "B" * 12, "_9"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 80)))) for i in range(200)]
+    found = secrets.scan(docs(rows), ratios=ratios, threshold=0.05).select("doc_id", secrets.joined(F.col("added")).alias("a"))
+    got = dict(map(tuple, found.collect()))
+    assert got == {i: model_spans(t, ratios, 0.05) for i, t in rows} and sum(map(bool, got.values())) > 20
+
+
+def test_long_tokens_and_many_spans_end_soon(docs):
+    import time
+
+    rng = random.Random(12)
+    long = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(1 << 18))
+    many = " ".join(hashlib.md5(str(n).encode()).hexdigest() for n in range(8_000))
+    start = time.time()
+    table = docs([(1, long), (2, many), (3, "some words")])
+    found = {r.doc_id: r for r in secrets.scan(table, threshold=-100.0).collect()}
+    assert time.time() - start < 120
+    assert [tuple(x) for x in found[1].added] == [(0, 3, 1 << 18)]
+    assert [tuple(x) for x in found[2].base] == [(33 * n, 2, 33 * n + 32) for n in range(8_000)] and found[2].added == []
+
+
+def test_values_and_pairs(spark):
+    row = spark.createDataFrame([("ab=9 é",)], "t string").select(secrets._pairs(F.col("t")).alias("p")).first()
+    code = secrets.ALPHABET.index
+    pair = lambda x, y: code(x) * 67 + code(y)
+    assert row.p == [pair("a", "b"), pair("b", "="), pair("=", "9"), None, None]
