@@ -2,10 +2,13 @@
 
 For each language a suffix automaton of labelled text is built. A text is parsed from left to right into longest
 phrases that occur in that text; the count, times the bits that point into the training text, divided by the length, is
-the cross-parsing entropy. Training text is a bounded sample (``pieces`` documents per language, one per hash bucket, a stretch
-of ``piece_chars`` code points from a hashed place in each); only it travels, every Python worker builds the automata once.
+the cross-parsing entropy. Training text is a bounded sample (``pieces`` documents with a letter per language, one per hash bucket, a
+stretch of ``piece_chars`` code points from a hashed place in each); only it travels, every Python worker builds the automata once.
 
-Texts are parsed whole. They are cut into segments of 256 symbols, all of a batch are parsed side by side for all languages with one table
+Every letter of the training text has a symbol of its own, however many there are. Transitions by the commonest letters
+stand in a dense table, those by all others in one sorted list of (state, symbol); both grow with the learned text only.
+
+Texts are parsed whole. They are cut into segments of 256 symbols, all of a batch are parsed side by side for all languages with one
 look-up per symbol, and a cut costs every language the same one phrase. Letters are lowered; whatever is
 no letter becomes one space.
 
@@ -32,10 +35,12 @@ PIECES = 64
 PIECE_CHARS = 640
 #: Code points learned in all; with many languages each gets less, so the tables of a worker stay bounded.
 LEARNED_CHARS = 400_000
+#: Width of the dense table; symbols from here on are looked up in the sorted list.
 SYMBOLS = 64
 SEGMENT = 256
 UNKNOWN = "und"
 _SPACE, _OTHER, _BREAK, _FIRST = 0, 1, 2, 3
+_KEY_BITS = 21  # a symbol fits: there are fewer letters than code points
 
 
 def part_of(column: str, parts: int) -> Column:
@@ -48,33 +53,33 @@ def learned_text(docs: DataFrame, pieces: int, piece_chars: int) -> dict[str, li
 
     The least hash in each of ``pieces`` buckets is a map-side combined minimum, whatever a language's share.
     """
-    known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").withColumn("hash", F.xxhash64("doc_id"))
+    labelled = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    known = labelled.withColumn("hash", F.xxhash64("doc_id"))
     bucket = F.pmod("hash", F.lit(pieces)).alias("bucket")
     chosen = staged(known.groupBy("lang", bucket).agg(F.min("hash").alias("hash")).select("lang", "hash"), "pieces")
     languages = chosen.select("lang").distinct().count()
     chars = max(16, min(piece_chars, LEARNED_CHARS // max(1, languages * pieces)))
-    met = known.join(chosen, ["lang", "hash"])  # ``pieces`` rows per language
+    met = known.join(chosen, ["lang", "hash"])
     begin = F.pmod("hash", F.greatest(F.lit(1), F.char_length("text") - chars + 1)) + 1
-    found = met.where("text IS NOT NULL").select("lang", F.substr("text", begin.cast("int"), F.lit(chars)).alias("piece"))
-    rows = found.limit(4 * pieces * max(1, languages)).collect()
+    piece = F.substr("text", begin.cast("int"), F.lit(chars))
+    found = met.groupBy("lang", "hash").agg(F.min(piece).alias("piece"))  # one of rows that repeat an id
     out: dict[str, list[str]] = {}
-    for lang, piece in sorted((r["lang"], r["piece"]) for r in rows):
+    for lang, piece in sorted((r["lang"], r["piece"]) for r in found.collect()):  # ``pieces`` rows per language
         out.setdefault(lang, []).append(piece)
     return out
 
 
 class Alphabet:
-    """Symbol of every code point: a space for what is no letter, one for each of the commonest letters, one for all others."""
+    """Symbol of every code point: a space for what is no letter, one for each learned letter, commonest first, one for all others."""
 
-    def __init__(self, texts: list[str], size: int = SYMBOLS):
-        common = Counter(c for t in texts for c in t.lower() if c.isalpha()).most_common(size - _FIRST)
-        names = {c: _FIRST + n for n, (c, _) in enumerate(common)}
-        self.table = np.zeros(0x110000, np.uint8)
+    def __init__(self, texts: list[str]):
+        letters = Counter(c for t in texts for c in t.lower() if c.isalpha()).most_common()
+        names = {c: _FIRST + n for n, (c, _) in enumerate(letters)}
+        self.table = np.zeros(0x110000, np.int32)
         for point in range(0x110000):
             c = chr(point)
             if c.isalpha():
                 self.table[point] = names.get(c.lower(), _OTHER)
-        self.size = size
 
     def symbols(self, text: str) -> np.ndarray:
         codes = self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -116,32 +121,56 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 class Parser:
     """Phrase counts of texts against all languages."""
 
-    def __init__(self, texts: dict[str, list[str]], segment: int = SEGMENT):
-        self.languages, self.segment = sorted(texts), segment
+    def __init__(self, texts: dict[str, list[str]], segment: int = SEGMENT, width: int = SYMBOLS):
+        self.languages, self.segment, self.width = sorted(texts), segment, width
         self.alphabet = Alphabet([p for lang in self.languages for p in texts[lang]])
-        width, starts, parts, bits = self.alphabet.size, [], [], []
+        roots, starts, parts, bits = [], [], [], []
+        keys: list[int] = []
+        goals: list[int] = []
         base = 0
         for lang in self.languages:
             learned: list[int] = []
             for piece in texts[lang]:
                 learned += [*self.alphabet.symbols(piece).tolist(), _BREAK]
-            moves = automaton([s if s != _OTHER else _BREAK for s in learned])
+            moves = automaton(learned)
             dead = base + len(moves) * width  # before the first symbol and after an unknown one: the next begins a phrase
             root = np.full(width, dead, np.int64)
             for symbol, goal in moves[0].items():
-                root[symbol] = base + goal * width
+                if symbol < width:
+                    root[symbol] = base + goal * width
             root[[_OTHER, _BREAK]] = dead
             table = np.tile(root << 1 | 1, (len(moves) + 1, 1))  # no move: a new phrase begins with this symbol
-            for state, goals in enumerate(moves):
-                for symbol, goal in goals.items():
-                    table[state, symbol] = (base + goal * width) << 1
+            for state, found in enumerate(moves):
+                for symbol, goal in found.items():
+                    if symbol < width:
+                        table[state, symbol] = (base + goal * width) << 1
+                    else:
+                        keys.append((base + state * width) << _KEY_BITS | symbol)
+                        goals.append(base + goal * width)
             table[:, [_OTHER, _BREAK]] = dead << 1 | 1  # letters never learned are phrases of their own
+            roots.append(base)
             starts.append(dead)
             parts.append(table.astype(np.int32).ravel())
             bits.append(math.log2(max(2, len(learned))))
             base += table.size
         self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        self.starts, self.bits = np.array(starts, np.int32), np.array(bits)
+        self.roots, self.starts, self.bits = np.array(roots, np.int64), np.array(starts, np.int32), np.array(bits)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.goals = np.append(np.array(goals, np.int64)[order], 0)
+
+    def _listed(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the sorted list has a transition from each state by each symbol, and where to."""
+        keys = states.astype(np.int64) << _KEY_BITS | symbols
+        at = np.searchsorted(self.keys, keys)
+        return self.keys[at] == keys, self.goals[at]
+
+    def _wide_moves(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Moves (languages by texts) by symbols beyond the dense table."""
+        known, goal = self._listed(states, symbols)
+        first, begin = self._listed(np.repeat(self.roots[:, None], len(symbols), axis=1), symbols)
+        begun = np.where(first, begin, self.starts[:, None]) << 1 | 1
+        return np.where(known, goal << 1, begun).astype(np.int32)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases (texts by languages) and the number of symbols of each text."""
@@ -149,14 +178,17 @@ class Parser:
         sizes = np.array([len(c) for c in codes], np.int64)
         counts = -(-sizes // self.segment)
         offsets = np.append(0, np.cumsum(counts))
-        grid = np.zeros((int(offsets[-1]), self.segment), np.uint8)
+        grid = np.zeros((int(offsets[-1]), self.segment), np.int32)
         flat = grid.reshape(-1)
         for c, at in zip(codes, offsets[:-1].tolist(), strict=True):
             flat[at * self.segment : at * self.segment + len(c)] = c
         lengths = np.full(len(grid), self.segment, np.int64)
         lengths[offsets[1:][counts > 0] - 1] = (sizes - (counts - 1) * self.segment)[counts > 0]
         order = np.argsort(-lengths, kind="stable")
-        columns = np.ascontiguousarray(grid[order].T).astype(np.int32)
+        columns = np.ascontiguousarray(grid[order].T)
+        beyond = columns >= self.width
+        dense = np.where(beyond, _OTHER, columns)
+        wide = beyond.any(axis=1)
         active = len(grid) - np.searchsorted(np.sort(lengths), np.arange(self.segment), side="right")
         total = np.zeros((len(self.languages), len(grid)), np.int32)
         state = np.repeat(self.starts[:, None], len(grid), axis=1)
@@ -164,7 +196,10 @@ class Parser:
             n = int(active[at])
             if not n:
                 break
-            move = self.table.take(state[:, :n] + columns[at, :n])
+            move = self.table.take(state[:, :n] + dense[at, :n])
+            if wide[at]:
+                some = np.flatnonzero(beyond[at, :n])
+                move[:, some] = self._wide_moves(state[:, some], columns[at, some])
             total[:, :n] += move & 1
             state[:, :n] = move >> 1
         by_segment = np.empty_like(total)

@@ -18,10 +18,11 @@ def spelled(learned, text):
     return count
 
 
-def test_phrases_equal_a_plain_search():
+@pytest.mark.parametrize("width", [3, 6, language.SYMBOLS])
+def test_phrases_equal_a_plain_search(width):
     rng = random.Random(1)
     pieces = {n: ["".join(rng.choice(a) for _ in range(300)) for _ in range(3)] for n, a in (("aa", "abcd e"), ("bb", "abxyz "))}
-    parser = language.Parser(pieces, segment=40)
+    parser = language.Parser(pieces, segment=40, width=width)
     texts = ["".join(rng.choice("abcdexyz QÉ9.") for _ in range(rng.randint(1, 200))) for _ in range(60)]
     counts, sizes = parser.phrases(texts)
     for text, got, size in zip(texts, counts, sizes, strict=True):
@@ -86,3 +87,31 @@ def test_nothing_to_learn(docs, table):
 def test_letters(docs):
     a = language.Alphabet(["abc ABC éÉ"])
     assert a.symbols("aA").tolist() == [a.table[ord("a")]] * 2 and np.array_equal(a.symbols(" .,9"), [0])
+
+
+def test_alphabets_of_thousands_of_letters(docs):
+    """Three made-up languages, two of which share their 3,000 letters but not their words."""
+    rng = random.Random(5)
+    han = [chr(0x4E00 + n) for n in range(6_000)]
+    shared = [[rng.choice(han[:3_000]) + rng.choice(han[:3_000]) for _ in range(1_500)] for _ in range(2)]
+    words = {"xa": shared[0], "xb": shared[1], "xc": [a + b for a, b in zip(han[3_000:4_500], han[4_500:], strict=True)]}
+    table = []
+    for n in range(480):
+        lang = ("xa", "xb", "xc")[n % 3]
+        table.append((n, "".join(rng.choice(words[lang]) for _ in range(200)), lang))
+    got = {r.doc_id: r for r in language.identify(docs(table)).collect() if r.held_out}
+    assert len(got) > 80 and all(r.lang_pred == table[i][2] and r.score > 0.05 for i, r in got.items())
+
+
+def test_letters_past_the_dense_table():
+    rng = random.Random(6)
+    pieces = {n: ["".join(chr(start + rng.randrange(3_000)) for _ in range(640)) for _ in range(64)] for n, start in (("aa", 0x4E00), ("bb", 0xAC00))}
+    parser = language.Parser(pieces)
+    texts = [(n, rng.choice(p)[100:400]) for n, p in pieces.items() for _ in range(10)]
+    assert parser.predict([t for _, t in texts])[0] == [n for n, _ in texts]
+    assert len(parser.table) < 64 * 4 * 64 * 641 * 2 and len(parser.keys) < 2 * 3 * 64 * 641
+
+
+def test_an_id_repeated_many_times_is_one_piece(docs):
+    table = [(7, f"le la les {n}", "fr") for n in range(400)] + [(n, "12 34", "de") for n in range(20, 60)] + [(9, "der die das", "de")]
+    assert {lang: len(p) for lang, p in language.learned_text(docs(table), 64, 640).items()} == {"de": 1, "fr": 1}
