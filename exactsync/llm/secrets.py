@@ -1,9 +1,10 @@
 """Secret scan with DataFrame functions only: fixed patterns, and character Markov models for the rest.
 
 The base patterns give spans of three kinds. Two first-order Markov models over the characters of tokens
-are trained from labelled samples: random strings (the values the base patterns matched in all documents,
-and base64 text of SHA-256 sums made from document ids, so that every letter is known) and ordinary identifiers
-(tokens of a bounded sample of documents outside base spans). A long token outside base spans is a
+are trained: random strings (half of it the values the base patterns matched in all documents, half base64 text of
+SHA-256 sums made from the ids of about 2,000 documents, so that every letter is known) and ordinary identifiers
+(the tokens of all documents outside base spans). Equal tokens are counted before they are cut into characters, so that work
+follows the vocabulary. A long token outside base spans is a
 secret if its mean log-likelihood ratio per transition reaches ``threshold``. The models are two tables of
 alphabet-squared counts; scoring is one narrow stage.
 
@@ -20,8 +21,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exactsync.llm.shared import staged
-
 # Fixed patterns of the base kinds, in the order in which equal starts are listed. A failing match still uses up its text.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -143,46 +142,48 @@ def _pairs(token: Column) -> Column:
 
 
 def _transitions(tokens: DataFrame) -> DataFrame:
-    """Counts of neighbouring characters (``pair`` is the number of the pair) in the column ``token``."""
-    pairs = tokens.where(F.char_length("token") >= 2).select(F.explode(_pairs(F.col("token"))).alias("pair"))
-    return pairs.where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("n"))
+    """Counts of neighbouring characters (``pair`` is the number of the pair) in the column ``token``; equal tokens are cut up once."""
+    counted = tokens.where(F.char_length("token") >= 2).groupBy("token").agg(F.count("*").alias("n"))
+    pairs = counted.select(F.explode(_pairs(F.col("token"))).alias("pair"), "n")
+    return pairs.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def _log_probabilities(counts: dict[int, int]) -> list[float]:
-    """Log probability of each character after each, with one added to every count."""
+def _probabilities(counts: dict[int, int]) -> list[float]:
+    """Probability of each character after each, with one added to every count."""
     out = []
     for a in range(_SIZE):
         row = [counts.get(a * _SIZE + b, 0) + 1 for b in range(_SIZE)]
         total = sum(row)
-        out += [math.log(n / total) for n in row]
+        out += [n / total for n in row]
     return out
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE_DOCUMENTS) -> list[float]:
     """Log-likelihood ratios (random to ordinary) of all pairs of characters: alphabet-squared numbers.
 
-    Base values of all documents are counted. About ``sample`` documents, chosen by hash, give the ordinary
-    tokens, and their ids the made-up random strings; they are counted where they lie.
+    Base values and ordinary tokens of all documents are counted. The ids of about ``sample`` documents, chosen by hash, give the
+    made-up random strings. The random model is the mean of the two kinds of random strings, however many there are of each.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).cast("string").alias("id"), text.alias("text"))
     total = max(1, docs.select(F.lit(1)).count())
     bound = F.lit(int(min(1.0, sample / total) * 2**62))
-    some = staged(rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(2**62)) < bound), "secret-sample")
-    matched = rows.select(F.explode(_values(F.col("text"))).alias("token"))
+    some = rows.select("id").where(F.pmod(F.xxhash64("id"), F.lit(2**62)) < bound)
+    values = rows.select(F.explode(_values(F.col("text"))).alias("token"))
     salted = some.select(F.explode(F.sequence(F.lit(1), F.lit(_SUMS))).alias("salt"), "id")
     sums = salted.select(F.base64(F.unhex(F.sha2(F.concat_ws(":", "salt", "id"), 256))).alias("token"))
     base = r"(?i:(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\S*)|AKIA[A-Z0-9]+|[0-9a-f]{32,}"
-    words = some.select(F.regexp_replace("text", base, " ").alias("text")).select(
+    words = rows.select(F.regexp_replace("text", base, " ").alias("text")).select(
         F.explode(F.regexp_extract_all("text", F.lit(_TOKEN + "{2,}"), F.lit(0))).alias("token")
     )
     words = words.where(~(F.col("token").rlike("[0-9]") & (F.char_length("token") >= MIN_TOKEN)))  # unlabelled
-    random = _transitions(matched.unionByName(sums)).withColumn("model", F.lit("random"))
-    ordinary = _transitions(words).withColumn("model", F.lit("ordinary"))
-    counts: dict[str, dict[int, int]] = {"random": {}, "ordinary": {}}
-    for row in random.unionByName(ordinary).collect():  # two tables of at most alphabet-squared rows
+    tokens = {"value": values, "sum": sums, "word": words}
+    parts = [_transitions(found).withColumn("model", F.lit(name)) for name, found in tokens.items()]
+    counts: dict[str, dict[int, int]] = {name: {} for name in tokens}
+    for row in parts[0].unionByName(parts[1]).unionByName(parts[2]).collect():  # three tables of at most alphabet-squared rows
         counts[row["model"]][row["pair"]] = row["n"]
-    return [r - o for r, o in zip(*map(_log_probabilities, counts.values()), strict=True)]
+    value, made, word = (_probabilities(counts[name]) for name in tokens)
+    return [math.log((v + m) / 2 / w) for v, m, w in zip(value, made, word, strict=True)]
 
 
 def _mean_ratio(token: Column, ratios: list[float]) -> Column:

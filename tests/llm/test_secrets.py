@@ -126,3 +126,30 @@ def test_values_and_pairs(spark):
     code = secrets.ALPHABET.index
     pair = lambda x, y: code(x) * 67 + code(y)
     assert row.p == [pair("a", "b"), pair("b", "="), pair("=", "9"), None, None]
+
+
+def test_training_counts_every_document(docs, spark):
+    """Ordinary tokens and base values of all documents, whatever the sample of made-up strings."""
+    rng = random.Random(13)
+    words = ["alpha_beta", "x9", "path/to", "Q-q", "a" * 30, "9z" * 15]
+    rows = [(n, " ".join(rng.choice(words) for _ in range(20)) + f" token={rng.choice(['Zz9Zz9Zz9', 'abcdefgh'])}!") for n in range(300)]
+    rows += [(None, rows[0][1]), (5, None), (5, rows[1][1])]
+    counts = {"value": {}, "word": {}, "sum": {}}
+
+    def add(kind, token):
+        codes = [secrets.ALPHABET.index(c) for c in token]
+        for a, b in zip(codes, codes[1:], strict=False):
+            counts[kind][a * 67 + b] = counts[kind].get(a * 67 + b, 0) + 1
+
+    for _, text in rows:
+        found = ASSIGN.search(text or "")
+        if found:
+            add("value", re.search("[A-Za-z0-9+/_=-]+$", found[0])[0])
+            for t in re.findall("[A-Za-z0-9+/_=-]{2,}", text[: found.start()]):
+                if not (len(t) >= 20 and re.search("[0-9]", t)):
+                    add("word", t)
+    value, made, word = (secrets._probabilities(counts[k]) for k in ("value", "sum", "word"))
+    # With no sample the made-up strings have no counts.
+    got = secrets.train(docs(rows), sample=0)
+    want = [secrets.math.log((v + m) / 2 / w) for v, m, w in zip(value, made, word, strict=True)]
+    assert got == pytest.approx(want)
