@@ -23,6 +23,8 @@ from exactsync.session import configure
 from exactsync.sinks.catalog import CatalogTarget
 from exactsync.sinks.dataset import ParquetTarget, Receipt
 from exactsync.sinks.hooks import Hook, run_hooks
+from exactsync.sinks.jdbc import JdbcTarget
+from exactsync.sources.jdbc import JdbcSource
 from exactsync.sources.table import Source
 
 # Bounds of the retry and parallelism options.
@@ -43,8 +45,8 @@ class SyncJob:
     no further group starts, unless appended groups are to ``keep_going``. ``gather`` shuffles the rows of a group together
     before that write, for many groups of rows in no order."""
 
-    source: Source
-    target: ParquetTarget | CatalogTarget
+    source: Source | JdbcSource
+    target: ParquetTarget | CatalogTarget | JdbcTarget
     mapping: Sequence[tuple[str, str]] = ()
     updates: Sequence[str] = ()
     order: Sequence[str] = ()
