@@ -238,9 +238,10 @@ def _digits_to_decimal(value: Column, src: ColumnType, dst: ColumnType) -> Colum
     if t.precision - t.scale > _WIDEST - scale:
         return decimals.parse_decimal(value, t.precision, t.scale).cast(t)
     # All whole digits the target has room for fit next to the source's fraction digits, so
-    # Spark can read the text; its own rules are too lax (it takes '1e3'), hence the pattern.
+    # Spark can read the text; its own rules are too lax (it takes '1e3'), hence the pattern. It also keeps out
+    # texts with more whole digits, which Spark answers by an exception.
     wide = exact_decimal(_WIDEST, scale)
-    read = F.when(value.rlike(decimals.plain_pattern(scale)), value.try_cast(wide.spark))
+    read = F.when(value.rlike(decimals.plain_pattern(scale, _WIDEST - scale)), value.try_cast(wide.spark))
     return read if wide.spark == t else decimals.once(read, lambda d: _decimal_to_decimal(d, wide, dst))
 
 

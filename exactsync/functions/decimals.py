@@ -19,13 +19,14 @@ _EXACT_POWER = 22
 _EXACT_UNITS = 2**50
 _TWO_53 = float(2**53)
 _TWO_106 = float(2**106)
-# Long numbers are lists of limbs of nine digits, least first. A double below 2**216 (10**65 is less) is eight pieces
-# of 27 bits; a limb times 2**27 plus a carry stays far inside 64 bits.
-LIMB = 10**9
+# Long numbers are sums of limbs of ten digits, least first. A double below 2**216 (10**65 is less) is three pieces of 27 bits
+# times a power of 2**27, so a limb of the sum is three limbs of known powers times a piece each: with a carry below 2**62.
+LIMB_DIGITS = 10
 _MOST_DIGITS = 65
 _PLAIN = r"^[+-]?[0-9]+(?:[.][0-9]*)?\z"
-_PIECE_BITS, _PIECES, _LIMBS = 27, 8, 8
-_TOP = 2.0 ** (_PIECE_BITS * _PIECES)
+_PIECE_BITS, _STEPS = 27, 6
+_PIECE = 2.0**_PIECE_BITS
+_TOP = _PIECE ** (_STEPS + 2)
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -47,9 +48,9 @@ def decimal_pattern(precision: int, scale: int) -> str:
     return rf"^(?:[+]|(-)(?=[0.]*[1-9])|-)?0*({whole})[.]([0-9]{{{scale}}})0*\z"
 
 
-def plain_pattern(scale: int) -> str:
-    """Decimal texts with no digit other than 0 after the first ``scale`` fraction digits."""
-    return rf"^[+-]?[0-9]+(?:[.][0-9]{{0,{scale}}}0*)?\z"
+def plain_pattern(scale: int, whole: int) -> str:
+    """Decimal texts of at most ``whole`` whole digits, with no digit other than 0 after the first ``scale`` fraction digits."""
+    return rf"^[+-]?(?=[0-9])0*[0-9]{{0,{whole}}}(?:[.][0-9]{{0,{scale}}}0*)?\z"
 
 
 def parse_decimal(text: Column, precision: int, scale: int) -> Column:
@@ -117,33 +118,50 @@ def _long_way(value: Column, target: T.DecimalType) -> Column:
     return F.when(size < F.lit(_TWO_53), short).when(size <= F.lit(1e38), pieces.try_cast(target))
 
 
-def _times_and_add(limbs: Column, piece: Column) -> Column:
-    """``limbs * 2**27 + piece`` with carries."""
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(piece.alias("carry"), F.array().cast("array<bigint>").alias("done"))
+def _limbs(step: int) -> Column:
+    """Limbs of ``2 ** (27 * step)`` and of the next two steps, as many as the largest piece of each needs."""
+    count = len(str(2 ** (_PIECE_BITS * (step + 3)))) // LIMB_DIGITS + 1
+    each = [[F.lit(2 ** (_PIECE_BITS * (step + p)) // 10 ** (LIMB_DIGITS * n) % 10**LIMB_DIGITS).cast("bigint") for p in range(3)] for n in range(count)]
+    return F.array(*[F.struct(*limb) for limb in each])
 
-    def step(state: Column, limb: Column) -> Column:
-        total = limb * F.lit(2**_PIECE_BITS) + state["carry"]
-        low = F.array(total % F.lit(LIMB))
-        return F.struct(F.call_function("div", total, F.lit(LIMB)).alias("carry"), F.concat(state["done"], low).alias("done"))
 
-    return F.aggregate(limbs, start, step, lambda s: F.coalesce(s["done"], F.array(zero)))
+def _below(size: Column, whole: int) -> Column:
+    """``size < 10**whole`` for a double without fraction; no more than 2**216 either."""
+    top = float(10 ** min(whole, _MOST_DIGITS + 1))
+    if top >= _TOP:
+        return size < F.lit(_TOP)
+    return size < F.lit(top) if int(top) >= 10**whole else size <= F.lit(top)
 
 
-def whole_digits(value: Column) -> Column:
-    """All digits of a whole double below 2**216, with its sign: the stored number itself, not its shortest text.
+def whole_digits(value: Column, whole: int) -> Column:
+    """All digits of a double from 2**53 on that has at most ``whole`` of them and is below 2**216, with its sign: the stored
+    number itself, not its shortest text.
 
-    The pieces are exact: scaling by a power of two and remainders lose nothing."""
-    size = F.abs(value)
+    The pieces are exact: scaling by a power of two and remainders lose nothing. Each costly value is bound once: without
+    that the tree of limbs and carries would be computed again for every digit."""
+    size = F.when((F.abs(value) >= F.lit(_TWO_53)) & _below(F.abs(value), whole), F.abs(value))
+    # The half is for the rounding of the logarithm: a rest is from 2**53, so without fraction, to 2**81.
+    steps = lambda z: F.least(F.greatest(F.floor((F.log2(z) - 53.5) / _PIECE_BITS), F.lit(0)), F.lit(_STEPS - 1)).cast("int")
+    units = F.array(*[F.lit(_PIECE**n) for n in range(_STEPS)])
+    table = F.array(*[_limbs(n) for n in range(_STEPS)])
+    piece = lambda part: F.floor(part % F.lit(_PIECE))
+    base = F.lit(10**LIMB_DIGITS)
+
+    def carried(state: Column, amount: Column) -> Column:
+        total = amount + state["carry"]
+        digits = F.lpad((total % base).cast("string"), LIMB_DIGITS, "0")
+        return F.struct(F.call_function("div", total, base).alias("carry"), F.concat(digits, state["digits"]).alias("digits"))
 
-    def piece(n: int) -> Column:
-        return F.floor((size / F.lit(2.0 ** (_PIECE_BITS * n))) % F.lit(2.0**_PIECE_BITS)).cast("bigint")
+    def joined(step: Column, rest: Column) -> Column:
+        pieces = F.struct(piece(rest).alias("a"), piece(rest / F.lit(_PIECE)).alias("b"), piece(rest / F.lit(_PIECE**2)).alias("c"))
+        amount = lambda p: lambda limb: p["a"] * limb["col1"] + p["b"] * limb["col2"] + p["c"] * limb["col3"]
+        amounts = once(pieces, lambda p: F.transform(F.get(table, step), amount(p)))
+        start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("digits"))
+        return F.aggregate(amounts, start, carried, lambda s: F.ltrim(s["digits"], F.lit("0")))
 
-    pieces = F.array(*[piece(n) for n in reversed(range(_PIECES))])
-    limbs = F.aggregate(pieces, F.array(*[F.lit(0).cast("bigint")] * _LIMBS), _times_and_add)
-    digits = F.array_join(F.transform(F.reverse(limbs), lambda limb: F.lpad(limb.cast("string"), 9, "0")), "")
-    text = F.concat(F.when(value < 0, "-").otherwise(""), F.regexp_replace(digits, "^0+(?=[0-9])", ""))
-    return F.when((size < F.lit(_TOP)) & (F.floor(size / F.lit(_TWO_53)) > 0), text)
+    scaled = lambda z: once(steps(z), lambda n: once(z / F.get(units, n), lambda rest: joined(n, rest)))
+    text = once(size, lambda z: F.when(z.isNotNull(), scaled(z)))
+    return F.concat(F.when(value < 0, "-").otherwise(""), text)
 
 
 def plain_text(value: Column) -> Column:
@@ -165,8 +183,9 @@ def double_to_digits(value: Column, precision: int, scale: int) -> Column:
 
     From 2**53 on that is the stored number, below it the shortest text that gives the number back, as for Spark's own decimals."""
     wide = value.cast("double")
-    text = F.when(F.abs(wide) >= F.lit(_TWO_53), whole_digits(wide)).otherwise(plain_text(value))
-    return F.when(~negative_zero(value), parse_decimal(text, precision, scale))
+    far = F.concat(whole_digits(wide, precision - scale), F.lit("." + "0" * scale if scale else ""))
+    near = F.when(F.abs(wide) < F.lit(_TWO_53), parse_decimal(plain_text(value), precision, scale))
+    return F.when(~negative_zero(value), F.coalesce(far, near))
 
 
 def digits_to_double(text: Column, scale: int, target: T.DataType) -> Column:
