@@ -15,6 +15,8 @@ _SLICE, _IN, _OLD = "_slice", "_in", "_old"
 
 # Affected rows per incoming row, as multi-row upserts report them.
 NEW, CHANGED, UNCHANGED = 1, 2, 0
+#: Incoming rows a slice of :func:`affected` holds, so that a task's memory does not grow with the table.
+SLICE_ROWS = 250_000
 
 
 def update_columns(columns: Sequence[str], keys: Sequence[str], wanted: Sequence[str] = ()) -> list[str]:
@@ -131,14 +133,16 @@ def affected(
 
     Rows with the same key apply one after the other. A hot key is cut into range slices:
     within a slice neighbours are compared locally, then one summary row per slice is chained.
+    There are as many slices and tasks as the rows need (they are counted first), whatever the session's number of shuffle partitions.
     """
+    n = max(incoming.sparkSession.sparkContext.defaultParallelism, -(-incoming.count() // SLICE_ROWS))
     key_cols = [column(k) for k in keys]
     values = F.struct(*[column(u) for u in updates])
     at = F.struct(*[column(o) for o in order])
-    ranged = incoming.repartitionByRange(*key_cols, *[column(o) for o in order])
+    ranged = incoming.repartitionByRange(n, *key_cols, *[column(o) for o in order])
     rows = ranged.select(*key_cols, values.alias(_IN), at.alias("_at"), F.spark_partition_id().alias(_SLICE))
     w = W.partitionBy(*key_cols, _SLICE).orderBy("_at")
-    compared = rows.withColumn("_before", F.lag(F.struct(_IN)).over(w))
+    compared = rows.repartition(n, *key_cols, _SLICE).withColumn("_before", F.lag(F.struct(_IN)).over(w))
     pieces = compared.groupBy(*key_cols, _SLICE).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("_before").isNotNull() & ~F.col("_before")[_IN].eqNullSafe(F.col(_IN))).alias("_changed"),
@@ -147,9 +151,8 @@ def affected(
     )
     chain = W.partitionBy(*key_cols).orderBy(_SLICE)
     old = target.select(*key_cols, F.struct(values.alias(_IN)).alias(_OLD))
-    linked = pieces.withColumn("_prior", F.lag(F.struct(F.col("_tail").alias(_IN))).over(chain)).join(
-        old, list(keys), "left"
-    )
+    chained = pieces.repartition(n, *key_cols).withColumn("_prior", F.lag(F.struct(F.col("_tail").alias(_IN))).over(chain))
+    linked = chained.join(old, list(keys), "left")
     prior = F.coalesce("_prior", _OLD)
     summed = linked.withColumn("_fresh", prior.isNull()).withColumn(
         "_turn", prior.isNotNull() & ~prior[_IN].eqNullSafe(F.col("_head"))

@@ -1,10 +1,12 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from exactsync.errors import SyncError
 from exactsync.operators import accounting
+from exactsync.operators import upsert as upsert_module
 from exactsync.operators.upsert import (
     affected,
     collapse,
@@ -72,6 +74,22 @@ def test_affected_counts_chain_repeated_keys(frames, updates):
     assert got == {k: (len(e), e.count(1), e.count(2), sum(e)) for k, e in effects.items()}
 
 
+def test_affected_rows_of_a_task_do_not_grow_with_the_table(spark, frames, monkeypatch):
+    target, incoming, t, i = frames
+    monkeypatch.setattr(upsert_module, "SLICE_ROWS", 20)
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        counted = affected(i, t, ["k"], ["a"], ["seq"])
+        got = {r.k: (r.incoming_rows, r.new_rows, r.changed_rows) for r in counted.collect()}
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    assert {int(n) for n in re.findall(r"(?:hash|range)partitioning\(k#.*?, (\d+)\), REPARTITION", plan)} == {len(incoming) // 20}
+    _, effects = model(target, incoming, ["a"])
+    assert got == {k: (len(e), e.count(1), e.count(2)) for k, e in effects.items()}
+
+
 def test_identical_upsert_affects_nothing(frames):
     _, _, t, _ = frames
     same = t.withColumn("seq", F.lit(0))
