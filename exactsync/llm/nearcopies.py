@@ -10,9 +10,11 @@ Equal sets become one member before anything is paired. Buckets whose members ar
 are sent once per bucket to *cells* of at most ``CELL`` members and ``CELL_SHINGLES`` shingles, where all pairs
 are compared exactly by one product of matrices; a cell gives back a spanning forest, never its pairs, so rows grow with members.
 The largest linked class of a bucket is its core. Cells hold every pair of the others, and every pair of others and core, so a
-straggler meets a huge core in blocks. If a bucket has more than ``MOST_BLOCKS`` cells of others, it is cut by ``FINER_BANDS`` keys of
-``FINER_ROWS`` further minima (chance to lose a pair at 0.8: 6e-6 in place of 3e-6), up to ``DEPTH`` times; then all its cells meet,
-so nothing is dropped.
+straggler meets a huge core in blocks. If a bucket has more than ``MOST_BLOCKS`` cells of others, its cells do not all meet. It is cut
+by ``FINER_BANDS`` keys of ``FINER_ROWS`` further minima, up to ``DEPTH`` times, which links most of what is similar; the rest is exact:
+all members of such buckets meet by prefixes. Shingles are put in order, the rarest first. Of two sets of similarity s the
+first common shingle stands in both among the first ``size - ceil(s * size) + 1``, so the buckets of these shingles hold every
+similar pair, and all their cells meet: nothing is dropped.
 
 Defined cases: a text of one to four words is one shingle; null and empty texts have no shingles and are one
 class; white space and letters count as in ``simhash``.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +42,7 @@ SIMILARITY = (4, 5)
 BANDS, ROWS = 32, 5
 #: Members and shingles of a cell, and cells of others that a bucket may have before it is cut again.
 CELL, CELL_SHINGLES, MOST_BLOCKS = 512, 1 << 21, 8
-FINER_BANDS, FINER_ROWS, DEPTH = 16, 8, 3
+FINER_BANDS, FINER_ROWS, DEPTH = 16, 8, 1
 _COLUMNS = 1 << 14
 _CHUNK = 256
 
@@ -149,6 +151,26 @@ def _finer_keys(sets: DataFrame, level: int) -> DataFrame:
     return sets.mapInArrow(measure, "doc long, keys array<long>").select("doc", F.posexplode("keys").alias("band", "finer"))
 
 
+def _prefixes(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``key``, ``doc`` and ``size``: exact buckets of ``members`` (``doc``, ``size``), two similar sets share at least one.
+
+    A shingle of one set alone takes a place in the prefix but makes no bucket."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(h.as_py(), np.uint64) for h in batch.column("hashes")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), _lists(found)], ["doc", "keys"])
+
+    every = sets.join(members.hint("merge"), "doc").select("doc", "hashes").mapInArrow(listed, "doc long, keys array<long>")
+    shingled = staged(every.select("doc", F.explode("keys").alias("key")), "shingles")
+    common = shingled.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = shingled.join(common.hint("merge"), "key").join(members.hint("merge"), "doc")
+    own, (over, under) = Window.partitionBy("doc"), SIMILARITY
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "key"))
+    least = F.ceil(F.col("size") * over / under)
+    return shared.withColumn("place", place).where(F.col("place") <= F.col("size") - least + 1).select("key", "doc", "size")
+
+
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar."""
 
@@ -309,13 +331,20 @@ def firsts(
     wanted = buckets.select("doc").unionByName(proposed.select(F.col("a").alias("doc"))).unionByName(proposed.select(F.col("b").alias("doc")))
     sets = staged(_sets(rows.join(wanted.distinct().hint("merge"), "doc", "left_semi")), "hashes")
     links = staged(_compared(proposed, sets), "similar")
+    crowded = None
     for level in range(depth + 1):
-        cells, large = _dealt(buckets, components(links), cell, most_blocks, level == depth)
+        cells, large = _dealt(buckets, components(links), cell, most_blocks, False)
         links = links.unionByName(staged(_linked(cells, sets), "similar"))
         if large.isEmpty():
             break
-        finer = _finer_keys(sets.join(large.select("doc").distinct().hint("merge"), "doc", "left_semi"), level + 1)
-        cut = large.join(finer.hint("merge"), "doc").select(F.xxhash64("key", "band", "finer").alias("key"), "doc", "size")
-        buckets = staged(cut, "buckets")
+        if crowded is None:  # later buckets are parts of these
+            crowded = staged(large.select("doc", "size").distinct(), "crowded")
+        if level < depth:
+            finer = _finer_keys(sets.join(large.select("doc").distinct().hint("merge"), "doc", "left_semi"), level + 1)
+            cut = large.join(finer.hint("merge"), "doc").select(F.xxhash64("key", "band", "finer").alias("key"), "doc", "size")
+            buckets = staged(cut, "buckets")
+    if crowded is not None:
+        cells, _ = _dealt(staged(_prefixes(sets, crowded), "buckets"), components(links), cell, most_blocks, True)
+        links = links.unionByName(staged(_linked(cells, sets), "similar"))
     rooted = members.join(components(links).withColumnRenamed("node", "doc"), "doc", "left")
     return rooted.where("root IS NULL OR root = doc").select("doc")

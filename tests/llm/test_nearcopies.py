@@ -87,6 +87,15 @@ def test_large_buckets_are_dealt_in_blocks_and_cut_again(spark, docs):
         assert sorted(r.doc for r in nearcopies.firsts(rows, "doc_id", **limits).collect()) == want, limits
 
 
+def test_what_minima_miss_in_large_buckets_is_found_by_prefixes(spark, docs, monkeypatch):
+    rng = random.Random(8)
+    texts = sample() + unlike(rng, 150, 120, 4)
+    apart = lambda sets, level: sets.select("doc", nearcopies.F.lit(0).alias("band"), nearcopies.F.col("doc").alias("finer"))
+    monkeypatch.setattr(nearcopies, "_finer_keys", apart)
+    rows = docs(list(enumerate(texts))).repartition(5)
+    assert sorted(r.doc for r in nearcopies.firsts(rows, "doc_id", cell=2, most_blocks=1).collect()) == kept_by_force(texts)
+
+
 def test_two_thousand_unlike_copies_give_rows_in_proportion(spark, docs, monkeypatch):
     rng, counts = random.Random(9), []
     keep = nearcopies._linked
